@@ -31,11 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _seat(key: Column) -> list[Column]:
+def _seat(key: str) -> list[Column]:
     return [
-        F.floor(key / SEATS).cast("string").alias("match_id"),
-        (key % PLAYERS).cast("string").alias("puuid"),
-        (key % SEATS + 1).cast("int").alias("placement"),
+        F.expr(f"{key} div {SEATS}").cast("string").alias("match_id"),
+        (F.col(key) % PLAYERS).cast("string").alias("puuid"),
+        (F.col(key) % SEATS + 1).cast("int").alias("placement"),
     ]
 
 
@@ -45,7 +45,7 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "orders")
         .select(
-            *_seat(key),
+            *_seat("o_orderkey"),
             (F.lit(3) + key % 8).cast("int").alias("level"),
             (price % 60).cast("int").alias("gold_left"),
             F.date_diff(F.to_date("o_orderdate"), F.lit("1992-01-01").cast("date")).cast("double")
@@ -69,7 +69,7 @@ def match_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_orderkey", "p_brand")
         .agg(F.count(F.lit(1)).alias("trait_unit_count"), F.sum("l_quantity").alias("quantity"))
         .select(
-            *_seat(F.col("l_orderkey")),
+            *_seat("l_orderkey"),
             F.col("p_brand").alias("trait_id"),
             "trait_unit_count",
             tier.cast("int").alias("trait_tier"),
@@ -80,7 +80,7 @@ def match_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def match_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir).select(
-        *_seat(F.col("l_orderkey")),
+        *_seat("l_orderkey"),
         F.col("p_brand").alias("unit_id"),
         F.col("p_name").alias("item"),
         (F.col("p_size") % 3 + 1).alias("unit_tier"),
@@ -98,7 +98,7 @@ def match_augments(spark: SparkSession, sf_dir: str) -> DataFrame:
         _lines(spark, sf_dir)
         .groupBy("l_orderkey")
         .agg(*picked)
-        .select(*_seat(F.col("l_orderkey")), "augment1", "augment2", "augment3")
+        .select(*_seat("l_orderkey"), "augment1", "augment2", "augment3")
     )
 
 

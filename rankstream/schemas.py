@@ -55,6 +55,11 @@ MATCH_DOCUMENT = struct(
     ),
 )
 
+BRONZE_MATCH = T.StructType(
+    [*struct(match_id=STRING, game_length=DOUBLE).fields, *PARTICIPANT.fields,
+     *struct(outcome=STRING).fields]
+)
+
 LOG_RECORD = struct(
     puuid=STRING, timestamp=STRING, request_type=STRING, endpoint_path=STRING,
     status_code=INT, response_size=INT, response_time=INT,
@@ -71,6 +76,8 @@ LOG_RECORD_DEFAULTS = {
     "response_time": 0,
 }
 
+WIRE_RECORD = struct(value=T.BinaryType())
+
 BRONZE_LOG = struct(
     puuid=STRING, timestamp=TIMESTAMP, request_type=STRING, endpoint_path=STRING,
     status_code=INT, response_size=INT, response_time=INT, date=DATE,

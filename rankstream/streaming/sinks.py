@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,17 +28,23 @@ def snapshot_stream(
     checkpoint: str,
     partition_by: Sequence[str] = (),
     keep: int = 2,
+    on_snapshot: Callable[[str], None] | None = None,
 ) -> None:
     """Complete-mode sink: every micro-batch writes the whole result as its own snapshot.
 
     A repeated batch overwrites its own snapshot only, and readers take the newest committed one.
+    ``on_snapshot`` gets the folder of each new snapshot before any old one is dropped; the
+    newest ``keep`` stay.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         writer = batch.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{path}/{_PREFIX}{batch_id:012d}")
+        snapshot = f"{path}/{_PREFIX}{batch_id:012d}"
+        writer.parquet(snapshot)
+        if on_snapshot:
+            on_snapshot(snapshot)
         spark = batch.sparkSession
         for old in _committed(spark, path)[:-keep]:
             folders.drop(spark, f"{path}/{old}")
@@ -53,14 +59,30 @@ def snapshot_stream(
     query.awaitTermination()
 
 
+def for_each_batch(df: DataFrame, write: Callable[[DataFrame], None], checkpoint: str) -> None:
+    """Hands every micro-batch to ``write``, which must give the same result when repeated."""
+    query = (
+        df.writeStream.foreachBatch(lambda batch, _: write(batch))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def _committed(spark: SparkSession, path: str) -> list[str]:
     names = [n for n in folders.children(spark, path) if n.startswith(_PREFIX)]
     return [n for n in names if folders.exists(spark, f"{path}/{n}/_SUCCESS")]
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest committed snapshot of :func:`snapshot_stream`."""
+def newest_snapshot(spark: SparkSession, path: str) -> str:
+    """Folder of the newest committed snapshot of :func:`snapshot_stream`."""
     committed = _committed(spark, path)
     if not committed:
         raise FileNotFoundError(f"no committed snapshot under {path}")
-    return spark.read.parquet(f"{path}/{committed[-1]}")
+    return f"{path}/{committed[-1]}"
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The newest committed snapshot as a frame."""
+    return spark.read.parquet(newest_snapshot(spark, path))

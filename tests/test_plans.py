@@ -1,0 +1,84 @@
+"""Plan shapes that must hold at scale."""
+
+import contextlib
+
+import pytest
+
+from rankstream.operators import compositions, dedupe, rates
+from rankstream.plans import adapters
+from rankstream.streaming import metrics
+
+
+@contextlib.contextmanager
+def large_tables(spark):
+    """No side small enough to broadcast."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def plan_of(df, run=False):
+    if run:
+        df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def silver(spark, sf_dir, tmp_path_factory):
+    root = tmp_path_factory.mktemp("silver")
+    made = {}
+    for name in ("match_traits", "match_units", "match_augments", "matches"):
+        getattr(adapters, name)(spark, sf_dir).write.parquet(f"{root}/{name}")
+        made[name] = spark.read.parquet(f"{root}/{name}")
+    return made
+
+
+def test_no_cross_or_nested_loop_join(spark, silver):
+    with large_tables(spark):
+        for df in (
+            rates.trait_metrics(silver["match_traits"]),
+            rates.champion_item_metrics(silver["match_units"]),
+            rates.augment_metrics(silver["match_augments"]),
+            compositions.composition_metrics(silver["match_traits"]),
+        ):
+            text = plan_of(df)
+            assert "Cartesian" not in text and "NestedLoop" not in text
+            assert "Python" not in text
+
+
+def test_pair_join_reads_one_shuffle(spark, silver):
+    with large_tables(spark):
+        df = compositions.pair_strengths(silver["match_traits"])
+        text = plan_of(df, run=True)
+    assert "SortMergeJoin" in text and "ReusedExchange" in text
+
+
+def test_row_total_reads_no_columns(silver):
+    text = rates.rate_table(silver["match_units"], ["item"])._jdf.queryExecution().explainString(
+        silver["match_units"].sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "ReadSchema: struct<>" in text
+    assert "ReadSchema: struct<match_id:string,placement:int,item:string>" in text
+
+
+def test_limits_reach_below_the_shuffle(silver):
+    top = rates.champion_item_metrics(silver["match_units"])
+    assert plan_of(top).count("WindowGroupLimit") == 2
+    first = dedupe.first_per_key(silver["matches"], ["match_id", "puuid"])
+    assert plan_of(first).count("WindowGroupLimit") == 2
+
+
+def test_filters_reach_the_scan(silver):
+    text = rates.trait_metrics(silver["match_traits"])._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(trait_tier,0)" in text
+
+
+def test_logs_are_summed_before_the_join(spark, sf_dir, silver):
+    with large_tables(spark):
+        df = metrics.placement_transactions(adapters.logs(spark, sf_dir), silver["matches"])
+        text = plan_of(df)
+    assert text.index("SortMergeJoin") < text.index("HashAggregate(keys=[window")

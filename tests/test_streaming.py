@@ -1,0 +1,111 @@
+"""Streams give what the batch gives, survive restarts and drop late rows."""
+
+import os
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from rankstream import schemas
+from rankstream.plans import adapters
+from rankstream.sources.streams import file_stream
+from rankstream.streaming import metrics
+from rankstream.streaming.sinks import append_stream, read_snapshot, snapshot_stream
+
+LOGS = schemas.SILVER_LOG
+
+
+@pytest.fixture(scope="module")
+def split_logs(spark, sf_dir, tmp_path_factory):
+    """Silver logs in several files, so that a stream takes several micro-batches."""
+    folder = str(tmp_path_factory.mktemp("logs"))
+    adapters.logs(spark, sf_dir).repartition(4).select(*LOGS.names).write.mode("overwrite").parquet(folder)
+    return folder
+
+
+def log_stream(spark, folder):
+    return file_stream(spark, folder, LOGS, maxFilesPerTrigger="1")
+
+
+METRICS = {
+    "server": metrics.server_metrics,
+    "transactions": metrics.transaction_metrics,
+    "engagement": metrics.engagement_metrics,
+    "activity": metrics.player_activity,
+}
+
+
+@pytest.mark.parametrize("name", METRICS)
+def test_stream_equals_batch(spark, split_logs, tmp_path, name):
+    metric = METRICS[name]
+    data, checkpoint = str(tmp_path / "data"), str(tmp_path / "checkpoint")
+    for _ in range(2):  # the second run finds nothing new
+        snapshot_stream(metric(log_stream(spark, split_logs)), data, checkpoint)
+        batch = metric(spark.read.schema(LOGS).parquet(split_logs))
+        rounded = [F.round(c, 9) if t == "double" else F.col(c) for c, t in batch.dtypes]
+        found = read_snapshot(spark, data)
+        assert rows(found.select(*rounded)) == rows(batch.select(*rounded))
+    assert len([d for d in os.listdir(data) if d.startswith("snapshot-")]) == 2
+
+
+def test_placement_stream_equals_batch(spark, split_logs, sf_dir, tmp_path):
+    matches = adapters.matches(spark, sf_dir)
+    live = metrics.placement_transactions(log_stream(spark, split_logs), matches, delay="60 days")
+    snapshot_stream(live, str(tmp_path / "d"), str(tmp_path / "c"), ["date"])
+    batch = metrics.placement_transactions(spark.read.schema(LOGS).parquet(split_logs), matches)
+    columns = ["window", "puuid", "average_placement", "transaction_count"]
+    assert rows(read_snapshot(spark, str(tmp_path / "d")), *columns) == rows(batch, *columns)
+
+
+def write_logs(spark, folder, *stamps):
+    row = [("p", s, "POST", 200, 1, 5, None, None, None, "register") for s in stamps]
+    names = LOGS.names
+    df = spark.createDataFrame(row, ", ".join(
+        f"{n} {'string' if n in ('timestamp', 'date') else LOGS[n].dataType.simpleString()}" for n in names
+    ))
+    df = df.select(*[F.col(n).cast(LOGS[n].dataType).alias(n) for n in names])
+    df.coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_append_mode_closes_windows_and_drops_late_rows(spark, tmp_path):
+    source, data, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+
+    def drain():
+        live = metrics.server_metrics(file_stream(spark, source, LOGS), delay="10 minutes")
+        append_stream(live, data, checkpoint)
+        return rows(spark.read.parquet(data), "time_window.start", "request_count")
+
+    write_logs(spark, source, "2024-01-01 00:10:00", "2024-01-01 00:20:00")
+    assert drain() == []
+    write_logs(spark, source, "2024-01-01 05:00:00")
+    drain()
+    write_logs(spark, source, "2024-01-01 00:30:00")  # behind the watermark
+    write_logs(spark, source, "2024-01-01 09:00:00")
+    closed = [(str(start), n) for start, n in drain()]
+    assert closed == [("2024-01-01 00:00:00", 2), ("2024-01-01 05:00:00", 1)]
+
+
+def test_append_restart_adds_nothing(spark, split_logs, tmp_path):
+    data, checkpoint = str(tmp_path / "d"), str(tmp_path / "c")
+    total = spark.read.parquet(split_logs).count()
+    for _ in range(2):
+        append_stream(log_stream(spark, split_logs), data, checkpoint, ["date"])
+        assert spark.read.schema(LOGS).parquet(data).count() == total
+
+
+def test_memory_and_console_sinks(spark, split_logs, capfd):
+    from rankstream.sinks.publish import show
+
+    query = (
+        log_stream(spark, split_logs).select("puuid").writeStream.format("memory")
+        .queryName("seen").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert spark.table("seen").count() == spark.read.parquet(split_logs).count()
+    show(log_stream(spark, split_logs).select("puuid"))
+    show(spark.range(2))
+
+
+def test_missing_snapshot(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        read_snapshot(spark, str(tmp_path / "none"))
