@@ -19,6 +19,7 @@ def main() -> None:
     parser.add_argument("--publish-to", help="target for published gold tables")
     parser.add_argument("--publish-format", default="parquet")
     parser.add_argument("--run-id", default="latest", help="a repeated run id replaces its rows")
+    parser.add_argument("--late", help="watermark delay: log metrics append closed windows only")
     parser.add_argument("jobs", nargs="*", metavar="job", help=f"any of: {', '.join(JOBS)}")
     args = parser.parse_args()
 
@@ -33,6 +34,7 @@ def main() -> None:
         publish_to=args.publish_to,
         publish_format=args.publish_format,
         run_id=args.run_id,
+        late=args.late,
     )
     run(workspace, args.jobs or None)
 

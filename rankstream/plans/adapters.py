@@ -57,6 +57,12 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores where a small file gives fewer tasks; large tables stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
@@ -213,7 +219,7 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     deliveries = F.when(F.col("o_orderstatus") == "F", 2).otherwise(1)
     return (
-        table(spark, sf_dir, "orders")
+        _spread(table(spark, sf_dir, "orders"), "o_orderkey")
         .withColumn("delivery", F.explode(F.array_repeat(F.lit(0), deliveries)))
         .select(
             F.struct(_id("M", k).alias("match_id")).alias("metadata"),

@@ -25,6 +25,10 @@ from rankstream.streaming.sinks import append_stream, for_each_batch, snapshot_s
 class Workspace:
     """Where a job reads and writes.
 
+    With ``late`` (a watermark delay such as "10 minutes") the log metrics run in append mode:
+    a window is written once, when it closes, and its state is dropped. Without it every run
+    rewrites the whole metric table and keeps all windows in state.
+
     ``landing`` holds ``static/<kind>.json``, and the folders ``players``, ``matches`` (JSON
     lines) and ``logs`` (parquet with the topic's binary ``value``). With ``brokers`` the logs
     come from Kafka instead. ``publish_to`` names the serving target of published gold tables.
@@ -39,6 +43,7 @@ class Workspace:
     publish_to: str | None = None
     publish_format: str = "parquet"
     run_id: str = "latest"
+    late: str | None = None
     stream_options: dict[str, str] = field(default_factory=dict)
 
     def stream_path(self, table: str) -> str:
@@ -137,10 +142,18 @@ def ingest_matches(ws: Workspace) -> None:
     append_stream(rows, path, ws.checkpoint("ingest_matches"), ["outcome"])
     ws.show_as("bronze.matches", path)
     if ws.store.exists("bronze.players"):
-        queue = dedupe.unprocessed(ws.store.read("bronze.players"))
-        marked = dedupe.mark_processed(queue, ws.store.read("bronze.matches").select("puuid"))
-        done = marked.filter(F.col("processedTime").isNotNull())
-        ws.store.upsert("bronze.players", done, ["idx", "puuid"])
+        arrived = ws.read_stream("bronze.matches", schemas.BRONZE_MATCH)
+        for_each_batch(
+            arrived.select("puuid"), lambda batch: _mark(ws, batch), ws.checkpoint("mark_players")
+        )
+
+
+def _mark(ws: Workspace, players: DataFrame) -> None:
+    """Stamps the queued players whose matches have arrived."""
+    queue = dedupe.unprocessed(ws.store.read("bronze.players"))
+    marked = dedupe.mark_processed(queue, players)
+    done = marked.filter(F.col("processedTime").isNotNull())
+    ws.store.upsert("bronze.players", done, ["idx", "puuid"])
 
 
 @job
@@ -238,6 +251,11 @@ def _log_gold(
     def body(ws: Workspace) -> None:
         live = metric(ws, ws.read_stream("silver.logs", schemas.SILVER_LOG))
         gold = f"gold.{table}"
+        if ws.late:
+            path = f"{ws.stream_path(gold)}-closed"
+            append_stream(live, path, ws.checkpoint(f"{name}-closed"), partition_by)
+            ws.show_as(gold, path)
+            return
         snapshot_stream(
             live,
             ws.stream_path(gold),
@@ -249,21 +267,22 @@ def _log_gold(
     JOBS[name] = body
 
 
-_log_gold("server_metrics", "server_metrics", lambda ws, rows: metrics.server_metrics(rows))
+def _connection(ws: Workspace, rows: DataFrame) -> DataFrame:
+    matches = ws.store.read("silver.matches")
+    return metrics.placement_transactions(rows, matches, ws.late or "10 minutes")
+
+
+_log_gold("server_metrics", "server_metrics", lambda ws, rows: metrics.server_metrics(rows, ws.late))
 _log_gold(
     "transaction_metrics", "transaction_metrics",
-    lambda ws, rows: metrics.transaction_metrics(rows), ["date"],
+    lambda ws, rows: metrics.transaction_metrics(rows, ws.late), ["date"],
 )
 _log_gold(
     "engagement_metrics", "engagement_metrics",
-    lambda ws, rows: metrics.engagement_metrics(rows), ["date"],
+    lambda ws, rows: metrics.engagement_metrics(rows, ws.late), ["date"],
 )
 _log_gold(
     "player_activity_metrics", "player_activity_metrics",
-    lambda ws, rows: metrics.player_activity(rows), ["date"],
-)
-_log_gold(
-    "connection", "player_placement_transaction_connection",
-    lambda ws, rows: metrics.placement_transactions(rows, ws.store.read("silver.matches")),
-    ["date"],
+    lambda ws, rows: metrics.player_activity(rows, ws.late), ["date"],
 )
+_log_gold("connection", "player_placement_transaction_connection", _connection, ["date"])

@@ -94,29 +94,31 @@ class TableStore:
     ) -> None:
         """Updates rows that match on ``keys`` (null-safe) and inserts the others.
 
-        Several source rows with one key are cut to the first by ``order``. Partitions without a
-        matched row are only appended to; those with one are rewritten, and so a row whose
-        partition value changes leaves its old partition. A failure raises; running the same
-        upsert again completes it.
+        Several source rows with one key are cut to the first by ``order``. Rows that the table
+        already holds unchanged are skipped. Partitions without a row to update are only appended
+        to; those with one are rewritten, and so a row whose partition value changes leaves its
+        old partition. A failure raises; running the same upsert again completes it.
         """
         source = first_per_key(source, keys, order)
         if not self.exists(name):
             self._create(name, source, partition_by)
             return
-        # The source is read several times below; a written copy makes it one evaluation.
-        staged = f"{self.root}/_staging/{uuid.uuid4().hex}"
-        source.write.parquet(staged)
-        source = self.spark.read.schema(source.schema).parquet(staged)
-
+        source = self._staged(source)
         self._add_columns(name, source)
-        target = self.read(name)
-        incoming = source.select(*keys)
-        matched = target.join(incoming, match_on(target, incoming, keys), "left_semi")
-        parts = self.partition_columns(name)
-        if parts:
-            self._upsert_partitions(name, target, source, matched, keys, parts)
-        elif matched.isEmpty():
+        target, parts = self.read(name), self.partition_columns(name)
+        touched = self._touched(target, source, keys, parts)
+        if touched:
+            # Rows delivered again unchanged need no rewrite; with them gone there may be
+            # nothing left to update.
+            target_rows = target.filter(_in_partitions(parts, touched))
+            aligned = self._align(name, source)
+            same = match_on(aligned, target_rows, target.columns)
+            source = self._staged(aligned.join(target_rows, same, "left_anti"))
+            touched = self._touched(target, source, keys, parts)
+        if not touched:
             self.append(name, source)
+        elif parts:
+            self._rewrite_partitions(name, target, source, keys, parts, touched)
         else:
             version = self._write_version(name, merge_rows(target, source, keys), ())
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION {_sql_literal(version)}")
@@ -175,36 +177,50 @@ class TableStore:
             ]
         )
 
-    def _upsert_partitions(
+    def _staged(self, df: DataFrame) -> DataFrame:
+        """A written copy, for a frame that is read several times."""
+        folder = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        df.write.parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
+    def _touched(
+        self, target: DataFrame, source: DataFrame, keys: Sequence[str], parts: Sequence[str]
+    ) -> list[Row]:
+        """Partitions with a matched row: partition values, so at most as many as the catalog
+        lists. For an unpartitioned table one empty row stands for the table."""
+        incoming = source.select(*keys)
+        matched = target.join(incoming, match_on(target, incoming, keys), "left_semi")
+        if parts:
+            return matched.select(*parts).distinct().collect()
+        return [] if matched.isEmpty() else [Row()]
+
+    def _rewrite_partitions(
         self,
         name: str,
         target: DataFrame,
         source: DataFrame,
-        matched: DataFrame,
         keys: Sequence[str],
         parts: Sequence[str],
+        touched: Sequence[Row],
     ) -> None:
-        # Partition values, not rows: as many as the catalog lists for the table at most.
-        touched = matched.select(*parts).distinct().collect()
         inside = _in_partitions(parts, touched)
+        old, incoming = target.filter(inside), source.select(*keys)
+        kept = old.join(incoming, match_on(old, incoming, keys), "left_anti")
+        rewritten = kept.unionByName(source.filter(inside), allowMissingColumns=True)
+        version = self._write_version(name, self._align(name, rewritten), parts)
+        written = self._partitions_at(version, target, parts)
         # Swap first: until the swap the appended rows would show beside the rows they replace.
-        if touched:
-            incoming = source.select(*keys)
-            kept = target.filter(inside).join(incoming, match_on(target, incoming, keys), "left_anti")
-            rewritten = kept.unionByName(source.filter(inside), allowMissingColumns=True)
-            version = self._write_version(name, self._align(name, rewritten), parts)
-            written = self._partitions_at(version, target, parts)
-            for values in touched:
-                spec = ", ".join(f"`{p}`={_sql_literal(values[p])}" for p in parts)
-                if tuple(values) in written:
-                    folder = "/".join(f"{p}={_folder_name(values[p])}" for p in parts)
-                    self.spark.sql(
-                        f"ALTER TABLE {name} PARTITION ({spec}) "
-                        f"SET LOCATION {_sql_literal(f'{version}/{folder}')}"
-                    )
-                else:
-                    self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
-            self.spark.catalog.refreshTable(name)
+        for values in touched:
+            spec = ", ".join(f"`{p}`={_sql_literal(values[p])}" for p in parts)
+            if tuple(values) in written:
+                folder = "/".join(f"{p}={_folder_name(values[p])}" for p in parts)
+                self.spark.sql(
+                    f"ALTER TABLE {name} PARTITION ({spec}) "
+                    f"SET LOCATION {_sql_literal(f'{version}/{folder}')}"
+                )
+            else:
+                self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+        self.spark.catalog.refreshTable(name)
         self.append(name, source.filter(~inside))
 
     def _partitions_at(self, version: str, target: DataFrame, parts: Sequence[str]) -> set[tuple]:
@@ -214,8 +230,8 @@ class TableStore:
 
 def _in_partitions(parts: Sequence[str], values: Sequence[Row]) -> Column:
     """Predicate for the given partitions; on partition columns only, so it prunes."""
-    if not values:
-        return F.lit(False)
+    if not parts:
+        return F.lit(True)
     if len(parts) == 1:
         name = parts[0]
         known = [v[name] for v in values if v[name] is not None]

@@ -111,3 +111,21 @@ def test_everything_then_again_with_new_data(spark, workspace):
         assert sum(r.request_count for r in read("gold.server_metrics").collect()) == 3
         served = spark.read.parquet(f"{workspace.publish_to}/placement_metrics")
         assert served.count() == read("gold.placement_metrics").count()
+
+
+def test_closed_windows_only(spark, workspace):
+    """With a watermark the log metrics hold windows that can no longer change."""
+    log(spark, f"{workspace.landing}/logs", ("a", "2024-01-05T10:00:00+00:00", "/game/start", 200))
+    names = ["ingest_logs", "preprocess_logs", "server_metrics", "player_activity_metrics", "connection"]
+    workspace.late = "10 minutes"
+    try:
+        for _ in range(2):
+            jobs.run(workspace, names)
+    finally:
+        workspace.late = None
+    read = workspace.store.read
+    assert rows(read("gold.server_metrics"), "time_window.start", "request_count")[0][1] == 2
+    assert sum(r.request_count for r in read("gold.server_metrics").collect()) == 3
+    assert sum(r.active_user_count for r in read("gold.player_activity_metrics").collect()) == 1
+    connection = read("gold.player_placement_transaction_connection")
+    assert rows(connection, "puuid", "transaction_count") == [("a", 2), ("b", 0)]

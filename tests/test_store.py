@@ -62,6 +62,15 @@ def test_insert_only_upsert_appends(store, spark, table_name):
     assert before < after
 
 
+def test_unchanged_rows_are_not_rewritten(store, spark, table_name):
+    first = spark.createDataFrame([("a", "X", 1), ("b", None, 1)], PLAYERS)
+    store.upsert(table_name, first, ["puuid"])
+    before = {r.f for r in store.read(table_name).selectExpr("_metadata.file_path AS f").collect()}
+    store.upsert(table_name, first.union(spark.createDataFrame([("c", "X", 1)], PLAYERS)), ["puuid"])
+    after = {r.f for r in store.read(table_name).selectExpr("_metadata.file_path AS f").collect()}
+    assert before < after and store.read(table_name).count() == 3
+
+
 def test_failed_upsert_raises_and_keeps_the_table(store, spark, table_name):
     store.upsert(table_name, spark.createDataFrame([("a", "X", 1)], PLAYERS), ["puuid"])
     with pytest.raises(Exception):
