@@ -28,7 +28,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     (WindowGroupLimit), so a key holding a large share of the rows costs no more than others.
     """
     given = [F.col(o) if isinstance(o, str) else o for o in order]
-    ordering = given + _tie_breakers(df, set(keys))
+    used = {*keys, *(o for o in order if isinstance(o, str))}
+    ordering = given + _tie_breakers(df, used)
     window = Window.partitionBy(*keys).orderBy(*(ordering or [F.lit(1)]))
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
 

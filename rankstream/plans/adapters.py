@@ -217,22 +217,22 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.transform(_first((k + i) % 5, 4), lambda j: unit(i, j)).alias("units"),
         )
 
-    deliveries = F.when(F.col("o_orderstatus") == "F", 2).otherwise(1)
-    return (
-        _spread(table(spark, sf_dir, "orders"), "o_orderkey")
-        .withColumn("delivery", F.explode(F.array_repeat(F.lit(0), deliveries)))
-        .select(
-            F.struct(_id("M", k).alias("match_id")).alias("metadata"),
-            F.struct(
-                (F.lit(1200) + k % 900).cast("double").alias("game_length"),
-                F.when(k % 13 == 0, F.lit("pairs")).otherwise(F.lit("standard"))
-                .alias("tft_game_type"),
-                F.when(k % 11 == 0, F.lit("TFTSet9")).otherwise(F.lit("TFTSet10"))
-                .alias("tft_set_core_name"),
-                F.transform(_first(k % 9, SEATS), participant).alias("participants"),
-            ).alias("info"),
-        )
+    document = F.struct(
+        F.struct(_id("M", k).alias("match_id")).alias("metadata"),
+        F.struct(
+            (F.lit(1200) + k % 900).cast("double").alias("game_length"),
+            F.when(k % 13 == 0, F.lit("pairs")).otherwise(F.lit("standard"))
+            .alias("tft_game_type"),
+            F.when(k % 11 == 0, F.lit("TFTSet9")).otherwise(F.lit("TFTSet10"))
+            .alias("tft_set_core_name"),
+            F.transform(_first(k % 9, SEATS), participant).alias("participants"),
+        ).alias("info"),
     )
+    deliveries = F.when(F.col("o_orderstatus") == "F", 2).otherwise(1)
+    orders = _spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    # A generator's output is made once: later filters run on it, not on the expression again.
+    delivered = orders.select(F.explode(F.array_repeat(document, deliveries)).alias("document"))
+    return delivered.select("document.*")
 
 
 # -- logs ----------------------------------------------------------------------------------
