@@ -159,22 +159,22 @@ def _mark(ws: Workspace, players: DataFrame) -> None:
 @job
 def preprocess_matches(ws: Workspace) -> None:
     def write(batch: DataFrame) -> None:
-        rows = nested.dedupe_matches(batch.filter(F.col("puuid").isNotNull()))
-        ws.store.write_or_upsert(
-            "silver.match_augments", nested.match_augments(rows), nested.MATCH_KEY
-        )
-        ws.store.write_or_upsert(
-            "silver.match_traits", nested.match_traits(rows), [*nested.MATCH_KEY, "trait_id"]
-        )
-        ws.store.write_or_upsert(
-            "silver.match_units",
-            nested.match_units(rows),
-            [*nested.MATCH_KEY, "unit_ordinal", "pos"],
-        )
-        ws.store.write_or_upsert(
-            "silver.matches", nested.match_summary(rows), nested.MATCH_KEY,
-            partition_by=["outcome"],
-        )
+        deduped = nested.dedupe_matches(batch.filter(F.col("puuid").isNotNull()))
+        with ws.store.staging() as stage:
+            # The wide dedupe runs once; the four tables then read the columns they need. Only
+            # trait rows may still repeat a key, when a board lists a trait twice.
+            rows, upsert = stage(deduped), ws.store.write_or_upsert
+            key = nested.MATCH_KEY
+            upsert("silver.match_augments", nested.match_augments(rows), key, prepared=True)
+            upsert("silver.match_traits", nested.match_traits(rows), [*key, "trait_id"])
+            upsert(
+                "silver.match_units", nested.match_units(rows), [*key, "unit_ordinal", "pos"],
+                prepared=True,
+            )
+            upsert(
+                "silver.matches", nested.match_summary(rows), key, partition_by=["outcome"],
+                prepared=True,
+            )
 
     bronze = ws.read_stream("bronze.matches", schemas.BRONZE_MATCH)
     for_each_batch(bronze, write, ws.checkpoint("preprocess_matches"))

@@ -7,21 +7,26 @@ the step can be run again.
 
 from __future__ import annotations
 
+import contextlib
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankstream.operators.dedupe import first_per_key, match_on, merge_rows
 from rankstream.session import shared_folder
+from rankstream.sinks import folders
 
 LAYERS = ("bronze", "silver", "gold")
 
 # Characters that Hive-style partition folders percent-encode.
 _ESCAPED = frozenset("\"#%'*/:=?\\{[]^\x7f") | frozenset(map(chr, range(1, 32)))
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+_VERSION = "v"
 
 
 def _folder_name(value: object) -> str:
@@ -32,6 +37,10 @@ def _folder_name(value: object) -> str:
     return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in str(value))
 
 
+def _nullable(fields: Sequence[T.StructField]) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+
+
 def _sql_literal(value: object) -> str:
     if value is None:
         return "null"
@@ -77,7 +86,13 @@ class TableStore:
     def overwrite(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         """Replaces the table by ``df``, which may read the table itself."""
         version = self._write_version(name, df, partition_by)
-        if self.exists(name) and not partition_by and self.read(name).schema == df.schema:
+        same_layout = (
+            self.exists(name)
+            and not partition_by
+            and not self.partition_columns(name)
+            and _nullable(self.read(name).schema.fields) == _nullable(df.schema.fields)
+        )
+        if same_layout:
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION {_sql_literal(version)}")
             self.spark.catalog.refreshTable(name)
             return
@@ -91,6 +106,7 @@ class TableStore:
         keys: Sequence[str],
         order: Sequence[Column | str] = (),
         partition_by: Sequence[str] = (),
+        prepared: bool = False,
     ) -> None:
         """Updates rows that match on ``keys`` (null-safe) and inserts the others.
 
@@ -98,12 +114,19 @@ class TableStore:
         already holds unchanged are skipped. Partitions without a row to update are only appended
         to; those with one are rewritten, and so a row whose partition value changes leaves its
         old partition. A failure raises; running the same upsert again completes it.
+
+        ``prepared`` says that ``source`` has one row per key and is cheap to read again, such as
+        a projection of stored rows; the cut and the working copy are then left out.
         """
-        source = first_per_key(source, keys, order)
+        if not prepared:
+            source = first_per_key(source, keys, order)
         if not self.exists(name):
             self._create(name, source, partition_by)
             return
-        source = self._staged(source)
+        with self.staging() as stage:
+            self._merge(name, source if prepared else stage(source), keys, stage)
+
+    def _merge(self, name: str, source: DataFrame, keys: Sequence[str], stage) -> None:
         self._add_columns(name, source)
         target, parts = self.read(name), self.partition_columns(name)
         touched = self._touched(target, source, keys, parts)
@@ -113,7 +136,7 @@ class TableStore:
             target_rows = target.filter(_in_partitions(parts, touched))
             aligned = self._align(name, source)
             same = match_on(aligned, target_rows, target.columns)
-            source = self._staged(aligned.join(target_rows, same, "left_anti"))
+            source = stage(aligned.join(target_rows, same, "left_anti"))
             touched = self._touched(target, source, keys, parts)
         if not touched:
             self.append(name, source)
@@ -131,14 +154,58 @@ class TableStore:
         keys: Sequence[str],
         order: Sequence[Column | str] = (),
         partition_by: Sequence[str] = (),
+        prepared: bool = False,
     ) -> None:
         """Creates the table on first use, else upserts; never falls back to a blind append."""
-        self.upsert(name, df, keys, order, partition_by)
+        self.upsert(name, df, keys, order, partition_by, prepared)
+
+    # -- upkeep ----------------------------------------------------------------------------
+
+    @contextlib.contextmanager
+    def staging(self) -> Iterator:
+        """Gives a function that writes a frame and returns the written copy, for a frame that is
+        read several times. The copies are dropped at the end."""
+        made: list[str] = []
+
+        def stage(df: DataFrame) -> DataFrame:
+            made.append(f"{self.root}/_staging/{uuid.uuid4().hex}")
+            df.write.parquet(made[-1])
+            return self.spark.read.schema(df.schema).parquet(made[-1])
+
+        try:
+            yield stage
+        finally:
+            for folder in made:
+                folders.drop(self.spark, folder)
+
+    def vacuum(self, name: str, keep_hours: float = 168) -> list[str]:
+        """Drops folders that the table no longer uses and that are older than ``keep_hours``.
+
+        The age keeps readers that started before the last rewrite safe. Returns what was dropped.
+        """
+        base = f"{self.root}/{name.replace('.', '/')}"
+        version = F.regexp_extract("_metadata.file_path", rf"/{_VERSION}(\d+-[0-9a-f]+)/", 1)
+        used = {r[0] for r in self.read(name).select(version).distinct().collect()}
+        limit = time.time() - keep_hours * 3600
+        unused = [
+            child
+            for child in folders.children(self.spark, base)
+            if child.startswith(_VERSION)
+            and child.removeprefix(_VERSION) not in used
+            and int(child.removeprefix(_VERSION).split("-")[0]) / 1000 < limit
+        ]
+        # the newest may be the location of a table that has no rows
+        if not used:
+            unused = unused[:-1]
+        for child in unused:
+            folders.drop(self.spark, f"{base}/{child}")
+        return unused
 
     # -- helpers ---------------------------------------------------------------------------
 
     def _new_folder(self, name: str) -> str:
-        return f"{self.root}/{name.replace('.', '/')}/{uuid.uuid4().hex}"
+        stamp = f"{_VERSION}{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:12]}"
+        return f"{self.root}/{name.replace('.', '/')}/{stamp}"
 
     def _write_version(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> str:
         version = self._new_folder(name)
@@ -149,7 +216,7 @@ class TableStore:
         return version
 
     def _register(self, name: str, df: DataFrame, version: str, partition_by: Sequence[str]) -> None:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        columns = _nullable(df.schema.fields).toDDL()
         clause = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
         self.spark.sql(
             f"CREATE TABLE {name} ({columns}) USING parquet {clause} LOCATION {_sql_literal(version)}"
@@ -162,9 +229,9 @@ class TableStore:
 
     def _add_columns(self, name: str, df: DataFrame) -> None:
         known = set(self.read(name).columns)
-        new = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in known]
+        new = [f for f in df.schema.fields if f.name not in known]
         if new:
-            self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
+            self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_nullable(new).toDDL()})")
 
     def _align(self, name: str, df: DataFrame) -> DataFrame:
         fields = self.read(name).schema.fields
@@ -177,12 +244,6 @@ class TableStore:
             ]
         )
 
-    def _staged(self, df: DataFrame) -> DataFrame:
-        """A written copy, for a frame that is read several times."""
-        folder = f"{self.root}/_staging/{uuid.uuid4().hex}"
-        df.write.parquet(folder)
-        return self.spark.read.schema(df.schema).parquet(folder)
-
     def _touched(
         self, target: DataFrame, source: DataFrame, keys: Sequence[str], parts: Sequence[str]
     ) -> list[Row]:

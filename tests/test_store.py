@@ -83,3 +83,34 @@ def test_partition_filter_prunes(store, spark, table_name):
     store.append(table_name, data, ["tier"])
     picked = store.read(table_name).where("tier = 'X'")
     assert len(picked.inputFiles()) == 1
+
+
+def test_vacuum_drops_unused_versions_only(store, spark, table_name):
+    for n in (1, 2, 3):
+        store.overwrite(table_name, spark.range(n))
+    assert store.vacuum(table_name) == []
+    assert len(store.vacuum(table_name, keep_hours=0)) == 2
+    assert store.read(table_name).count() == 3
+
+
+def test_vacuum_spares_partitions_in_use(store, spark, table_name):
+    store.upsert(table_name, spark.createDataFrame([("a", "X", 1), ("b", "Y", 1)], PLAYERS), ["puuid"], partition_by=["tier"])
+    for wins in (2, 3):
+        store.upsert(table_name, spark.createDataFrame([("a", "X", wins)], PLAYERS), ["puuid"])
+    assert len(store.vacuum(table_name, keep_hours=0)) == 1
+    assert rows(store.read(table_name), "puuid", "wins") == [("a", 3), ("b", 1)]
+
+
+def test_no_staging_is_left(store, spark, table_name):
+    from rankstream.sinks import folders
+
+    for wins in (1, 2):
+        store.upsert(table_name, spark.createDataFrame([("a", "X", wins)], PLAYERS), ["puuid"])
+    assert folders.children(spark, f"{store.root}/_staging") == []
+
+
+def test_prepared_source(store, spark, table_name):
+    for wins in (1, 2):
+        data = spark.createDataFrame([("a", "X", wins), (None, "Y", wins)], PLAYERS)
+        store.upsert(table_name, data, ["puuid"], prepared=True)
+    assert rows(store.read(table_name)) == sorted([("a", "X", 2), (None, "Y", 2)], key=repr)
