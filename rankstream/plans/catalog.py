@@ -202,7 +202,7 @@ def stream_append(spark, sf_dir):
 def _snapshot(spark: SparkSession, df: DataFrame, label: str, partition_by=()) -> DataFrame:
     folder = fresh_folder(spark, label)
     snapshot_stream(df, f"{folder}/data", f"{folder}/checkpoint", partition_by)
-    return read_snapshot(spark, f"{folder}/data").select(*df.columns)
+    return read_snapshot(spark, f"{folder}/data", df.schema).select(*df.columns)
 
 
 @query

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankstream import schemas
 from rankstream.operators import compositions, dedupe, nested, rates, summaries
@@ -63,9 +64,13 @@ class Workspace:
             self.spark, f"{self.landing}/{folder}", schema, fmt, **self.stream_options
         )
 
-    def show_as(self, table: str, path: str) -> None:
-        """Points the catalog name at a stream's folder."""
-        self.spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM parquet.`{path}`")
+    def show_as(self, table: str, path: str, schema: T.StructType) -> None:
+        """Points the catalog name at a stream's folder, which may hold no rows yet."""
+        rows = f"SELECT * FROM parquet.`{path}`"
+        if self.spark.read.schema(schema).parquet(path).isEmpty():
+            empty = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema]
+            rows = f"SELECT {', '.join(empty)} WHERE false"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {table} AS {rows}")
 
 
 Job = Callable[[Workspace], None]
@@ -111,7 +116,7 @@ def ingest_players(ws: Workspace) -> None:
     entries = ws.landed("players", schemas.LEAGUE_ENTRY, "json")
 
     def write(batch: DataFrame) -> None:
-        queue = landing.queue_players(batch.filter(F.col("puuid").isNotNull()))
+        queue = landing.queue_players(batch)
         ws.store.write_or_upsert("bronze.players", queue, ["idx", "puuid"], [F.desc("wins")])
 
     for_each_batch(entries, write, ws.checkpoint("ingest_players"))
@@ -140,7 +145,7 @@ def ingest_matches(ws: Workspace) -> None:
     rows = nested.flatten_documents(documents.filter(F.col("metadata.match_id").isNotNull()))
     path = ws.stream_path("bronze.matches")
     append_stream(rows, path, ws.checkpoint("ingest_matches"), ["outcome"])
-    ws.show_as("bronze.matches", path)
+    ws.show_as("bronze.matches", path, rows.schema)
     if ws.store.exists("bronze.players"):
         arrived = ws.read_stream("bronze.matches", schemas.BRONZE_MATCH)
         for_each_batch(
@@ -159,7 +164,7 @@ def _mark(ws: Workspace, players: DataFrame) -> None:
 @job
 def preprocess_matches(ws: Workspace) -> None:
     def write(batch: DataFrame) -> None:
-        deduped = nested.dedupe_matches(batch.filter(F.col("puuid").isNotNull()))
+        deduped = nested.dedupe_matches(batch)
         with ws.store.staging() as stage:
             # The wide dedupe runs once; the four tables then read the columns they need. Only
             # trait rows may still repeat a key, when a board lists a trait twice.
@@ -231,7 +236,7 @@ def ingest_logs(ws: Workspace) -> None:
     bronze = logs.bronze_logs(records.decode(wire, ws.record_format))
     path = ws.stream_path("bronze.logs")
     append_stream(bronze, path, ws.checkpoint("ingest_logs"), ["date"])
-    ws.show_as("bronze.logs", path)
+    ws.show_as("bronze.logs", path, bronze.schema)
 
 
 @job
@@ -239,7 +244,7 @@ def preprocess_logs(ws: Workspace) -> None:
     silver = logs.silver_logs(ws.read_stream("bronze.logs", schemas.BRONZE_LOG))
     path = ws.stream_path("silver.logs")
     append_stream(silver, path, ws.checkpoint("preprocess_logs"), ["date"])
-    ws.show_as("silver.logs", path)
+    ws.show_as("silver.logs", path, silver.schema)
 
 
 def _log_gold(
@@ -254,14 +259,14 @@ def _log_gold(
         if ws.late:
             path = f"{ws.stream_path(gold)}-closed"
             append_stream(live, path, ws.checkpoint(f"{name}-closed"), partition_by)
-            ws.show_as(gold, path)
+            ws.show_as(gold, path, live.schema)
             return
         snapshot_stream(
             live,
             ws.stream_path(gold),
             ws.checkpoint(name),
             partition_by,
-            on_snapshot=lambda folder: ws.show_as(gold, folder),
+            on_snapshot=lambda folder: ws.show_as(gold, folder, live.schema),
         )
 
     JOBS[name] = body

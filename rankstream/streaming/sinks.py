@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from rankstream.sinks import folders
 
@@ -83,6 +84,7 @@ def newest_snapshot(spark: SparkSession, path: str) -> str:
     return f"{path}/{committed[-1]}"
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest committed snapshot as a frame."""
-    return spark.read.parquet(newest_snapshot(spark, path))
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The newest committed snapshot as a frame; without rows it can only be read by ``schema``."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(newest_snapshot(spark, path))

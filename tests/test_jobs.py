@@ -48,7 +48,8 @@ def workspace(spark, tmp_path_factory):
     traits = [TRAIT, {"name": "T2", "num_units": 2, "tier_current": 2, "tier_total": 3}]
     seats = [participant("a", 1, augments=["x"], units=[UNIT, UNIT], traits=traits),
              participant("c", 8, traits=traits)]
-    (landing / "matches/1.json").write_text(json.dumps(document("m1", seats)))
+    (landing / "matches/1.json").write_text(
+        "\n".join([json.dumps(document("m1", seats)), json.dumps(document("m0", [])), "{broken"]))
     log(spark, str(landing / "logs"),
         ("a", "2024-01-01T10:00:00+00:00", "/register", 200),
         ("a", "2024-01-01T10:30:00+00:00", "/buy?product=egg&rp=800", 500))
@@ -82,7 +83,7 @@ def test_everything_then_again_with_new_data(spark, workspace):
     done = {p: t is not None for p, t in rows(read("bronze.players"), "puuid", "processedTime")}
     assert done == {"a": True, "b": False}
     assert rows(read("silver.matches"), "match_id", "puuid", "outcome") == [
-        ("m1", "a", "win"), ("m1", "c", "loss")]
+        ("m0", None, "loss"), ("m1", "a", "win"), ("m1", "c", "loss")]
     assert read("silver.match_units").count() == 6
     assert rows(read("gold.composition_metrics"), "trait1", "trait2", "rank") == [("T1", "T2", 1)]
     assert rows(read("gold.transaction_metrics"), "product", "transaction_count", "total_profit") == sorted(
@@ -90,7 +91,7 @@ def test_everything_then_again_with_new_data(spark, workspace):
     connection = read("gold.player_placement_transaction_connection")
     assert rows(connection, "puuid", "average_placement", "transaction_count") == [("a", 1.0, 1)]
     served = spark.read.parquet(f"{workspace.publish_to}/placement_metrics")
-    assert served.count() == 2
+    assert served.count() == 3  # the match without participants has no placement
 
     # a second delivery: m1 again, a new match, a promoted player, a new log
     landing = workspace.landing
@@ -103,7 +104,7 @@ def test_everything_then_again_with_new_data(spark, workspace):
     for _ in range(2):  # the repeat finds nothing new and changes nothing
         jobs.run(workspace)
         assert rows(read("silver.matches"), "match_id", "puuid") == [
-            ("m1", "a"), ("m1", "b"), ("m1", "c"), ("m2", "a"), ("m2", "b")]
+            ("m0", None), ("m1", "a"), ("m1", "b"), ("m1", "c"), ("m2", "a"), ("m2", "b")]
         assert rows(read("silver.players"), "puuid", "tier", "wins") == [
             ("a", "MASTER", 9), ("b", "GOLD", 1)]
         assert rows(read("gold.player_metrics"), "tier", "count") == [("GOLD", 1), ("MASTER", 1)]
@@ -129,3 +130,11 @@ def test_closed_windows_only(spark, workspace):
     assert sum(r.active_user_count for r in read("gold.player_activity_metrics").collect()) == 1
     connection = read("gold.player_placement_transaction_connection")
     assert rows(connection, "puuid", "transaction_count") == [("a", 2), ("b", 0)]
+
+
+def test_table_without_rows_can_be_read(spark, workspace, tmp_path):
+    bare = spark.createDataFrame([], schemas.BRONZE_LOG)
+    bare.write.partitionBy("date").parquet(str(tmp_path / "bare"))
+    workspace.show_as("gold.bare", str(tmp_path / "bare"), bare.schema)
+    assert workspace.store.read("gold.bare").columns == bare.columns
+    assert workspace.store.read("gold.bare").count() == 0

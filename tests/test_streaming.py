@@ -109,3 +109,9 @@ def test_memory_and_console_sinks(spark, split_logs, capfd):
 def test_missing_snapshot(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_snapshot(spark, str(tmp_path / "none"))
+
+
+def test_empty_snapshot_reads_by_schema(spark, split_logs, tmp_path):
+    live = metrics.player_activity(log_stream(spark, split_logs).filter("puuid = 'nobody'"))
+    snapshot_stream(live, str(tmp_path / "d"), str(tmp_path / "c"), ["date"])
+    assert read_snapshot(spark, str(tmp_path / "d"), live.schema).count() == 0
