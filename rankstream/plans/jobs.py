@@ -252,6 +252,7 @@ def _log_gold(
     table: str,
     metric: Callable[[Workspace, DataFrame], DataFrame],
     partition_by: Sequence[str] = (),
+    files: int | None = 4,
 ) -> None:
     def body(ws: Workspace) -> None:
         live = metric(ws, ws.read_stream("silver.logs", schemas.SILVER_LOG))
@@ -266,6 +267,7 @@ def _log_gold(
             ws.stream_path(gold),
             ws.checkpoint(name),
             partition_by,
+            files=files,
             on_snapshot=lambda folder: ws.show_as(gold, folder, live.schema),
         )
 
@@ -290,4 +292,7 @@ _log_gold(
     "player_activity_metrics", "player_activity_metrics",
     lambda ws, rows: metrics.player_activity(rows, ws.late), ["date"],
 )
-_log_gold("connection", "player_placement_transaction_connection", _connection, ["date"])
+# one row per player and day, not per window: as many files as there are state partitions
+_log_gold(
+    "connection", "player_placement_transaction_connection", _connection, ["date"], files=None
+)

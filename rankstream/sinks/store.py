@@ -132,11 +132,13 @@ class TableStore:
         touched = self._touched(target, source, keys, parts)
         if touched:
             # Rows delivered again unchanged need no rewrite; with them gone there may be
-            # nothing left to update.
-            target_rows = target.filter(_in_partitions(parts, touched))
-            aligned = self._align(name, source)
-            same = match_on(aligned, target_rows, target.columns)
-            source = stage(aligned.join(target_rows, same, "left_anti"))
+            # nothing left to update. The stored rows are first cut to the incoming keys, so
+            # that a small source is broadcast and the table is scanned without a shuffle.
+            aligned, incoming = self._align(name, source), source.select(*keys)
+            stored = target.filter(_in_partitions(parts, touched))
+            stored = stored.join(incoming, match_on(stored, incoming, keys), "left_semi")
+            same = match_on(aligned, stored, target.columns)
+            source = stage(aligned.join(stored, same, "left_anti"))
             touched = self._touched(target, source, keys, parts)
         if not touched:
             self.append(name, source)

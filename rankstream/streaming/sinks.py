@@ -29,17 +29,20 @@ def snapshot_stream(
     checkpoint: str,
     partition_by: Sequence[str] = (),
     keep: int = 2,
+    files: int | None = None,
     on_snapshot: Callable[[str], None] | None = None,
 ) -> None:
     """Complete-mode sink: every micro-batch writes the whole result as its own snapshot.
 
     A repeated batch overwrites its own snapshot only, and readers take the newest committed one.
-    ``on_snapshot`` gets the folder of each new snapshot before any old one is dropped; the
+    ``files`` spreads the result over that many tasks for writing, where it is much smaller than
+    the number of state partitions suggests. ``on_snapshot`` gets the folder of each new snapshot before any old one is dropped; the
     newest ``keep`` stay.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        writer = batch.write.mode("overwrite")
+        result = batch.repartition(files) if files else batch
+        writer = result.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         snapshot = f"{path}/{_PREFIX}{batch_id:012d}"
