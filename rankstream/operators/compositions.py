@@ -25,6 +25,17 @@ def _side(boards: DataFrame, number: int, attributes: Sequence[str]) -> DataFram
     )
 
 
+def _paired(traits: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """Pairs of equal-row groups on one board, with the size of each group."""
+    attributes = [*TRAIT, *carry]
+    usable = traits.filter(F.col("trait_tier_max") > 1)
+    boards = usable.groupBy(*BOARD, *attributes).agg(F.count(F.lit(1)).alias("copies"))
+    low, high = _side(boards, 1, attributes), _side(boards, 2, attributes)
+    return low.join(high, list(BOARD)).filter(
+        (F.col("trait1_tier") < F.col("trait2_tier")) & (F.col("trait1") != F.col("trait2"))
+    )
+
+
 def trait_pairs(traits: DataFrame, carry: Sequence[str] = ("trait_unit_count",)) -> DataFrame:
     """Pairs of different traits on one board, the lower tier first; equal tiers do not pair.
 
@@ -33,13 +44,7 @@ def trait_pairs(traits: DataFrame, carry: Sequence[str] = ("trait_unit_count",))
     every row pair, yet a board that repeats its rows, however often, yields no more pairs than
     the distinct traits on it. Both join sides read the same shuffle.
     """
-    attributes = [*TRAIT, *carry]
-    usable = traits.filter(F.col("trait_tier_max") > 1)
-    boards = usable.groupBy(*BOARD, *attributes).agg(F.count(F.lit(1)).alias("copies"))
-    low, high = _side(boards, 1, attributes), _side(boards, 2, attributes)
-    pairs = low.join(high, list(BOARD)).filter(
-        (F.col("trait1_tier") < F.col("trait2_tier")) & (F.col("trait1") != F.col("trait2"))
-    )
+    pairs = _paired(traits, carry)
     return pairs.withColumn("pair_count", F.col("copies1") * F.col("copies2")).drop(
         "copies1", "copies2"
     )
@@ -57,10 +62,11 @@ def pair_strengths(traits: DataFrame, match_count: Column | None = None) -> Data
     top_4_rate * top_1_rate`` with ``pick_rate`` a fraction of all matches.
     """
     match_count = distinct_matches(traits) if match_count is None else match_count
-    weight, place = F.col("pair_count"), F.col("placement")
-    total = F.sum(weight)
+    # as double: only ratios of the sums are wanted, and the products may pass the long range
+    weight = F.col("copies1").cast("double") * F.col("copies2")
+    place, total = F.col("placement"), F.sum(weight)
     combos = (
-        trait_pairs(traits, carry=())
+        _paired(traits, carry=())
         .groupBy(
             "trait1", "trait2", "trait1_tier", "trait2_tier", "trait1_tier_max", "trait2_tier_max"
         )

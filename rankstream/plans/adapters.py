@@ -63,15 +63,16 @@ def _spread(df: DataFrame, key: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str, by_order: bool = False) -> DataFrame:
     lines, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    lines = _spread(lines, "l_orderkey") if by_order else lines
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
 
 
 def match_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
     tier = F.least(F.lit(4), F.floor((F.col("quantity") - 1) / 20))
     return (
-        _lines(spark, sf_dir)
+        _lines(spark, sf_dir, by_order=True)
         .groupBy("l_orderkey", "p_brand")
         .agg(F.count(F.lit(1)).alias("trait_unit_count"), F.sum("l_quantity").alias("quantity"))
         .select(
@@ -101,7 +102,7 @@ def match_augments(spark: SparkSession, sf_dir: str) -> DataFrame:
         for i in (1, 2, 3)
     ]
     return (
-        _lines(spark, sf_dir)
+        _lines(spark, sf_dir, by_order=True)
         .groupBy("l_orderkey")
         .agg(*picked)
         .select(*_seat("l_orderkey"), "augment1", "augment2", "augment3")
