@@ -22,6 +22,9 @@ DEFAULTS = {
 }
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def build_session(app: str = "rankstream", master: str | None = None, **conf: str) -> SparkSession:
     """A session with :data:`DEFAULTS`; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -42,8 +45,10 @@ def shared_folder(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="rankstream-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="rankstream-")
+        root = _LOCAL_FOLDERS[application]
     return root.rstrip("/")
 
 
