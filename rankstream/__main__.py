@@ -13,6 +13,10 @@ def main() -> None:
     parser = argparse.ArgumentParser(prog="rankstream", description=__doc__)
     parser.add_argument("--landing", required=True, help="folder with the raw input")
     parser.add_argument("--warehouse", help="folder for tables; default under spark.checkpoint.dir")
+    parser.add_argument(
+        "--hive", action="store_true",
+        help="keep the catalog in the cluster's metastore; needed unless one run does all jobs",
+    )
     parser.add_argument("--brokers", help="Kafka brokers; without them logs come from the landing folder")
     parser.add_argument("--topic", default="server.logs")
     parser.add_argument("--record-format", choices=("json", "avro"), default="json")
@@ -27,7 +31,7 @@ def main() -> None:
     parser.add_argument("jobs", nargs="*", metavar="job", help=f"any of: {', '.join(JOBS)}")
     args = parser.parse_args()
 
-    spark = build_session("rankstream")
+    spark = build_session("rankstream", hive=args.hive)
     workspace = Workspace(
         spark,
         TableStore(spark, args.warehouse),

@@ -25,11 +25,18 @@ DEFAULTS = {
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
-def build_session(app: str = "rankstream", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with :data:`DEFAULTS`; ``conf`` keys use ``__`` for dots."""
+def build_session(
+    app: str = "rankstream", master: str | None = None, hive: bool = False, **conf: str
+) -> SparkSession:
+    """A session with :data:`DEFAULTS`; ``conf`` keys use ``__`` for dots.
+
+    ``hive`` uses the cluster's metastore, which jobs that run as separate applications share.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if hive:
+        builder = builder.enableHiveSupport()
     settings = DEFAULTS | {k.replace("__", "."): v for k, v in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -223,11 +223,18 @@ class TableStore:
         self.spark.sql(
             f"CREATE TABLE {name} ({columns}) USING parquet {clause} LOCATION {_sql_literal(version)}"
         )
-        if partition_by:
+        if partition_by and folders.exists(self.spark, version):
             self.spark.catalog.recoverPartitions(name)
 
     def _create(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> None:
-        self._register(name, df, self._write_version(name, df, partition_by), partition_by)
+        base = f"{self.root}/{name.replace('.', '/')}"
+        if folders.children(self.spark, base):
+            raise RuntimeError(
+                f"{base} holds data but the catalog has no {name}: use the catalog that made it"
+            )
+        # Named first, filled second: a run lost in between leaves an empty table to go on with.
+        self._register(name, df, self._new_folder(name), partition_by)
+        self._align(name, df).write.insertInto(name)
 
     def _add_columns(self, name: str, df: DataFrame) -> None:
         known = set(self.read(name).columns)

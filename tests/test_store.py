@@ -114,3 +114,23 @@ def test_prepared_source(store, spark, table_name):
         data = spark.createDataFrame([("a", "X", wins), (None, "Y", wins)], PLAYERS)
         store.upsert(table_name, data, ["puuid"], prepared=True)
     assert rows(store.read(table_name)) == sorted([("a", "X", 2), (None, "Y", 2)], key=repr)
+
+
+def test_a_forgotten_table_is_not_started_over(store, spark, table_name):
+    store.append(table_name, spark.range(1))
+    spark.sql(f"DROP TABLE {table_name}")
+    with pytest.raises(RuntimeError, match="holds data"):
+        store.append(table_name, spark.range(1))
+
+
+@pytest.mark.parametrize("by", [[], ["tier"]])
+def test_create_lost_before_its_rows(store, spark, table_name, by, monkeypatch):
+    """A driver lost between naming and filling a table can simply run again."""
+    data = spark.createDataFrame([("a", "X", 1)], PLAYERS)
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "_align", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.upsert(table_name, data, ["puuid"], partition_by=by)
+    assert store.read(table_name).count() == 0
+    store.upsert(table_name, data, ["puuid"], partition_by=by)
+    assert rows(store.read(table_name), "puuid", "tier", "wins") == [("a", "X", 1)]
