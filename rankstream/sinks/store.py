@@ -81,7 +81,7 @@ class TableStore:
             self._create(name, df, partition_by)
             return
         self._add_columns(name, df)
-        self._align(name, df).write.insertInto(name)
+        self._insert(name, df)
 
     def overwrite(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         """Replaces the table by ``df``, which may read the table itself."""
@@ -234,7 +234,12 @@ class TableStore:
             )
         # Named first, filled second: a run lost in between leaves an empty table to go on with.
         self._register(name, df, self._new_folder(name), partition_by)
+        self._insert(name, df)
+
+    def _insert(self, name: str, df: DataFrame) -> None:
         self._align(name, df).write.insertInto(name)
+        # a micro-batch writes through a session of its own; this one must list the files anew
+        self.spark.catalog.refreshTable(name)
 
     def _add_columns(self, name: str, df: DataFrame) -> None:
         known = set(self.read(name).columns)
