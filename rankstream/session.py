@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -22,9 +21,6 @@ DEFAULTS = {
 }
 
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-
 def build_session(
     app: str = "rankstream", master: str | None = None, hive: bool = False, **conf: str
 ) -> SparkSession:
@@ -44,18 +40,13 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
+    """The folder all executors can reach: ``spark.checkpoint.dir``, else the warehouse.
 
-    Only a local-mode session may go without the setting; it then gets a folder of its own.
+    Both are paths of the cluster's file system; neither is ever a machine's temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        application = spark.sparkContext.applicationId
-        if application not in _LOCAL_FOLDERS:
-            _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="rankstream-")
-        root = _LOCAL_FOLDERS[application]
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     return root.rstrip("/")
 
 
