@@ -113,6 +113,15 @@ def _balls(fps: DataFrame, flips: list[list[int]]) -> DataFrame:
     )
 
 
+def _asked(index: int, low: int, bits: int, own: Column) -> Column:
+    """The segment values with one bit more than the fingerprint's own."""
+    single = _longs([1 << b for b in range(low, low + bits)])
+    lacking = F.filter(single, lambda bit: F.col("fp").bitwiseAND(bit) == 0)
+    return F.transform(
+        lacking, lambda bit: F.struct(F.lit(index).alias("seg"), own.bitwiseOR(bit).alias("key"))
+    )
+
+
 def _links(fps: DataFrame, hot: int) -> DataFrame:
     """Edges (a, b) that connect all fingerprints within the radius of each other.
 
@@ -124,15 +133,7 @@ def _links(fps: DataFrame, hot: int) -> DataFrame:
         entry = F.struct(F.lit(index).alias("seg"), own.alias("key"))
         members.append(entry)
         if radius:
-            single = _longs([1 << b for b in range(low, low + bits)])
-            lacking = F.filter(single, lambda bit: F.col("fp").bitwiseAND(bit) == 0)
-            askers.append(
-                F.transform(
-                    lacking,
-                    lambda bit, i=index, k=own: F.struct(F.lit(i).alias("seg"),
-                                                         k.bitwiseOR(bit).alias("key")),
-                )
-            )
+            askers.append(_asked(index, low, bits, own))
     table = fps.select("fp", F.explode(F.array(*members)).alias("e")).select("fp", "e.seg", "e.key")
     probes = fps.select("fp", F.explode(F.concat(*askers)).alias("e")).select("fp", "e.seg", "e.key")
     sizes = settle(table.groupBy("seg", "key").count().filter(F.col("count") > hot), "hot").drop("count")
