@@ -19,8 +19,10 @@ with the same id share their rows; empty tables give none.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -261,7 +263,7 @@ def windows(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> D
     )
 
 
-def _indexes(benchmark: DataFrame) -> Iterator:
+def _indexes(benchmark: DataFrame) -> Iterator[_Block]:
     """Broadcast indexes of the benchmark's blocks, each of bounded size."""
     spark = benchmark.sparkSession
     cut = settle(windows(benchmark), "windows")
@@ -270,29 +272,47 @@ def _indexes(benchmark: DataFrame) -> Iterator:
     for block in range(blocks):
         chosen = cut.filter(F.pmod(F.xxhash64("item", "start", "text"), F.lit(blocks)) == block)
         rows = [(r.item, r.text) for r in chosen.orderBy("item", "start").toLocalIterator()]
-        yield spark.sparkContext.broadcast(rows)
+        yield _Block(spark.sparkContext.broadcast(rows))
 
 
-_BUILT: dict[int, Index] = {}
+class _Block:
+    """A broadcast block of windows; each worker builds its index once."""
 
+    def __init__(self, broadcast):
+        self.name, self.broadcast = uuid.uuid4().hex, broadcast
 
-def _index(rows) -> Index:
-    """The block's index, built once per worker."""
-    if rows.id not in _BUILT:
-        _BUILT.clear()
-        _BUILT[rows.id] = Index(rows.value)
-    return _BUILT[rows.id]
+    def index(self) -> Index:
+        if self.name not in _BUILT:
+            _BUILT.clear()
+            _BUILT[self.name] = Index(self.broadcast.value)
+        return _BUILT[self.name]
 
 
-class _Block:
-    """What tasks need of a broadcast block."""
+_BUILT: dict[str, Index] = {}
 
-    def __init__(self, broadcast):
-        self.id, self.broadcast = broadcast.id, broadcast
 
-    @property
-    def value(self):
-        return self.broadcast.value
+def _searching(block: _Block):
+    def search(batches):
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            hits = _search_texts(block.index(), batch.column(1).to_pylist())
+            columns = list(zip(*hits)) if hits else [()] * 5
+            arrays = [pa.array([ids[i] for i in columns[0]], pa.int64())]
+            arrays += [pa.array(c, pa.int64()) for c in columns[1:]]
+            yield pa.RecordBatch.from_arrays(arrays, names=HITS.fieldNames())
+
+    return search
+
+
+def _free(block: _Block):
+    @F.pandas_udf(schemas.BOOLEAN)
+    def free(texts: pd.Series) -> pd.Series:
+        found = np.ones(len(texts), bool)
+        for hit in _search_texts(block.index(), list(texts)):
+            found[hit[0]] = False
+        return pd.Series(found)
+
+    return free
 
 
 def regions(
@@ -304,22 +324,8 @@ def regions(
     least of a window.
     """
     picked = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    schema = HITS
-    found = None
-    for broadcast in _indexes(benchmark):
-
-        def search(batches, block=_Block(broadcast)):
-            index = _index(block)
-            for batch in batches:
-                ids = batch.column(0).to_pylist()
-                hits = _search_texts(index, batch.column(1).to_pylist())
-                columns = list(zip(*hits)) if hits else [()] * 5
-                arrays = [pa.array([ids[i] for i in columns[0]], pa.int64())]
-                arrays += [pa.array(c, pa.int64()) for c in columns[1:]]
-                yield pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
-
-        part = picked.mapInArrow(search, schema)
-        found = part if found is None else found.unionByName(part)
+    parts = [picked.mapInArrow(_searching(block), HITS) for block in _indexes(benchmark)]
+    found = reduce(DataFrame.unionByName, parts)
     return found.groupBy("doc_id", "item_id").agg(
         F.min("start").alias("start"), F.max("end").alias("end"),
         F.count(F.lit(1)).alias("windows"), F.min("edits").alias("edits"),
@@ -328,14 +334,6 @@ def regions(
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents without a benchmark passage; nothing is shuffled."""
-    for broadcast in _indexes(benchmark):
-
-        @F.pandas_udf(schemas.BOOLEAN)
-        def free(texts: pd.Series, block=_Block(broadcast)) -> pd.Series:
-            found = np.ones(len(texts), bool)
-            for hit in _search_texts(_index(block), list(texts)):
-                found[hit[0]] = False
-            return pd.Series(found)
-
-        docs = docs.filter(free(F.col(f"`{text}`")))
+    for block in _indexes(benchmark):
+        docs = docs.filter(_free(block)(F.col(f"`{text}`")))
     return docs
