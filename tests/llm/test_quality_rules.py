@@ -1,0 +1,118 @@
+"""Quality rules against plain loops and exact histograms."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+from rankstream.llm import catalog, quality_rules as q
+
+COLUMNS = "doc_id long, text string, lang string, source string"
+
+
+def direct_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = Counter(zip(words, words[1:], words[2:]))
+    inside = set()
+    for i in range(len(words) - 2):
+        if windows[tuple(words[i : i + 3])] > 1:
+            inside |= {i, i + 1, i + 2}
+    seen, again = set(), 0
+    for line in (text or "").split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            again += line in seen
+            seen.add(line)
+    symbols = len(re.findall(r"[#*$%&|<>]", text or ""))
+    return len(words), sum(map(len, words)), symbols, again, len(inside)
+
+
+TEXTS = [
+    None, "", " \n\t", "one", "a b a b a b", "a b c a b c a", "x\nx\n \n \nx y", "#a $b é漢 <c>",
+    "no\u00a0break \u0085 \x1c here", "l\r\nl\r\nl", "w " * 100_000, "a b c d a b c e a b",
+]
+
+
+def test_counts(spark):
+    df = spark.createDataFrame([(i, t, None, None) for i, t in enumerate(TEXTS)], COLUMNS)
+    for row in df.select("doc_id", q.statistics(df.text).alias("s")).collect():
+        assert tuple(row.s)[:5] == direct_counts(TEXTS[row.doc_id])
+
+
+def bucket(value):
+    shift = max(0, value.bit_length() - 6) if value else 0
+    return value >> shift << shift
+
+
+def direct_verdicts(rows, least_rows=q.LEAST_ROWS, reach=q.REACH):
+    measured = []
+    for doc, text, lang, source in rows:
+        n, chars, symbols, dup, repeat = direct_counts(text)
+        lines = len([x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)])
+        c = dict(n_words=n, word_chars=chars, n_symbols=symbols, n_dup_lines=dup,
+                 n_repeat_words=repeat, n_lines=lines)
+        measured.append((doc, lang, source, c, n < 50 or 100 * repeat > 50 * n))
+    share = lambda r, c: bucket(1000 * c[r.numerator] // max(1, c[r.denominator]))
+    groups = defaultdict(list)
+    for _, lang, source, c, failed in measured:
+        if not failed:
+            for key in ((lang, source), (lang,), ()):
+                groups[key].append(c)
+
+    def fence(rule, key):
+        values = sorted(share(rule, c) for c in groups[key])
+        n = len(values)
+        at = lambda p: values[-(-n * p // 100) - 1]
+        low, mid, high = at(25), at(50), at(75)
+        if rule.below:
+            return mid - reach * max(mid - low, rule.floor)
+        return mid + reach * max(high - mid, rule.floor)
+
+    kept = {}
+    for doc, lang, source, c, failed in measured:
+        verdict = not failed
+        for rule in q.RULES if not failed else ():
+            levels = [k for k in ((lang, source), (lang,)) if len(groups[k]) >= least_rows]
+            limit, value = fence(rule, levels[0] if levels else ()), share(rule, c)
+            verdict &= value >= limit if rule.below else value <= limit
+        kept[doc] = (failed, verdict)
+    return kept
+
+
+def test_adaptive_verdicts(spark):
+    rng = random.Random(1)
+    vocabulary = ["".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 8))) for _ in range(800)]
+    rows = []
+    for doc in range(900):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(30, 120))]
+        source = rng.choice(["hot", "hot", "s1", "s2", None])
+        if rng.random() < 0.1:
+            words = [w + "###" for w in words]
+        if source == "s1" and rng.random() < 0.6:
+            words = [w + "|" for w in words]
+        text = " ".join(words)
+        if rng.random() < 0.1:
+            text = "\n".join([text[:40]] * rng.randint(2, 9) + [text])
+        rows.append((doc, text, rng.choice(["en", "en", "fr", None]), source))
+    rows += [(900, None, "en", "hot"), (901, "", None, None)]
+    df = spark.createDataFrame(rows, COLUMNS)
+    want = direct_verdicts(rows)
+    got = {r.doc_id: (r.counts.base_failed, r.counts.kept) for r in q.judge(df).collect()}
+    assert got == want
+    assert {k for _, k in want.values()} == {True, False}
+    assert sorted(r.doc_id for r in q.filtered(df).collect()) == sorted(d for d, v in want.items() if v[1])
+
+
+def test_columns_clashes_and_empty(spark):
+    df = spark.createDataFrame([(1, "w " * 60, "a", "b", 1, 2, 3)], COLUMNS + ", n_words int, total int, rule int")
+    assert q.filtered(df).columns == df.columns
+    assert q.filtered(df.limit(0)).collect() == []
+
+
+def test_query_keeps_what_is_labelled_good(spark, sf_dir):
+    found = catalog.QUERIES["op8_adaptive_quality_rules"](spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = found.join(labels, "doc_id").collect()
+    assert not any(r.kept for r in rows if r.quality == 0)
+    assert all(r.kept for r in rows if r.quality == 1 and not r.base_failed)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    base = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in found.collect()}
+    assert base == {r.doc_id: direct_counts(r.text) for r in docs}

@@ -1,0 +1,112 @@
+"""WARC bundles: exact round trips, by scan and by seek."""
+
+import base64
+import hashlib
+
+import pytest
+import zstandard
+
+from rankstream.llm import catalog, warc
+
+PAGES = "page_id long, url string, html string"
+
+
+def digest(payload):
+    return base64.b32encode(hashlib.sha1(payload).digest()).decode()
+
+
+def direct(pages):
+    best = {}
+    for page, _, html in pages:
+        payload = (html or "").encode()
+        if page is not None:
+            best[payload] = max(page, best.get(payload, page))
+    found = []
+    for page, _, html in pages:
+        payload = (html or "").encode()
+        revisit = payload in best and page != best[payload]
+        found.append((page, len(payload), digest(payload), "revisit" if revisit else "response",
+                      best[payload] if revisit else None))
+    return sorted(found, key=repr)
+
+
+ROWS = [
+    (1, "http://a/1", "same"), (2, "http://a/2\r\nX: y", "same"), (3, None, None), (4, "u", ""),
+    (None, "n", "same"), (None, "n", "alone"), (5, "http://é", "é漢𝒜\r\n\r\nWARC/1.1\r\n"), (6, "l", "x" * 700_000),
+    (7, "l", "x" * 700_000), (8, "z", "z"), (8, "z", "z"), (9, "w", "z"),
+]
+
+
+@pytest.fixture(scope="module")
+def archive(spark):
+    folder = warc.archive_folder(spark)
+    df = spark.createDataFrame([(*r, "d", 0) for r in ROWS], PAGES + ", digest string, copy int")
+    return folder, warc.write_archives(df.repartition(3), folder)
+
+
+def test_scan(spark, archive):
+    folder, index = archive
+    read = warc.read_archives(spark, folder, index)
+    got = read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    assert sorted(map(tuple, got), key=repr) == direct(ROWS)
+
+
+def test_seek(spark, archive):
+    folder, index = archive
+    by_page = {}
+    for page, url, html in ROWS:
+        by_page.setdefault(page, []).append((html or "").encode())
+    rows = index.collect()
+    assert len(rows) == len(ROWS)
+    for r in rows:
+        headers, payload = warc.read_record(f"{folder}/{r.bundle}", r.frame, r.offset, r.length)
+        assert headers["WARC-Record-ID"] == f"<urn:page:{'' if r.record_id is None else r.record_id}>"
+        if headers["WARC-Type"] == "response":
+            assert payload in by_page[r.record_id]
+        else:
+            assert payload == b"" and headers["WARC-Payload-Digest"][5:] in map(digest, by_page[r.record_id])
+
+
+def test_any_reader_can_decompress(spark, archive):
+    folder, index = archive
+    names = {r.bundle for r in index.collect()}
+    records = 0
+    for name in names:
+        system, path = warc.filesystem(f"{folder}/{name}")
+        with system.open_input_stream(path, compression=None) as stream:
+            data = stream.read()
+        plain = zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True).read()
+        records += len(list(warc.parse_records(plain)))
+        assert sum(n for *_, n in warc.frame_starts(data)) == len(plain)
+    assert records == len(ROWS)
+
+
+def test_leftovers_are_not_read(spark, archive):
+    folder, index = archive
+    system, path = warc.filesystem(folder)
+    name = index.first().bundle
+    system.copy_file(f"{path}/{name}", f"{path}/999999-0-0000.warc.zst")
+    assert warc.read_archives(spark, folder, index).count() == len(ROWS)
+
+
+def test_small_bundles_and_frames(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BUNDLE_BYTES", 64)
+    folder = warc.archive_folder(spark)
+    df = spark.createDataFrame(ROWS, PAGES).coalesce(1)
+    index = warc.write_archives(df, folder)
+    got = warc.read_archives(spark, folder, index)
+    assert got.count() == len(ROWS)
+
+
+def test_least_bytes_and_empty(spark):
+    df = spark.createDataFrame(ROWS, PAGES)
+    assert {r.page_id for r in warc.revisits(df, 1000).collect()} == {6}
+    folder = warc.archive_folder(spark)
+    index = warc.write_archives(df.limit(0), folder)
+    assert index.collect() == [] and warc.read_archives(spark, folder, index).collect() == []
+
+
+def test_query(spark, sf_dir):
+    pages = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html").collect()]
+    got = catalog.QUERIES["op10_seekable_warc"](spark, sf_dir).collect()
+    assert sorted(map(tuple, got), key=repr) == direct(pages)
