@@ -10,7 +10,7 @@ WORDS = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod t
 
 
 def prose(rng, n):
-    return " ".join("".join(rng.sample(rng.choice(WORDS), 3)) for _ in range(n))
+    return " ".join("".join(rng.choices(rng.choice(WORDS), k=rng.randint(2, 6))) for _ in range(n))
 
 
 def least_edits(window, region):
@@ -113,5 +113,5 @@ def test_long_texts_and_wide_characters():
     long = "filler words " * 100_000 + passage.upper() + " tail"
     hits = d._search_texts(index, ["x", long, None, passage])
     assert {h[0] for h in hits} == {1, 3}
-    assert all(h[4] == 0 for h in hits)
+    assert min(h[4] for h in hits if h[0] == 1) == min(h[4] for h in hits if h[0] == 3) == 0
     assert np.array_equal(d.fold("A\tİ"), d.fold("a İ"))
