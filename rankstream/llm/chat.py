@@ -23,11 +23,11 @@ import json
 import re
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankstream import schemas
+from rankstream.llm.common import per_value
 
 TURN = schemas.struct(role=schemas.STRING, text=schemas.STRING)
 SPAN = schemas.struct(start=schemas.LONG, end=schemas.LONG)
@@ -191,15 +191,12 @@ def _format_record(record: str | None):
     if turns is None:
         return name, None, None, None, None
     string, spans = formatted(turns)
-    return name, _BY_FINGERPRINT[name].name, len(turns), string, [{"start": a, "end": b} for a, b in spans]
+    return name, _BY_FINGERPRINT[name].name, len(turns), string, spans
 
 
-@F.pandas_udf(FORMATTED)
-def format_records(records: pd.Series) -> pd.DataFrame:
+def format_records(records: Column) -> Column:
     """JSON records as formatted strings with their loss spans."""
-    return pd.DataFrame(
-        [_format_record(r) for r in records], columns=FORMATTED.fieldNames(), dtype=object
-    )
+    return per_value(_format_record, FORMATTED)(records)
 
 
 def conversation_records(
@@ -237,17 +234,14 @@ READ_BACK = schemas.struct(
 def read_back(string: Column, loss: Column) -> Column:
     """Counts and digests of turns and loss text, as parsed from the formatted string."""
 
-    @F.pandas_udf(READ_BACK)
-    def digests(strings: pd.Series, spans: pd.Series) -> pd.DataFrame:
-        found = []
-        for whole, masked in zip(strings, spans):
-            turns = hashlib.sha256()
-            said = parsed(whole)
-            for role, text in said:
-                turns.update(f"{role}\n{text}\n".encode())
-            learned = "".join(unescape(whole[s["start"] : s["end"]]) for s in masked)
-            found.append((len(said), turns.hexdigest(), len(learned),
-                          hashlib.sha256(learned.encode()).hexdigest(), len(whole)))
-        return pd.DataFrame(found, columns=READ_BACK.fieldNames())
-
-    return digests(string, loss)
+
+    def digests(made: dict):
+        whole, turns = made["whole"], hashlib.sha256()
+        said = parsed(whole)
+        for role, text in said:
+            turns.update(f"{role}\n{text}\n".encode())
+        learned = "".join(unescape(whole[s["start"] : s["end"]]) for s in made["masked"])
+        spoken = hashlib.sha256(learned.encode()).hexdigest()
+        return len(said), turns.hexdigest(), len(learned), spoken, len(whole)
+
+    return per_value(digests, READ_BACK)(F.struct(string.alias("whole"), loss.alias("masked")))

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from rankstream import schemas
 from rankstream.session import fresh_folder, shared_folder
 
 
@@ -29,6 +33,36 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def arrow_type(kind: T.DataType) -> pa.DataType:
+    """The Arrow type of the Spark types that the operators return."""
+    if isinstance(kind, T.StructType):
+        return pa.struct([(f.name, arrow_type(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return pa.list_(arrow_type(kind.elementType))
+    plain = {
+        schemas.LONG: pa.int64(), schemas.INT: pa.int32(), schemas.DOUBLE: pa.float64(),
+        schemas.STRING: pa.string(), schemas.BOOLEAN: pa.bool_(),
+    }
+    return plain[kind]
+
+
+def per_value(fn: Callable, kind: T.DataType) -> Callable[[Column], Column]:
+    """A column function that calls ``fn`` on one value at a time.
+
+    Of a batch's texts only one is a Python object at any time, which bounds a worker's memory.
+    """
+    made = arrow_type(kind)
+
+    def column(value: Column) -> Column:
+        @F.arrow_udf(kind)
+        def applied(values: pa.Array) -> pa.Array:
+            return pa.array((fn(v.as_py()) for v in values), type=made)
+
+        return applied(value)
+
+    return column
+
+
 def hidden(label: str) -> str:
     """A column name that no input has."""
     return f"_{label}_{uuid.uuid4().hex[:8]}"

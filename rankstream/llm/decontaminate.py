@@ -20,12 +20,11 @@ with the same id share their rows; empty tables give none.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +39,7 @@ PER_EDIT = 20
 BLOCK_CHARS = 1_000_000
 _BITS = 24
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_BATCH_CHARS = 4_000_000
+_BATCH_CHARS = 500_000
 
 HITS = schemas.struct(
     doc_id=schemas.LONG, item_id=schemas.LONG, start=schemas.LONG, end=schemas.LONG,
@@ -217,33 +216,43 @@ def align(window: np.ndarray, region: np.ndarray, budget: int) -> tuple[int, int
     return edits, begin, end
 
 
-def _search_texts(index: Index, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
-    """Hits of a list of texts, by position in the list; long lists in bounded pieces."""
-    found, group, size = [], [], 0
+def _search_texts(
+    index: Index, texts: Iterable[str | None]
+) -> list[tuple[int, int, int, int, int]]:
+    """Hits of a list of texts, by position in the list.
+
+    Texts are searched together up to a bounded number of characters, and long ones in pieces that
+    overlap by more than a window can span, so memory does not depend on their lengths.
+    """
+    found: set[tuple[int, int, int, int, int]] = set()
+    group: list[tuple[int, int, str]] = []
+    size, overlap = 0, 2 * (index.span + Q)
 
     def run():
-        parts, owners, offsets, at = [], [], {}, 0
+        parts, owners, shifts, at = [], [], [], 0
         gap = np.zeros(1, np.uint32)
-        for number, text in group:
-            codes = fold(text)
-            offsets[number] = at
+        for order, (number, start, piece) in enumerate(group):
+            codes = fold(piece)
+            shifts.append(start - at)
             parts += [codes, gap]
-            owners += [np.full(codes.size, number, np.int64), np.full(1, -1, np.int64)]
+            owners += [np.full(codes.size, order, np.int32), np.full(1, -1, np.int32)]
             at += codes.size + 1
-        for who, item, start, end, edits in index.search(np.concatenate(parts), np.concatenate(owners)):
-            if who >= 0:
-                found.append((who, item, start - offsets[who], end - offsets[who], edits))
+        for order, item, start, end, edits in index.search(np.concatenate(parts), np.concatenate(owners)):
+            if order >= 0:
+                shift = shifts[order]
+                found.add((group[order][0], item, start + shift, end + shift, edits))
 
     for number, text in enumerate(texts):
-        if text:
-            group.append((number, text))
-            size += len(text)
-        if size >= _BATCH_CHARS:
-            run()
-            group, size = [], 0
+        for start in range(0, len(text or ""), _BATCH_CHARS):
+            piece = text[start : start + _BATCH_CHARS + overlap]
+            group.append((number, start, piece))
+            size += len(piece)
+            if size >= _BATCH_CHARS:
+                run()
+                group, size = [], 0
     if group:
         run()
-    return found
+    return sorted(found)
 
 
 def windows(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -295,7 +304,7 @@ def _searching(block: _Block):
     def search(batches):
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            hits = _search_texts(block.index(), batch.column(1).to_pylist())
+            hits = _search_texts(block.index(), (t.as_py() for t in batch.column(1)))
             columns = list(zip(*hits)) if hits else [()] * 5
             arrays = [pa.array([ids[i] for i in columns[0]], pa.int64())]
             arrays += [pa.array(c, pa.int64()) for c in columns[1:]]
@@ -305,12 +314,12 @@ def _searching(block: _Block):
 
 
 def _free(block: _Block):
-    @F.pandas_udf(schemas.BOOLEAN)
-    def free(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf(schemas.BOOLEAN)
+    def free(texts: pa.Array) -> pa.Array:
         found = np.ones(len(texts), bool)
-        for hit in _search_texts(block.index(), list(texts)):
+        for hit in _search_texts(block.index(), (t.as_py() for t in texts)):
             found[hit[0]] = False
-        return pd.Series(found)
+        return pa.array(found)
 
     return free
 

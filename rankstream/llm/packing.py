@@ -141,10 +141,11 @@ def pieces(
     def cut(batches):
         part, ranks = TaskContext.get().partitionId(), {}
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, texts = batch.column(0), batch.column(1)
             for at in range(0, len(texts), 256):  # bounded memory, whatever the batch
                 rows = []
-                for doc, text in zip(ids[at : at + 256], texts[at : at + 256]):
+                for i in range(at, min(at + 256, len(texts))):
+                    doc, text = ids[i].as_py(), texts[i].as_py()
                     data = (_ids(tokenizer_file).of(text) if text else b"") + end
                     total, start = len(data) // 4, 0
                     for length in cuts(total, capacity, finest):

@@ -18,7 +18,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -179,15 +179,15 @@ def training_rows(
         .select("doc_id", (F.col("share") >= 0.5).cast("int").alias("label"))
     )
     chosen = votes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most `most` rows
+    picked = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id")  # at most `most` rows
 
     def measure(batches):
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"],
-                                "x": list(matrix(batch["text"]))})
+            x = pa.array(list(matrix(t.as_py() for t in batch["text"])), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["label"], x], ["doc_id", "label", "x"])
 
     kind = schemas.struct(doc_id=schemas.LONG, label=schemas.INT, x=schemas.array(schemas.DOUBLE))
-    one = picked.mapInPandas(measure, kind).groupBy("doc_id").agg(
+    one = picked.mapInArrow(measure, kind).groupBy("doc_id").agg(
         F.max_by("label", "x").alias("label"), F.max("x").alias("x")
     )
     rows = sorted(one.collect())  # bounded by `most`
@@ -198,9 +198,9 @@ def training_rows(
 def score(text: Column, trees: Trees) -> Column:
     """Scores of whole texts, 0 to 1."""
 
-    @F.pandas_udf(schemas.DOUBLE)
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series(trees.scores(matrix(texts)))
+    @F.arrow_udf(schemas.DOUBLE)
+    def scored(texts: pa.Array) -> pa.Array:
+        return pa.array(trees.scores(matrix(t.as_py() for t in texts)))
 
     return scored(text)
 

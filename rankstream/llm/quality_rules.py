@@ -15,12 +15,11 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankstream import schemas
-from rankstream.llm.common import hidden, settle
+from rankstream.llm.common import hidden, per_value, settle
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 STATISTICS = schemas.struct(**dict.fromkeys((*BASE, "n_lines"), schemas.LONG))
@@ -81,10 +80,9 @@ def _counts(text: str | None) -> tuple[int, ...]:
     )
 
 
-@F.pandas_udf(STATISTICS)
-def statistics(text: pd.Series) -> pd.DataFrame:
+def statistics(text: Column) -> Column:
     """The base counts of whole texts."""
-    return pd.DataFrame(map(_counts, text), columns=[*BASE, "n_lines"], dtype="int64")
+    return per_value(_counts, STATISTICS)(text)
 
 
 def base_failed(n_words: Column, n_repeat_words: Column) -> Column:

@@ -26,13 +26,12 @@ any id has null. Repeated rows get a row each.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankstream import schemas
-from rankstream.llm.common import checkpoint, hidden, row_key, settle
+from rankstream.llm.common import checkpoint, hidden, per_value, row_key, settle
 from rankstream.llm.components import connected_components
 
 SHINGLE = 4
@@ -65,13 +64,7 @@ def _fingerprint(text: str | None, shingle: int) -> int:
 
 def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
     """The fingerprint of whole texts as a signed long with the same 64 bits."""
-
-    @F.pandas_udf(schemas.LONG)
-    def of(texts: pd.Series) -> pd.Series:
-        found = [_fingerprint(t, shingle) for t in texts]
-        return pd.Series(np.array(found, np.uint64).view(np.int64))
-
-    return of(text)
+    return per_value(lambda t: _long(_fingerprint(t, shingle)), schemas.LONG)(text)
 
 
 def hex_digits(value: Column) -> Column:
