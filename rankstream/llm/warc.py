@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankstream import schemas
-from rankstream.llm.common import settle
+from rankstream.llm.common import checkpoint, settle
 from rankstream.session import fresh_folder
 
 # Fixed values of the formats.
@@ -44,6 +44,7 @@ _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n\r\n"
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 16 << 20
 LEVEL = 3
+MOST_TASKS = 100_000  # that read archives back
 DATE = "1970-01-01T00:00:00Z"
 
 INDEX = schemas.struct(
@@ -144,7 +145,7 @@ def seek_table(frames: list[tuple[int, int]]) -> bytes:
     return struct.pack("<II", _SKIPPABLE, len(entries) + len(footer)) + entries + footer
 
 
-def frame_starts(tail: bytes | memoryview) -> list[tuple[int, int, int]]:
+def frame_starts(tail: bytes) -> list[tuple[int, int, int]]:
     """(start, compressed, decompressed) of each frame; ``tail`` ends the bundle."""
     count, descriptor, magic = struct.unpack("<IBI", tail[-9:])
     if magic != _SEEKABLE or descriptor:
@@ -157,17 +158,22 @@ def frame_starts(tail: bytes | memoryview) -> list[tuple[int, int, int]]:
     return found
 
 
+def read_seek_table(stream) -> list[tuple[int, int, int]]:
+    """:func:`frame_starts` of an open bundle, of which only the end is read."""
+    size = stream.size()
+    stream.seek(size - 9)
+    count = struct.unpack("<IBI", stream.read(9))[0]
+    stream.seek(size - 9 - 8 * count)
+    return frame_starts(stream.read(9 + 8 * count))
+
+
 def read_record(bundle: str, frame: int, offset: int, length: int) -> tuple[dict[str, str], bytes]:
     """One record of a bundle, by decompressing its frame alone."""
     import zstandard
 
     system, path = filesystem(bundle)
     with system.open_input_file(path) as stream:
-        size = stream.size()
-        stream.seek(size - 9)
-        count = struct.unpack("<IBI", stream.read(9))[0]
-        stream.seek(size - 9 - 8 * count)
-        start, compressed, plain = frame_starts(stream.read(9 + 8 * count))[frame]
+        start, compressed, plain = read_seek_table(stream)[frame]
         stream.seek(start)
         data = zstandard.ZstdDecompressor().decompress(stream.read(compressed), max_output_size=plain)
     return next(parse_records(data[offset : offset + length]))
@@ -236,24 +242,25 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
 
 def read_archives(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
     """One row per record of the bundles that the index names, parsed from the files."""
-    import zstandard
-
-    name = F.element_at(F.split("path", "/"), -1)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
-    live = index.select(F.col("bundle").alias("live")).distinct()
-    contents = files.join(live, name == F.col("live"), "left_semi").select("content")
+    live = checkpoint(index.select("bundle").distinct())
+    bundles = max(1, min(live.count(), MOST_TASKS))
 
     def read(batches):
+        import zstandard
+
+        system, root = filesystem(folder)
         reader = zstandard.ZstdDecompressor()
         for batch in batches:
-            for i in range(batch.num_rows):
-                data = memoryview(batch.column(0)[i].as_buffer())
-                for start, compressed, plain in frame_starts(data):
-                    frame = reader.decompress(bytes(data[start : start + compressed]), max_output_size=plain)
-                    rows = [_row(*record) for record in parse_records(frame)]
-                    yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
-
-    return contents.mapInArrow(read, RECORD)
+            for name in batch.column(0).to_pylist():
+                with system.open_input_file(f"{root}/{name}") as stream:
+                    for start, compressed, plain in read_seek_table(stream):
+                        stream.seek(start)
+                        frame = reader.decompress(stream.read(compressed), max_output_size=plain)
+                        rows = [_row(*record) for record in parse_records(frame)]
+                        yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+
+    # names travel, archives are opened where they are parsed, a frame at a time
+    return live.repartition(bundles, "bundle").mapInArrow(read, RECORD)
 
 
 _ARROW = pa.schema(
