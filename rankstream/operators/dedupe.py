@@ -21,12 +21,33 @@ def _tie_breakers(df: DataFrame, used: set[str]) -> list[Column]:
     ]
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = ()) -> DataFrame:
+def first_per_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column | str] = (),
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
     """One row per key: the first by ``order``, then by all other columns.
 
     ``row_number() = 1`` lets Spark cut each key to one row per task before the shuffle
     (WindowGroupLimit), so a key holding a large share of the rows costs no more than others.
+
+    ``columns`` narrows the result to the keys and these. Ties are then broken by a hash of the
+    whole row, so that the other columns are read but neither sorted nor shuffled.
     """
+    if columns is not None:
+        hashed = F.xxhash64(*_tie_breakers(df, set()))
+        picked = [*keys, *[c for c in columns if c not in keys]]
+        named = [o if isinstance(o, str) else None for o in order]
+        ordering = [F.col(f"__o{i}") if n else o for i, (o, n) in enumerate(zip(order, named))]
+        narrow = df.select(
+            *picked,
+            *[F.col(n).alias(f"__o{i}") for i, n in enumerate(named) if n],
+            hashed.alias("__hash"),
+        )
+        window = Window.partitionBy(*keys).orderBy(*ordering, "__hash")
+        ranked = narrow.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1)
+        return ranked.select(*picked)
     given = [F.col(o) if isinstance(o, str) else o for o in order]
     used = {*keys, *(o for o in order if isinstance(o, str))}
     ordering = given + _tie_breakers(df, used)

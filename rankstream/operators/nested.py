@@ -71,9 +71,9 @@ def flatten_documents(
     return with_outcome(participants(wanted))
 
 
-def dedupe_matches(rows: DataFrame) -> DataFrame:
-    """One row per match and player."""
-    return first_per_key(rows, MATCH_KEY, ["placement"])
+def dedupe_matches(rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per match and player; ``columns`` names those wanted besides the key."""
+    return first_per_key(rows, MATCH_KEY, ["placement"], columns)
 
 
 def match_augments(rows: DataFrame, picks: int = 3) -> DataFrame:

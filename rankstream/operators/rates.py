@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankstream.functions.measures import count_where, finished_top, percent, pick_rate
@@ -17,22 +17,24 @@ COUNTS = ("total_matches", "top_4_matches", "top_1_matches")
 RATES = ("pick_rate", "top_4_rate", "top_1_rate")
 
 
-def total_rows(df: DataFrame) -> Column:
-    """Row count of ``df`` as a scalar subquery: part of the same plan, no driver round trip.
-
-    Over a stored table it reads file footers only.
-    """
-    return df.select(F.count(F.lit(1))).scalar()
+_ROWS = "__rows"
 
 
-def rate_table(df: DataFrame, keys: Sequence[str], base: Column | None = None) -> DataFrame:
-    """Counts and rates per key.
+def rate_table(
+    df: DataFrame, keys: Sequence[str], base: Column | None = None, rows_each: int = 1
+) -> DataFrame:
+    """Counts and rates per key, in one pass over ``df``.
 
-    ``pick_rate`` is the key's share of ``base``, by default all rows of ``df``. Counting is
-    combined map-side, so one key holding a large share of the rows shuffles one row per task.
+    ``pick_rate`` is the key's share of ``base``, by default all rows of ``df`` (divided by
+    ``rows_each``, where every input row was made into that many). Counting is combined map-side,
+    so one key holding a large share of the rows shuffles one row per task. The default base sums
+    the grouped rows, one per key, in one task: keys are names of the game's catalogue. Pass a
+    ``base`` for keys without such a bound.
     """
-    base = total_rows(df) if base is None else base
+    if base is None:
+        base = F.sum(_ROWS).over(Window.partitionBy()) / rows_each
     counted = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(_ROWS),
         F.count("match_id").alias("total_matches"),
         count_where(finished_top(4)).alias("top_4_matches"),
         count_where(finished_top(1)).alias("top_1_matches"),
@@ -49,8 +51,10 @@ def rate_table(df: DataFrame, keys: Sequence[str], base: Column | None = None) -
 
 def trait_metrics(traits: DataFrame, base: Column | None = None) -> DataFrame:
     """Rates per trait and reached tier; inactive traits (tier 0) count in the base only."""
-    base = total_rows(traits) if base is None else base
-    return rate_table(traits.filter(F.col("trait_tier") > 0), ["trait_id", "trait_tier"], base)
+    keys, active = ["trait_id", "trait_tier"], F.col("trait_tier") > 0
+    if base is not None:
+        return rate_table(traits.filter(active), keys, base)
+    return rate_table(traits, keys).filter(active)
 
 
 def item_metrics(units: DataFrame, base: Column | None = None) -> DataFrame:
@@ -98,5 +102,4 @@ def augment_picks(augments: DataFrame, picks: int = 3) -> DataFrame:
 
 def augment_metrics(augments: DataFrame, picks: int = 3, base: Column | None = None) -> DataFrame:
     """Rates per pick position and augment; the base is the rows of one pick."""
-    base = total_rows(augments) if base is None else base
-    return rate_table(augment_picks(augments, picks), ["pick_order", "augment_id"], base)
+    return rate_table(augment_picks(augments, picks), ["pick_order", "augment_id"], base, picks)

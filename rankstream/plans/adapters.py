@@ -4,8 +4,9 @@ All derivations are row-local except the trait boards (one join to ``part`` and
 aggregate), so that they add as little as possible to the plans under test:
 
 * eight consecutive order keys are one match, an order is one seat in it, its place is the
-  position in the eight, and the player is the order key modulo ``PLAYERS``
-* a line item is an item on a unit (the part's brand) and counts toward the brand's trait
+  position in the eight, and the player is the customer, whose keys cover the events' users
+* a line item is an item on a unit (the part's brand) and counts toward the brand's trait; the
+  board it lies on is named by its order
 * events are server requests
 * match documents and league entries are built from the columns of one order or customer each
 """
@@ -21,7 +22,6 @@ from rankstream.sources.streams import file_stream
 from rankstream.streaming import logs as log_rows
 
 SEATS = 8
-PLAYERS = 1000
 PRODUCTS = ("battle-pass", "chibi", "egg", "tactician")
 # LIKE patterns that stand in for the special items in the test data
 EXCLUDED_ITEMS = ("%widget%", "%plate%", "%ring%")
@@ -31,10 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _seat(key: str) -> list[Column]:
+def _seat(key: str, player: str) -> list[Column]:
     return [
         F.expr(f"{key} div {SEATS}").cast("string").alias("match_id"),
-        (F.col(key) % PLAYERS).cast("string").alias("puuid"),
+        F.col(player).cast("string").alias("puuid"),
         (F.col(key) % SEATS + 1).cast("int").alias("placement"),
     ]
 
@@ -45,7 +45,7 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "orders")
         .select(
-            *_seat("o_orderkey"),
+            *_seat("o_orderkey", "o_custkey"),
             (F.lit(3) + key % 8).cast("int").alias("level"),
             (price % 60).cast("int").alias("gold_left"),
             F.date_diff(F.to_date("o_orderdate"), F.lit("1992-01-01").cast("date")).cast("double")
@@ -57,26 +57,19 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores where a small file gives fewer tasks; large tables stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
-def _lines(spark: SparkSession, sf_dir: str, by_order: bool = False) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    lines = _spread(lines, "l_orderkey") if by_order else lines
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
 
 
 def match_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
     tier = F.least(F.lit(4), F.floor((F.col("quantity") - 1) / 20))
     return (
-        _lines(spark, sf_dir, by_order=True)
+        _lines(spark, sf_dir)
         .groupBy("l_orderkey", "p_brand")
         .agg(F.count(F.lit(1)).alias("trait_unit_count"), F.sum("l_quantity").alias("quantity"))
         .select(
-            *_seat("l_orderkey"),
+            *_seat("l_orderkey", "l_orderkey"),
             F.col("p_brand").alias("trait_id"),
             "trait_unit_count",
             tier.cast("int").alias("trait_tier"),
@@ -87,7 +80,7 @@ def match_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def match_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir).select(
-        *_seat("l_orderkey"),
+        *_seat("l_orderkey", "l_orderkey"),
         F.col("p_brand").alias("unit_id"),
         F.col("p_name").alias("item"),
         (F.col("p_size") % 3 + 1).alias("unit_tier"),
@@ -102,10 +95,10 @@ def match_augments(spark: SparkSession, sf_dir: str) -> DataFrame:
         for i in (1, 2, 3)
     ]
     return (
-        _lines(spark, sf_dir, by_order=True)
+        _lines(spark, sf_dir)
         .groupBy("l_orderkey")
         .agg(*picked)
-        .select(*_seat("l_orderkey"), "augment1", "augment2", "augment3")
+        .select(*_seat("l_orderkey", "l_orderkey"), "augment1", "augment2", "augment3")
     )
 
 
@@ -137,16 +130,19 @@ def league_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def processed_players(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Players with a finished order, with repeats."""
-    done = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
-    return done.select(F.concat(F.lit("P"), F.col("o_custkey")).alias("puuid"))
+    """Players whose matches have arrived: twice the customer of every order, with repeats."""
+    orders = table(spark, sf_dir, "orders")
+    return orders.select(F.concat(F.lit("P"), F.col("o_custkey") * 2).alias("puuid"))
 
 
 # -- catalogue -----------------------------------------------------------------------------
 
 
 def catalogue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One champion document per part, with one to three entries, as JSON text."""
+    """Multi-line JSON texts, each a list of at most 200 champion documents, one per part.
+
+    A document has one to three entries. ``file`` numbers the texts.
+    """
     key, entry = F.col("p_partkey"), F.sequence(F.lit(1), F.lit(3))
     champions = F.transform(
         F.slice(entry, 1, (key % 3 + 1).cast("int")),
@@ -159,9 +155,11 @@ def catalogue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     document = F.struct(
         F.col("p_type").alias("type"), F.lit("1").alias("version"), champions.alias("champions")
     )
-    return table(spark, sf_dir, "part").select(
-        F.to_json(document, {"pretty": "true"}).alias("document")
+    parts = table(spark, sf_dir, "part").select(
+        F.expr("p_partkey div 200").alias("file"), document.alias("document")
     )
+    listed = parts.groupBy("file").agg(F.collect_list("document").alias("documents"))
+    return listed.select("file", F.to_json("documents", {"pretty": "true"}).alias("text"))
 
 
 # -- match documents -----------------------------------------------------------------------
@@ -230,7 +228,7 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("info"),
     )
     deliveries = F.when(F.col("o_orderstatus") == "F", 2).otherwise(1)
-    orders = _spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    orders = table(spark, sf_dir, "orders")
     # A generator's output is made once: later filters run on it, not on the expression again.
     delivered = orders.select(F.explode(F.array_repeat(document, deliveries)).alias("document"))
     return delivered.select("document.*")

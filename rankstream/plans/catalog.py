@@ -5,7 +5,7 @@ Each takes ``(spark, sf_dir)`` and returns a frame in comparable form (see :func
 
 from __future__ import annotations
 
-import uuid
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +16,12 @@ from rankstream import schemas
 from rankstream.functions import requests
 from rankstream.operators import compositions, dedupe, nested, ranking, rates, summaries
 from rankstream.plans import adapters
-from rankstream.session import fresh_folder
+from rankstream.session import shared_folder
+from rankstream.sinks import folders
 from rankstream.sinks.publish import publish
 from rankstream.sinks.store import TableStore
 from rankstream.sources import landing, records
+from rankstream.sources.streams import file_stream
 from rankstream.streaming import logs as log_rows
 from rankstream.streaming import metrics
 from rankstream.streaming.sinks import append_stream, read_snapshot, snapshot_stream
@@ -52,35 +54,53 @@ def query(fn: Query) -> Query:
     return run
 
 
-def _store(spark: SparkSession) -> TableStore:
-    store = TableStore(spark)
+def _folder(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """The query's working folder for this input, emptied of an earlier run's data."""
+    place = zlib.crc32(sf_dir.encode())
+    folder = f"{shared_folder(spark)}/rankstream/queries/{label}-{place:08x}"
+    folders.drop(spark, folder)
+    return folder
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> TableStore:
+    """A store in which the table ``name`` is yet to be made."""
+    store = TableStore(spark, _folder(spark, sf_dir, name))
     store.initialize()
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     return store
 
 
-def _table_name(layer: str, label: str) -> str:
-    return f"{layer}.{label}_{uuid.uuid4().hex[:12]}"
+# -- sources -------------------------------------------------------------------------------
 
 
-# -- sources -------------------------------------------------------------------------------
+def _champions(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """Entries read from multi-line JSON files, each a list of documents."""
+    folder = _folder(spark, sf_dir, label)
+    texts = adapters.catalogue_documents(spark, sf_dir)
+    texts.write.partitionBy("file").text(folder)
+    entries = landing.read_catalogue(spark, folder, "champions")
+    return entries.select("id", "name", "tier")
 
 
 @query
 def json_inline(spark, sf_dir):
-    documents = adapters.catalogue_documents(spark, sf_dir)
-    parsed = documents.select(F.from_json("document", schemas.CATALOGUES["champions"]).alias("d"))
-    return nested.inline_array(parsed.select("d.*"), "champions").select("id", "name", "tier")
+    return _champions(spark, sf_dir, "champions")
 
 
-def _landed(spark: SparkSession, df: DataFrame, label: str) -> str:
-    folder = fresh_folder(spark, label)
+@query
+def static_dedupe(spark, sf_dir):
+    return dedupe.first_per_key(_champions(spark, sf_dir, "names"), ["name"])
+
+
+def _landed(spark: SparkSession, sf_dir: str, df: DataFrame, label: str) -> str:
+    folder = _folder(spark, sf_dir, label)
     df.write.json(folder)
     return folder
 
 
 @query
 def players_ingest(spark, sf_dir):
-    folder = _landed(spark, adapters.league_entries(spark, sf_dir), "entries")
+    folder = _landed(spark, sf_dir, adapters.league_entries(spark, sf_dir), "entries")
     return landing.queue_players(landing.read_league_entries(spark, folder)).drop("idx")
 
 
@@ -92,7 +112,7 @@ _PARTICIPANT_FIELDS = (
 
 @query
 def matches_ingest(spark, sf_dir):
-    folder = _landed(spark, adapters.match_documents(spark, sf_dir), "documents")
+    folder = _landed(spark, sf_dir, adapters.match_documents(spark, sf_dir), "documents")
     rows = nested.flatten_documents(landing.read_match_documents(spark, folder))
     return rows.select(
         *_PARTICIPANT_FIELDS,
@@ -105,21 +125,34 @@ def matches_ingest(spark, sf_dir):
 
 @query
 def scan_table(spark, sf_dir):
-    store, name = _store(spark), _table_name("silver", "matches")
+    name = "silver.scanned"
+    store = _table(spark, sf_dir, name)
     store.append(name, adapters.matches(spark, sf_dir))
     return store.read(name).select("match_id", "puuid", "placement", "level", "tier")
 
 
-def _drained(spark: SparkSession, df: DataFrame, label: str, partition_by=()) -> DataFrame:
-    folder = fresh_folder(spark, label)
-    append_stream(df, f"{folder}/data", f"{folder}/checkpoint", partition_by)
+def _drained(
+    spark: SparkSession, sf_dir: str, df: DataFrame, label: str, partition_by=(), runs: int = 1
+) -> DataFrame:
+    folder = _folder(spark, sf_dir, label)
+    for _ in range(runs):
+        append_stream(df, f"{folder}/data", f"{folder}/checkpoint", partition_by)
     return spark.read.schema(df.schema).parquet(f"{folder}/data")
 
 
 @query
 def stream_scan(spark, sf_dir):
     events = adapters.event_stream(spark, sf_dir)
-    return _drained(spark, events.select("event_id", "user_id", "event_type", "value"), "scan")
+    picked = events.select("event_id", "user_id", "event_type", "value")
+    return _drained(spark, sf_dir, picked, "scan")
+
+
+@query
+def stream_restart(spark, sf_dir):
+    """A second start on the same checkpoint adds nothing."""
+    events = adapters.event_stream(spark, sf_dir)
+    picked = events.select("event_id", "user_id", "event_type", "value")
+    return _drained(spark, sf_dir, picked, "restart", runs=2)
 
 
 @query
@@ -137,7 +170,8 @@ def unprocessed_players(spark, sf_dir):
 
 @query
 def write_partitioned(spark, sf_dir):
-    store, name = _store(spark), _table_name("bronze", "matches")
+    name = "bronze.partitioned"
+    store = _table(spark, sf_dir, name)
     store.append(name, adapters.matches(spark, sf_dir), ["outcome"])
     return store.read(name).select("match_id", "puuid", "placement", "outcome")
 
@@ -152,8 +186,8 @@ def _player_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _player_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Urgent orders as updates; half of the players are new, the latest order counts."""
-    orders = adapters.table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    """All orders as updates; half of the players are new, the latest order counts."""
+    orders = adapters.table(spark, sf_dir, "orders")
     return orders.select(
         F.concat(F.lit("P"), F.col("o_custkey") * 2).alias("puuid"),
         F.concat(F.lit("NEW-"), F.col("o_orderstatus")).alias("tier"),
@@ -178,15 +212,26 @@ def upsert_merge(spark, sf_dir):
 
 @query
 def write_or_upsert(spark, sf_dir):
-    store, name = _store(spark), _table_name("silver", "players")
+    name = "silver.upserted"
+    store = _table(spark, sf_dir, name)
     for rows in (_player_base(spark, sf_dir), _latest_updates(spark, sf_dir)):
         store.write_or_upsert(name, rows, ["puuid"], partition_by=["tier"])
     return store.read(name).select("puuid", "tier", "wins")
 
 
+@query
+def upsert_buckets(spark, sf_dir):
+    """The same into a table that is partitioned by a bucket of its key."""
+    name = "silver.bucketed"
+    store = _table(spark, sf_dir, name)
+    for rows in (_player_base(spark, sf_dir), _latest_updates(spark, sf_dir)):
+        store.write_or_upsert(name, rows, ["puuid"])
+    return store.read(name).select("puuid", "tier", "wins")
+
+
 @query
 def publish_gold(spark, sf_dir):
-    target = fresh_folder(spark, "published")
+    target = _folder(spark, sf_dir, "published")
     gold = summaries.player_metrics(_players(spark, sf_dir))
     for _ in range(2):  # a repeated run must not double its rows
         publish(gold, target, run_id="r1", fmt="json")
@@ -195,12 +240,14 @@ def publish_gold(spark, sf_dir):
 
 @query
 def stream_append(spark, sf_dir):
-    written = _drained(spark, adapters.log_stream(spark, sf_dir), "append", ["date"])
+    written = _drained(spark, sf_dir, adapters.log_stream(spark, sf_dir), "append", ["date"])
     return written.select("puuid", "timestamp", "status_code", "action", "date")
 
 
-def _snapshot(spark: SparkSession, df: DataFrame, label: str, partition_by=()) -> DataFrame:
-    folder = fresh_folder(spark, label)
+def _snapshot(
+    spark: SparkSession, sf_dir: str, df: DataFrame, label: str, partition_by=()
+) -> DataFrame:
+    folder = _folder(spark, sf_dir, label)
     snapshot_stream(df, f"{folder}/data", f"{folder}/checkpoint", partition_by)
     return read_snapshot(spark, f"{folder}/data", df.schema).select(*df.columns)
 
@@ -208,7 +255,7 @@ def _snapshot(spark: SparkSession, df: DataFrame, label: str, partition_by=()) -
 @query
 def stream_complete(spark, sf_dir):
     counts = adapters.log_stream(spark, sf_dir).groupBy("action", "status_code").count()
-    return _snapshot(spark, counts, "complete")
+    return _snapshot(spark, sf_dir, counts, "complete")
 
 
 _AS_OF = "2024-01-01 00:00:00"
@@ -232,8 +279,9 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapters.match_documents(spark, sf_dir)
 
 
-def _silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.dedupe_matches(nested.flatten_documents(_documents(spark, sf_dir)))
+def _silver_rows(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    rows = nested.flatten_documents(_documents(spark, sf_dir))
+    return nested.dedupe_matches(rows, columns or None)
 
 
 @query
@@ -249,17 +297,17 @@ def struct_flatten(spark, sf_dir):
 
 @query
 def array_to_columns(spark, sf_dir):
-    return nested.match_augments(_silver_rows(spark, sf_dir))
+    return nested.match_augments(_silver_rows(spark, sf_dir, "placement", "augments"))
 
 
 @query
 def traits_explode(spark, sf_dir):
-    return nested.match_traits(_silver_rows(spark, sf_dir))
+    return nested.match_traits(_silver_rows(spark, sf_dir, "placement", "traits"))
 
 
 @query
 def units_posexplode(spark, sf_dir):
-    return nested.match_units(_silver_rows(spark, sf_dir))
+    return nested.match_units(_silver_rows(spark, sf_dir, "placement", "units"))
 
 
 @query
@@ -310,14 +358,30 @@ def _players(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def wins_only(spark, sf_dir):
-    store, name = _store(spark), _table_name("bronze", "matches")
+    name = "bronze.pruned"
+    store = _table(spark, sf_dir, name)
     store.append(name, adapters.matches(spark, sf_dir), ["outcome"])
     return store.read(name).where(F.col("outcome") == "win").select("match_id", "puuid", "level")
 
 
 @query
 def dedupe_by_key(spark, sf_dir):
-    return _silver_rows(spark, sf_dir).select(*_PARTICIPANT_FIELDS, "outcome")
+    return _silver_rows(spark, sf_dir, *_PARTICIPANT_FIELDS, "outcome")
+
+
+@query
+def match_summary(spark, sf_dir):
+    """The silver build: one stored dedupe, of which the summary table is upserted."""
+    name = "silver.summaries"
+    store = _table(spark, sf_dir, name)
+    with store.staging() as stage:
+        rows = stage(_silver_rows(spark, sf_dir))
+        summary = nested.match_summary(rows)
+        for _ in range(2):  # a repeated delivery changes nothing
+            store.write_or_upsert(
+                name, summary, nested.MATCH_KEY, partition_by=["outcome"], prepared=True
+            )
+    return store.read(name).select(*_PARTICIPANT_FIELDS, "outcome")
 
 
 # -- joins ---------------------------------------------------------------------------------
@@ -334,7 +398,7 @@ def stream_static_join(spark, sf_dir):
     joined = metrics.with_match_record(logs, matches, salts=8).select(
         "puuid", "timestamp", "action", "matches_played", "placement_sum"
     )
-    return _drained(spark, joined, "joined")
+    return _drained(spark, sf_dir, joined, "joined")
 
 
 # -- metric tables -------------------------------------------------------------------------
@@ -452,9 +516,30 @@ def transaction_metrics(spark, sf_dir):
     return metrics.window_bounds(metrics.transaction_metrics(adapters.logs(spark, sf_dir)))
 
 
+# Spark's default relative standard deviation of approximate distinct counts.
+_STATED_ERROR = 0.05
+
+
+def _against_exact(spark: SparkSession, sf_dir: str, estimated: DataFrame) -> DataFrame:
+    """Exact counts, and whether the estimate lies within three times its stated error."""
+    exact = metrics.engagement_metrics(adapters.logs(spark, sf_dir), exact=True)
+    guess = estimated.select(
+        F.col("action").alias("__action"), F.col("time_window").alias("__window"),
+        F.col("unique_users_count").alias("__users"), F.col("requests_count").alias("__requests"),
+    )
+    on = F.col("action").eqNullSafe(F.col("__action")) & (F.col("time_window") == F.col("__window"))
+    off = F.abs(F.col("__users") - F.col("unique_users_count"))
+    close = (off <= 3 * _STATED_ERROR * F.col("unique_users_count")) & (
+        F.col("__requests") == F.col("requests_count")
+    )
+    joined = exact.join(guess, on, "full_outer").withColumn("estimate_is_close", close)
+    return metrics.window_bounds(joined.select(*exact.columns, "estimate_is_close"))
+
+
 @query
 def engagement_metrics(spark, sf_dir):
-    return metrics.window_bounds(metrics.engagement_metrics(adapters.logs(spark, sf_dir)))
+    live = metrics.engagement_metrics(adapters.logs(spark, sf_dir))
+    return _against_exact(spark, sf_dir, live)
 
 
 @query
@@ -477,7 +562,32 @@ def placement_transactions(spark, sf_dir):
 @query
 def logs_bronze(spark, sf_dir):
     wire = records.encode(adapters.record_stream(spark, sf_dir))
-    return _drained(spark, log_rows.bronze_logs(records.decode(wire)), "bronze", ["date"])
+    return _drained(spark, sf_dir, log_rows.bronze_logs(records.decode(wire)), "bronze", ["date"])
+
+
+@query
+def stream_chain(spark, sf_dir):
+    """Bronze log files, written by one stream, are the source of the next."""
+    bronze = log_rows.bronze_logs(records.decode(records.encode(adapters.record_stream(spark, sf_dir))))
+    folder = _folder(spark, sf_dir, "chain")
+    append_stream(bronze, f"{folder}/bronze", f"{folder}/checkpoint-bronze", ["date"])
+    arrived = file_stream(spark, f"{folder}/bronze", schemas.BRONZE_LOG)
+    return _drained(spark, sf_dir, log_rows.silver_logs(arrived), "chained", ["date"])
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """Hours closed by a watermark: odd events come after the even ones have closed theirs."""
+    folder = _folder(spark, sf_dir, "late")
+    logs = adapters.logs(spark, sf_dir).withColumn("odd", F.col("response_size") % 2)
+    for odd in (0, 1):
+        logs.filter(F.col("odd") == odd).drop("odd").write.mode("append").parquet(f"{folder}/in")
+        live = metrics.server_metrics(
+            file_stream(spark, f"{folder}/in", schemas.SILVER_LOG), delay="10 minutes"
+        )
+        append_stream(live, f"{folder}/out", f"{folder}/checkpoint")
+    closed = spark.read.schema(live.schema).parquet(f"{folder}/out")
+    return metrics.window_bounds(closed.select("time_window", "request_count"))
 
 
 @query
@@ -491,29 +601,29 @@ def logs_enriched(spark, sf_dir):
 @query
 def stream_server_metrics(spark, sf_dir):
     live = metrics.server_metrics(adapters.log_stream(spark, sf_dir))
-    return metrics.window_bounds(_snapshot(spark, live, "server"))
+    return metrics.window_bounds(_snapshot(spark, sf_dir, live, "server"))
 
 
 @query
 def stream_transaction_metrics(spark, sf_dir):
     live = metrics.transaction_metrics(adapters.log_stream(spark, sf_dir))
-    return metrics.window_bounds(_snapshot(spark, live, "transactions", ["date"]))
+    return metrics.window_bounds(_snapshot(spark, sf_dir, live, "transactions", ["date"]))
 
 
 @query
 def stream_engagement_metrics(spark, sf_dir):
     live = metrics.engagement_metrics(adapters.log_stream(spark, sf_dir))
-    return metrics.window_bounds(_snapshot(spark, live, "engagement", ["date"]))
+    return _against_exact(spark, sf_dir, _snapshot(spark, sf_dir, live, "engagement", ["date"]))
 
 
 @query
 def stream_player_activity(spark, sf_dir):
     live = metrics.player_activity(adapters.log_stream(spark, sf_dir))
-    return metrics.window_bounds(_snapshot(spark, live, "activity", ["date"]), "window")
+    return metrics.window_bounds(_snapshot(spark, sf_dir, live, "activity", ["date"]), "window")
 
 
 @query
 def stream_placement_transactions(spark, sf_dir):
     logs, matches = adapters.log_stream(spark, sf_dir), adapters.matches(spark, sf_dir)
     live = metrics.placement_transactions(logs, matches)
-    return metrics.window_bounds(_snapshot(spark, live, "placements", ["date"]), "window")
+    return metrics.window_bounds(_snapshot(spark, sf_dir, live, "placements", ["date"]), "window")

@@ -28,7 +28,8 @@ class Workspace:
 
     With ``late`` (a watermark delay such as "10 minutes") the log metrics run in append mode:
     a window is written once, when it closes, and its state is dropped. Without it every run
-    rewrites the whole metric table and keeps all windows in state.
+    rewrites the whole metric table and keeps all windows in state, but for ``connection``, whose
+    state would hold every player and day: it always closes windows, by default after 10 minutes.
 
     ``landing`` holds ``static/<kind>.json``, and the folders ``players``, ``matches`` (JSON
     lines) and ``logs`` (parquet with the topic's binary ``value``). With ``brokers`` the logs
@@ -191,13 +192,13 @@ def preprocess_matches(ws: Workspace) -> None:
 def _gold(
     name: str,
     source: str,
-    metric: Callable[[DataFrame], DataFrame],
+    metric: Callable[[Workspace, DataFrame], DataFrame],
     partition_by: Sequence[str] = (),
     published: bool = False,
 ) -> None:
     def body(ws: Workspace) -> None:
         table = f"gold.{name}"
-        ws.store.overwrite(table, metric(ws.store.read(source)), partition_by)
+        ws.store.overwrite(table, metric(ws, ws.store.read(source)), partition_by)
         if published and ws.publish_to:
             # from the written table, so that the metric is computed once
             target = f"{ws.publish_to}/{name}"
@@ -206,22 +207,30 @@ def _gold(
     JOBS[name] = body
 
 
-_gold("trait_metrics", "silver.match_traits", rates.trait_metrics)
-_gold("item_metrics", "silver.match_units", rates.item_metrics)
-_gold("champion_metrics", "silver.match_units", rates.champion_metrics)
-_gold(
-    "champion_item_metrics", "silver.match_units", rates.champion_item_metrics, published=True
-)
+def _compositions(ws: Workspace, traits: DataFrame) -> DataFrame:
+    """Every match has a row in ``silver.matches``, which is the smaller table to count."""
+    matches = compositions.distinct_matches(ws.store.read("silver.matches"))
+    return compositions.composition_metrics(traits, match_count=matches)
+
+
+def _of(metric: Callable[[DataFrame], DataFrame]) -> Callable[[Workspace, DataFrame], DataFrame]:
+    return lambda _, df: metric(df)
+
+
+_gold("trait_metrics", "silver.match_traits", _of(rates.trait_metrics))
+_gold("item_metrics", "silver.match_units", _of(rates.item_metrics))
+_gold("champion_metrics", "silver.match_units", _of(rates.champion_metrics))
 _gold(
-    "augment_metrics", "silver.match_augments", rates.augment_metrics, ["pick_order"],
+    "champion_item_metrics", "silver.match_units", _of(rates.champion_item_metrics),
     published=True,
 )
 _gold(
-    "composition_metrics", "silver.match_traits", compositions.composition_metrics,
+    "augment_metrics", "silver.match_augments", _of(rates.augment_metrics), ["pick_order"],
     published=True,
 )
-_gold("placement_metrics", "silver.matches", summaries.placement_metrics, published=True)
-_gold("player_metrics", "silver.players", summaries.player_metrics)
+_gold("composition_metrics", "silver.match_traits", _compositions, published=True)
+_gold("placement_metrics", "silver.matches", _of(summaries.placement_metrics), published=True)
+_gold("player_metrics", "silver.players", _of(summaries.player_metrics))
 
 
 # -- logs ----------------------------------------------------------------------------------
@@ -252,12 +261,12 @@ def _log_gold(
     table: str,
     metric: Callable[[Workspace, DataFrame], DataFrame],
     partition_by: Sequence[str] = (),
-    files: int | None = 4,
+    always_close: bool = False,
 ) -> None:
     def body(ws: Workspace) -> None:
         live = metric(ws, ws.read_stream("silver.logs", schemas.SILVER_LOG))
         gold = f"gold.{table}"
-        if ws.late:
+        if ws.late or always_close:
             path = f"{ws.stream_path(gold)}-closed"
             append_stream(live, path, ws.checkpoint(f"{name}-closed"), partition_by)
             ws.show_as(gold, path, live.schema)
@@ -267,7 +276,6 @@ def _log_gold(
             ws.stream_path(gold),
             ws.checkpoint(name),
             partition_by,
-            files=files,
             on_snapshot=lambda folder: ws.show_as(gold, folder, live.schema),
         )
 
@@ -275,8 +283,11 @@ def _log_gold(
 
 
 def _connection(ws: Workspace, rows: DataFrame) -> DataFrame:
-    matches = ws.store.read("silver.matches")
-    return metrics.placement_transactions(rows, matches, ws.late or "10 minutes")
+    # one row per player, made once a run instead of once a micro-batch
+    record = metrics.match_record(ws.store.read("silver.matches"))
+    ws.store.overwrite("silver.match_record", record)
+    stored = ws.store.read("silver.match_record")
+    return metrics.placement_transactions(rows, stored, ws.late or "10 minutes", recorded=True)
 
 
 _log_gold("server_metrics", "server_metrics", lambda ws, rows: metrics.server_metrics(rows, ws.late))
@@ -292,7 +303,7 @@ _log_gold(
     "player_activity_metrics", "player_activity_metrics",
     lambda ws, rows: metrics.player_activity(rows, ws.late), ["date"],
 )
-# one row per player and day, not per window: as many files as there are state partitions
 _log_gold(
-    "connection", "player_placement_transaction_connection", _connection, ["date"], files=None
+    "connection", "player_placement_transaction_connection", _connection, ["date"],
+    always_close=True,
 )

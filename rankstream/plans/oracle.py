@@ -5,7 +5,7 @@ from __future__ import annotations
 TIME = "%Y-%m-%d %H:%M:%S.%f"
 
 MATCHES = """matches AS (
-  SELECT CAST(o_orderkey // 8 AS VARCHAR) AS match_id, CAST(o_orderkey % 1000 AS VARCHAR) AS puuid,
+  SELECT CAST(o_orderkey // 8 AS VARCHAR) AS match_id, CAST(o_custkey AS VARCHAR) AS puuid,
          CAST(o_orderkey % 8 + 1 AS INT) AS placement, CAST(3 + o_orderkey % 8 AS INT) AS level,
          CAST(floor(o_totalprice) AS BIGINT) % 60 AS gold_left,
          CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE)
@@ -16,7 +16,7 @@ MATCHES = """matches AS (
   FROM orders)"""
 
 TRAITS = """match_traits AS (
-  SELECT CAST(l_orderkey // 8 AS VARCHAR) AS match_id, CAST(l_orderkey % 1000 AS VARCHAR) AS puuid,
+  SELECT CAST(l_orderkey // 8 AS VARCHAR) AS match_id, CAST(l_orderkey AS VARCHAR) AS puuid,
          CAST(l_orderkey % 8 + 1 AS INT) AS placement, p_brand AS trait_id,
          count(*) AS trait_unit_count,
          CAST(least(4, floor((sum(l_quantity) - 1) / 20)) AS INT) AS trait_tier,
@@ -24,13 +24,13 @@ TRAITS = """match_traits AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey, p_brand)"""
 
 UNITS = """match_units AS (
-  SELECT CAST(l_orderkey // 8 AS VARCHAR) AS match_id, CAST(l_orderkey % 1000 AS VARCHAR) AS puuid,
+  SELECT CAST(l_orderkey // 8 AS VARCHAR) AS match_id, CAST(l_orderkey AS VARCHAR) AS puuid,
          CAST(l_orderkey % 8 + 1 AS INT) AS placement, p_brand AS unit_id, p_name AS item,
          p_size % 3 + 1 AS unit_tier, l_linenumber - 1 AS pos
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 AUGMENTS = """match_augments AS (
-  SELECT CAST(l_orderkey // 8 AS VARCHAR) AS match_id, CAST(l_orderkey % 1000 AS VARCHAR) AS puuid,
+  SELECT CAST(l_orderkey // 8 AS VARCHAR) AS match_id, CAST(l_orderkey AS VARCHAR) AS puuid,
          CAST(l_orderkey % 8 + 1 AS INT) AS placement,
          max(CASE WHEN l_linenumber = 1 THEN p_name END) AS augment1,
          max(CASE WHEN l_linenumber = 2 THEN p_name END) AS augment2,
@@ -58,7 +58,7 @@ marked AS (
   SELECT e.puuid, e."queueType", e.wins,
          CASE WHEN d.puuid IS NOT NULL THEN '2024-01-01 00:00:00.000000' END AS "processedTime"
   FROM entries e
-  LEFT JOIN (SELECT DISTINCT 'P' || o_custkey AS puuid FROM orders WHERE o_orderstatus = 'F') d
+  LEFT JOIN (SELECT DISTINCT 'P' || (o_custkey * 2) AS puuid FROM orders) d
     ON d.puuid = e.puuid
   WHERE e."queueType" = 'RANKED_TFT')"""
 
@@ -66,7 +66,7 @@ UPSERT = """base AS (
   SELECT 'P' || c_custkey AS puuid, c_mktsegment AS tier, c_custkey % 50 AS wins FROM customer),
 updates AS (
   SELECT 'P' || (o_custkey * 2) AS puuid, 'NEW-' || o_orderstatus AS tier, o_orderkey % 50 AS wins
-  FROM orders WHERE o_orderpriority = '1-URGENT'
+  FROM orders
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
 SELECT * FROM updates UNION ALL SELECT * FROM base WHERE puuid NOT IN (SELECT puuid FROM updates)"""
 
@@ -202,6 +202,11 @@ SELECT product, {DAY_BOUNDS},
   CAST(sum(CASE WHEN action = 'transaction' THEN rp END) AS BIGINT) AS total_profit
 FROM records GROUP BY product, date_trunc('day', ts)"""
 
+ENGAGEMENT = f"""WITH {RECORDS}
+SELECT action, {DAY_BOUNDS}, count(DISTINCT puuid) AS unique_users_count,
+  count(*) AS requests_count
+FROM records GROUP BY action, date_trunc('day', ts)"""
+
 ACTIVITY = f"""WITH {RECORDS}
 SELECT {DAY_BOUNDS}, count(*) FILTER (WHERE action = 'register') AS new_user_count,
   count(*) FILTER (WHERE action = 'game-start') AS active_user_count
@@ -232,10 +237,31 @@ FROM players GROUP BY tier"""
 
 BRONZE_FIELDS = 'puuid, instant AS "timestamp", request_type'
 
-SQL: dict[str, str] = {
-    "json_inline": """SELECT 'C' || p_partkey || '_' || n AS id, p_name AS name,
+ENRICHED = f"""WITH {RECORDS}
+SELECT {BRONZE_FIELDS}, status_code, response_size, response_time, day AS "date", product, rp,
+  action FROM records"""
+
+CHAMPIONS = """SELECT 'C' || p_partkey || '_' || n AS id, p_name AS name,
   CAST((p_partkey + n) % 5 + 1 AS INT) AS tier
-FROM part JOIN (SELECT unnest(range(1, 4)) AS n) ON n <= p_partkey % 3 + 1""",
+FROM part JOIN (SELECT unnest(range(1, 4)) AS n) ON n <= p_partkey % 3 + 1"""
+
+# hourly requests of a stream that took the odd events after the even ones had closed their windows
+LATE_ROWS = f"""WITH {RECORDS},
+closing AS (
+  SELECT max(ts) FILTER (WHERE event_id % 2 = 0) - INTERVAL 10 MINUTE AS first_mark,
+         max(ts) - INTERVAL 10 MINUTE AS last_mark FROM events),
+hours AS (
+  SELECT event_id, date_trunc('hour', ts) AS h, date_trunc('hour', ts) + INTERVAL 1 HOUR AS e
+  FROM events)
+SELECT strftime(h, '{TIME}') AS window_start, strftime(e, '{TIME}') AS window_end,
+  count(*) AS request_count
+FROM hours, closing
+WHERE (event_id % 2 = 0 OR e > first_mark) AND e <= last_mark GROUP BY h, e"""
+
+SQL: dict[str, str] = {
+    "json_inline": CHAMPIONS,
+    "static_dedupe": f"""SELECT * FROM ({CHAMPIONS})
+QUALIFY row_number() OVER (PARTITION BY name ORDER BY id, tier) = 1""",
     "players_ingest": f"""WITH {ENTRIES}
 SELECT *, CAST(NULL AS VARCHAR) AS "processedTime" FROM entries
 WHERE "queueType" = 'RANKED_TFT'""",
@@ -255,6 +281,7 @@ SELECT puuid, "queueType", wins FROM marked WHERE "processedTime" IS NULL""",
     "write_partitioned": f"WITH {MATCHES} SELECT match_id, puuid, placement, outcome FROM matches",
     "upsert_merge": f"WITH {UPSERT}",
     "write_or_upsert": f"WITH {UPSERT}",
+    "upsert_buckets": f"WITH {UPSERT}",
     "publish_gold": PLAYER_TIERS,
     "stream_append": f"""WITH {RECORDS}
 SELECT puuid, instant AS "timestamp", status_code, action, day AS "date" FROM records""",
@@ -271,6 +298,8 @@ SELECT match_id, placement, puuid,
   CASE WHEN (k + i) % 4 >= 2 THEN 'A' || ((c + i + 2) % 40) END AS augment2,
   CASE WHEN (k + i) % 4 >= 3 THEN 'A' || ((c + i + 3) % 40) END AS augment3
 FROM silver""",
+    "match_summary": f"""WITH {SILVER}
+SELECT {FIELDS}, outcome FROM silver""",
     "traits_explode": f"""WITH {SILVER}
 SELECT match_id, placement, puuid,
   CASE WHEN n IS NOT NULL THEN 'T' || ((c + i + n * 5) % 29) END AS trait_id,
@@ -336,19 +365,19 @@ SELECT endpoint_path, rp, count(*) AS requests FROM records GROUP BY endpoint_pa
 SELECT day AS "date", count(*) AS requests FROM records GROUP BY day""",
     "server_metrics": SERVER,
     "transaction_metrics": TRANSACTIONS,
-    "engagement_exact": f"""WITH {RECORDS}
-SELECT action, {DAY_BOUNDS}, count(DISTINCT puuid) AS unique_users_count,
-  count(*) AS requests_count
-FROM records GROUP BY action, date_trunc('day', ts)""",
+    "engagement_exact": ENGAGEMENT,
+    "engagement_metrics": f"SELECT *, true AS estimate_is_close FROM ({ENGAGEMENT})",
     "player_activity": ACTIVITY,
     "placement_transactions": PLACEMENT_TRANSACTIONS,
     "logs_bronze": f"""WITH {RECORDS}
 SELECT {BRONZE_FIELDS}, endpoint_path, status_code, response_size, response_time, day AS "date"
 FROM records""",
-    "logs_enriched": f"""WITH {RECORDS}
-SELECT {BRONZE_FIELDS}, status_code, response_size, response_time, day AS "date", product, rp,
-  action FROM records""",
+    "logs_enriched": ENRICHED,
+    "stream_chain": ENRICHED,
+    "stream_late_rows": LATE_ROWS,
+    "stream_restart": "SELECT event_id, user_id, event_type, round(value, 6) AS value FROM events",
     "stream_server_metrics": SERVER,
+    "stream_engagement_metrics": f"SELECT *, true AS estimate_is_close FROM ({ENGAGEMENT})",
     "stream_transaction_metrics": TRANSACTIONS,
     "stream_player_activity": ACTIVITY,
     "stream_placement_transactions": PLACEMENT_TRANSACTIONS,

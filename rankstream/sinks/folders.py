@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -23,6 +25,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def age_hours(spark: SparkSession, path: str) -> float:
+    """Hours since the file or folder was last written."""
+    fs, target = _filesystem(spark, path)
+    return (time.time() * 1000 - fs.getFileStatus(target).getModificationTime()) / 3_600_000
+
+
 def drop(spark: SparkSession, path: str) -> None:
     fs, target = _filesystem(spark, path)
     fs.delete(target, True)

@@ -1,8 +1,12 @@
 """Catalog tables ``layer.name`` on parquet: append, overwrite, upsert.
 
-Every rewrite goes to a new folder and the catalog is then pointed at it. Nothing is deleted or
-overwritten while it may be read, so a lost executor or driver leaves the old rows in place and
-the step can be run again.
+Rows that replace others are first written to a working copy and then swapped in by one dynamic
+partition overwrite, so a failure before the swap leaves the old rows in place and the step can be
+run again. Unpartitioned tables are written to a new folder, and the catalog is pointed at it.
+
+Keyed tables without partitions of their own are partitioned by a bucket of their key: an upsert
+reads and rewrites the buckets of its rows only. ``buckets`` is fixed when a table is made; choose it
+so that a bucket holds some hundred megabytes.
 """
 
 from __future__ import annotations
@@ -23,18 +27,9 @@ from rankstream.sinks import folders
 
 LAYERS = ("bronze", "silver", "gold")
 
-# Characters that Hive-style partition folders percent-encode.
-_ESCAPED = frozenset("\"#%'*/:=?\\{[]^\x7f") | frozenset(map(chr, range(1, 32)))
-_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 _VERSION = "v"
-
-
-def _folder_name(value: object) -> str:
-    if value is None or value == "":
-        return _NULL_FOLDER
-    if isinstance(value, bool):
-        return str(value).lower()
-    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in str(value))
+BUCKET = "key_bucket"
+_BUCKETS = "rankstream.buckets"
 
 
 def _nullable(fields: Sequence[T.StructField]) -> T.StructType:
@@ -51,8 +46,8 @@ def _sql_literal(value: object) -> str:
 class TableStore:
     """Reads and writes the layered tables of one warehouse root."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, root: str | None = None, buckets: int = 16):
+        self.spark, self.buckets = spark, buckets
         self.root = (root or f"{shared_folder(spark)}/rankstream/warehouse").rstrip("/")
 
     # -- catalog ---------------------------------------------------------------------------
@@ -68,6 +63,9 @@ class TableStore:
         return self.spark.catalog.tableExists(name)
 
     def read(self, name: str) -> DataFrame:
+        return self._rows(name).drop(BUCKET)
+
+    def _rows(self, name: str) -> DataFrame:
         return self.spark.table(name)
 
     def partition_columns(self, name: str) -> list[str]:
@@ -85,19 +83,29 @@ class TableStore:
 
     def overwrite(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         """Replaces the table by ``df``, which may read the table itself."""
-        version = self._write_version(name, df, partition_by)
         same_layout = (
             self.exists(name)
-            and not partition_by
-            and not self.partition_columns(name)
-            and _nullable(self.read(name).schema.fields) == _nullable(df.schema.fields)
+            and list(partition_by) == self.partition_columns(name)
+            and _columns(self._rows(name)) == _columns(df)
         )
+        if same_layout and partition_by:
+            with self.staging() as stage:
+                rows = stage(df)
+                kept = self._partitions(rows, partition_by)
+                gone = [r for r in self._partitions(self._rows(name), partition_by) if r not in kept]
+                self._overwrite_partitions(name, rows, partition_by, gone)
+            return
+        version = self._write_version(name, df, partition_by)
         if same_layout:
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION {_sql_literal(version)}")
             self.spark.catalog.refreshTable(name)
             return
+        # a run lost between the last two steps leaves the rows under the new name
+        made = f"{name}__new"
+        self.spark.sql(f"DROP TABLE IF EXISTS {made}")
+        self._register(made, df, version, partition_by)
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self._register(name, df, version, partition_by)
+        self.spark.sql(f"ALTER TABLE {made} RENAME TO {name}")
 
     def upsert(
         self,
@@ -121,33 +129,50 @@ class TableStore:
         if not prepared:
             source = first_per_key(source, keys, order)
         if not self.exists(name):
-            self._create(name, source, partition_by)
+            if partition_by:
+                self._create(name, source, partition_by)
+            else:
+                self._create(name, _bucketed(source, keys, self.buckets), [BUCKET], self.buckets)
             return
         with self.staging() as stage:
-            self._merge(name, source if prepared else stage(source), keys, stage)
+            self._merge(name, source, keys, stage)
 
     def _merge(self, name: str, source: DataFrame, keys: Sequence[str], stage) -> None:
+        parts = self.partition_columns(name)
+        if parts == [BUCKET]:
+            source = _bucketed(source, keys, self._bucket_count(name))
         self._add_columns(name, source)
-        target, parts = self.read(name), self.partition_columns(name)
-        touched = self._touched(target, source, keys, parts)
-        if touched:
-            # Rows delivered again unchanged need no rewrite; with them gone there may be
-            # nothing left to update. The stored rows are first cut to the incoming keys, so
-            # that a small source is broadcast and the table is scanned without a shuffle.
-            aligned, incoming = self._align(name, source), source.select(*keys)
-            stored = target.filter(_in_partitions(parts, touched))
-            stored = stored.join(incoming, match_on(stored, incoming, keys), "left_semi")
-            same = match_on(aligned, stored, target.columns)
-            source = stage(aligned.join(stored, same, "left_anti"))
-            touched = self._touched(target, source, keys, parts)
-        if not touched:
-            self.append(name, source)
-        elif parts:
-            self._rewrite_partitions(name, target, source, keys, parts, touched)
-        else:
-            version = self._write_version(name, merge_rows(target, source, keys), ())
+        source = stage(self._align(name, source))
+        target = self._rows(name)
+        if parts == [BUCKET]:
+            target = target.filter(_in_partitions(parts, self._partitions(source, parts)))
+        # The stored rows are first cut to the incoming keys, so that a small source is broadcast
+        # and the table is scanned without a shuffle; rows delivered again unchanged are skipped.
+        incoming = source.select(*keys)
+        stored = stage(target.join(incoming, match_on(target, incoming, keys), "left_semi"))
+        same = match_on(source, stored, target.columns)
+        changed = stage(source.join(stored, same, "left_anti"))
+        renewed, known = changed.select(*keys), stored.select(*keys)
+        replaced = stored.join(renewed, match_on(stored, renewed, keys), "left_semi")
+        if replaced.isEmpty():
+            self._insert(name, changed)
+            return
+        if not parts:
+            version = self._write_version(name, merge_rows(target, changed, keys), ())
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION {_sql_literal(version)}")
-        self.spark.catalog.refreshTable(name)
+            self.spark.catalog.refreshTable(name)
+            return
+        # Partitions that lose a row and partitions that get it in its place change together.
+        moved = changed.join(known, match_on(changed, known, keys), "left_semi")
+        touched = self._partitions(replaced.unionByName(moved), parts)
+        inside = _in_partitions(parts, touched)
+        old = target.filter(inside)
+        kept = old.join(renewed, match_on(old, renewed, keys), "left_anti")
+        rewritten = stage(kept.unionByName(changed.filter(inside)))
+        filled = self._partitions(rewritten, parts)
+        emptied = [row for row in touched if row not in filled]
+        self._overwrite_partitions(name, rewritten, parts, emptied)
+        self._insert(name, changed.filter(~inside))
 
     def write_or_upsert(
         self,
@@ -186,19 +211,16 @@ class TableStore:
         The age keeps readers that started before the last rewrite safe. Returns what was dropped.
         """
         base = f"{self.root}/{name.replace('.', '/')}"
-        version = F.regexp_extract("_metadata.file_path", rf"/{_VERSION}(\d+-[0-9a-f]+)/", 1)
-        used = {r[0] for r in self.read(name).select(version).distinct().collect()}
+        described = self.spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'")
+        used = described.first()["data_type"].rstrip("/").rpartition("/")[2]
         limit = time.time() - keep_hours * 3600
         unused = [
             child
             for child in folders.children(self.spark, base)
             if child.startswith(_VERSION)
-            and child.removeprefix(_VERSION) not in used
+            and child != used
             and int(child.removeprefix(_VERSION).split("-")[0]) / 1000 < limit
         ]
-        # the newest may be the location of a table that has no rows
-        if not used:
-            unused = unused[:-1]
         for child in unused:
             folders.drop(self.spark, f"{base}/{child}")
         return unused
@@ -211,44 +233,51 @@ class TableStore:
 
     def _write_version(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> str:
         version = self._new_folder(name)
-        writer = df.write
+        writer = df.hint("rebalance", *partition_by).write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(version)
         return version
 
-    def _register(self, name: str, df: DataFrame, version: str, partition_by: Sequence[str]) -> None:
+    def _register(
+        self, name: str, df: DataFrame, version: str, partition_by: Sequence[str], buckets: int = 0
+    ) -> None:
         columns = _nullable(df.schema.fields).toDDL()
         clause = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        properties = f"TBLPROPERTIES ('{_BUCKETS}'='{buckets}')" if buckets else ""
         self.spark.sql(
-            f"CREATE TABLE {name} ({columns}) USING parquet {clause} LOCATION {_sql_literal(version)}"
+            f"CREATE TABLE {name} ({columns}) USING parquet {clause} "
+            f"LOCATION {_sql_literal(version)} {properties}"
         )
         if partition_by and folders.exists(self.spark, version):
             self.spark.catalog.recoverPartitions(name)
 
-    def _create(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> None:
+    def _create(
+        self, name: str, df: DataFrame, partition_by: Sequence[str], buckets: int = 0
+    ) -> None:
         base = f"{self.root}/{name.replace('.', '/')}"
         if folders.children(self.spark, base):
             raise RuntimeError(
                 f"{base} holds data but the catalog has no {name}: use the catalog that made it"
             )
         # Named first, filled second: a run lost in between leaves an empty table to go on with.
-        self._register(name, df, self._new_folder(name), partition_by)
+        self._register(name, df, self._new_folder(name), partition_by, buckets)
         self._insert(name, df)
 
     def _insert(self, name: str, df: DataFrame) -> None:
-        self._align(name, df).write.insertInto(name)
+        parts = self.partition_columns(name)
+        self._align(name, df).hint("rebalance", *parts).write.insertInto(name)
         # a micro-batch writes through a session of its own; this one must list the files anew
         self.spark.catalog.refreshTable(name)
 
     def _add_columns(self, name: str, df: DataFrame) -> None:
-        known = set(self.read(name).columns)
+        known = set(self._rows(name).columns)
         new = [f for f in df.schema.fields if f.name not in known]
         if new:
             self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_nullable(new).toDDL()})")
 
     def _align(self, name: str, df: DataFrame) -> DataFrame:
-        fields = self.read(name).schema.fields
+        fields = self._rows(name).schema.fields
         return df.select(
             *[
                 (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None))
@@ -258,49 +287,51 @@ class TableStore:
             ]
         )
 
-    def _touched(
-        self, target: DataFrame, source: DataFrame, keys: Sequence[str], parts: Sequence[str]
-    ) -> list[Row]:
-        """Partitions with a matched row: partition values, so at most as many as the catalog
-        lists. For an unpartitioned table one empty row stands for the table."""
-        incoming = source.select(*keys)
-        matched = target.join(incoming, match_on(target, incoming, keys), "left_semi")
-        if parts:
-            return matched.select(*parts).distinct().collect()
-        return [] if matched.isEmpty() else [Row()]
+    def _bucket_count(self, name: str) -> int:
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {name} ('{_BUCKETS}')").first()
+        return int(found["value"])
 
-    def _rewrite_partitions(
-        self,
-        name: str,
-        target: DataFrame,
-        source: DataFrame,
-        keys: Sequence[str],
-        parts: Sequence[str],
-        touched: Sequence[Row],
+    def _partitions(self, df: DataFrame, parts: Sequence[str]) -> list[Row]:
+        """Partition values of the rows: at most as many as the catalog lists."""
+        return df.select(*parts).distinct().collect()
+
+    def _overwrite_partitions(
+        self, name: str, rows: DataFrame, parts: Sequence[str], emptied: Sequence[Row]
     ) -> None:
-        inside = _in_partitions(parts, touched)
-        old, incoming = target.filter(inside), source.select(*keys)
-        kept = old.join(incoming, match_on(old, incoming, keys), "left_anti")
-        rewritten = kept.unionByName(source.filter(inside), allowMissingColumns=True)
-        version = self._write_version(name, self._align(name, rewritten), parts)
-        written = self._partitions_at(version, target, parts)
-        # Swap first: until the swap the appended rows would show beside the rows they replace.
-        for values in touched:
-            spec = ", ".join(f"`{p}`={_sql_literal(values[p])}" for p in parts)
-            if tuple(values) in written:
-                folder = "/".join(f"{p}={_folder_name(values[p])}" for p in parts)
-                self.spark.sql(
-                    f"ALTER TABLE {name} PARTITION ({spec}) "
-                    f"SET LOCATION {_sql_literal(f'{version}/{folder}')}"
-                )
-            else:
-                self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+        """Swaps in the partitions of ``rows``, a stored copy, and drops those left without rows."""
+        aligned = self._align(name, rows).hint("rebalance", *parts)
+        with _dynamic_overwrite(aligned.sparkSession):
+            aligned.write.mode("overwrite").insertInto(name)
+        if emptied:
+            specs = [
+                "PARTITION (" + ", ".join(f"`{p}`={_sql_literal(r[p])}" for p in parts) + ")"
+                for r in emptied
+            ]
+            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(specs)}")
         self.spark.catalog.refreshTable(name)
-        self.append(name, source.filter(~inside))
 
-    def _partitions_at(self, version: str, target: DataFrame, parts: Sequence[str]) -> set[tuple]:
-        written = self.spark.read.schema(target.schema).parquet(version)
-        return {tuple(r) for r in written.select(*parts).distinct().collect()}
+
+@contextlib.contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Inserts that overwrite replace the partitions of their rows and no others."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _columns(df: DataFrame) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
+def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """``df`` with the bucket of its key, from the key's text so that types need not agree."""
+    texts = [F.col(f"`{k}`").cast("string") for k in keys]
+    bucket = F.pmod(F.xxhash64(*texts), F.lit(buckets)).cast("int")
+    return df.withColumn(BUCKET, bucket)
 
 
 def _in_partitions(parts: Sequence[str], values: Sequence[Row]) -> Column:

@@ -52,14 +52,21 @@ def server_metrics(logs: DataFrame, delay: str | None = None) -> DataFrame:
         .groupBy(_window("1 hour").alias("time_window"))
         .agg(
             F.avg(time).alias("response_time_mean"),
-            F.percentile_approx(time, 0.5).alias("response_time_50p"),
-            F.percentile_approx(time, 0.95).alias("response_time_95p"),
-            F.percentile_approx(time, 0.99).alias("response_time_99p"),
+            F.percentile_approx(time, [0.5, 0.95, 0.99]).alias("times"),
             requests_made.alias("request_count"),
             F.sum(requests.succeeded(F.col("status_code"))).alias("successful_request_count"),
             failures.alias("failed_request_count"),
             (failures / requests_made).alias("server_error_rate"),
         )
+        .select(
+            "time_window",
+            "response_time_mean",
+            *[F.col("times")[i].alias(f"response_time_{p}p") for i, p in enumerate((50, 95, 99))],
+            "request_count",
+            "successful_request_count",
+            "failed_request_count",
+            "server_error_rate",
+        )
     )
 
 
@@ -121,7 +128,7 @@ def with_match_record(logs: DataFrame, matches: DataFrame, salts: int = 1) -> Da
     record = match_record(matches)
     if salts <= 1:
         return logs.join(record, "puuid")
-    spread = logs.withColumn("__salt", F.pmod(F.xxhash64(TIME), F.lit(salts)))
+    spread = logs.withColumn("__salt", F.pmod(F.xxhash64(*logs.columns), F.lit(salts)))
     copies = record.withColumn(
         "__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
     )
@@ -129,12 +136,16 @@ def with_match_record(logs: DataFrame, matches: DataFrame, salts: int = 1) -> Da
 
 
 def placement_transactions(
-    logs: DataFrame, matches: DataFrame, delay: str | None = "10 minutes"
+    logs: DataFrame,
+    matches: DataFrame,
+    delay: str | None = "10 minutes",
+    recorded: bool = False,
 ) -> DataFrame:
     """Daily mean placement and purchases per player, over log rows joined to the player's matches.
 
     Each log row counts once per match of its player. Both sides are summed per player before the
-    join, which gives the same numbers without making a row for every log and match.
+    join, which gives the same numbers without making a row for every log and match. ``recorded``
+    says that ``matches`` is a stored :func:`match_record`, which a stream then need not make anew.
     """
     bought = F.when(_is(requests.TRANSACTION), 1).otherwise(0)
     daily = (
@@ -142,7 +153,7 @@ def placement_transactions(
         .groupBy(_window("1 day").alias("window"), "puuid")
         .agg(F.sum(bought).alias("purchases"))
     )
-    joined = daily.join(match_record(matches), "puuid").select(
+    joined = daily.join(matches if recorded else match_record(matches), "puuid").select(
         "window",
         "puuid",
         F.try_divide("placement_sum", "matches_placed").alias("average_placement"),

@@ -28,21 +28,19 @@ def snapshot_stream(
     path: str,
     checkpoint: str,
     partition_by: Sequence[str] = (),
-    keep: int = 2,
-    files: int | None = None,
+    keep_hours: float = 24,
     on_snapshot: Callable[[str], None] | None = None,
 ) -> None:
     """Complete-mode sink: every micro-batch writes the whole result as its own snapshot.
 
     A repeated batch overwrites its own snapshot only, and readers take the newest committed one.
-    ``files`` spreads the result over that many tasks for writing, where it is much smaller than
-    the number of state partitions suggests. ``on_snapshot`` gets the folder of each new snapshot before any old one is dropped; the
-    newest ``keep`` stay.
+    Small state partitions are merged, and large ones split, before the write. ``on_snapshot`` gets
+    the folder of each new snapshot before any old one is dropped; one that a newer one replaced
+    stays readable for ``keep_hours``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        result = batch.repartition(files) if files else batch
-        writer = result.write.mode("overwrite")
+        writer = batch.hint("rebalance", *partition_by).write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         snapshot = f"{path}/{_PREFIX}{batch_id:012d}"
@@ -50,8 +48,10 @@ def snapshot_stream(
         if on_snapshot:
             on_snapshot(snapshot)
         spark = batch.sparkSession
-        for old in _committed(spark, path)[:-keep]:
-            folders.drop(spark, f"{path}/{old}")
+        committed = _committed(spark, path)
+        for old, newer in zip(committed, committed[1:]):
+            if folders.age_hours(spark, f"{path}/{newer}/_SUCCESS") > keep_hours:
+                folders.drop(spark, f"{path}/{old}")
 
     query = (
         df.writeStream.outputMode("complete")

@@ -26,6 +26,17 @@ def test_first_per_key_is_total(spark):
         assert rows(found) == [(1, 2, ["a"]), (2, 1, None)]
 
 
+def test_narrow_first_per_key_takes_values_of_one_row(spark):
+    df = spark.createDataFrame(
+        [(1, 2, "p", ["b"]), (1, 2, "q", ["a"]), (1, 1, "z", None), (2, 1, None, None), (2, 1, None, None)],
+        "k int, v int, w string, xs array<string>",
+    )
+    found = [rows(dedupe.first_per_key(df.repartition(n), ["k"], [F.desc("v")], ["w", "v"])) for n in (1, 3)]
+    assert found[0] == found[1] and found[0][0][0] == 1 and found[0][0][1] in "pq" and len(found[0]) == 2
+    named = dedupe.first_per_key(df, ["k"], ["v"], ["w"])
+    assert named.columns == ["k", "w"] and rows(named)[0] == (1, "z")
+
+
 @ANY
 @given(PAIRS, PAIRS)
 def test_merge_properties(spark, old, new):

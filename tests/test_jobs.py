@@ -88,8 +88,8 @@ def test_everything_then_again_with_new_data(spark, workspace):
     assert rows(read("gold.composition_metrics"), "trait1", "trait2", "rank") == [("T1", "T2", 1)]
     assert rows(read("gold.transaction_metrics"), "product", "transaction_count", "total_profit") == sorted(
         [(None, 0, None), ("egg", 1, 800)], key=repr)
-    connection = read("gold.player_placement_transaction_connection")
-    assert rows(connection, "puuid", "average_placement", "transaction_count") == [("a", 1.0, 1)]
+    connection = "gold.player_placement_transaction_connection"
+    assert read(connection).count() == 0  # the day is not over
     served = spark.read.parquet(f"{workspace.publish_to}/placement_metrics")
     assert served.count() == 3  # the match without participants has no placement
 
@@ -112,6 +112,8 @@ def test_everything_then_again_with_new_data(spark, workspace):
         assert sum(r.request_count for r in read("gold.server_metrics").collect()) == 3
         served = spark.read.parquet(f"{workspace.publish_to}/placement_metrics")
         assert served.count() == read("gold.placement_metrics").count()
+        closed = rows(read(connection), "puuid", "average_placement", "transaction_count")
+        assert closed == [("a", 1.0, 2)]
 
 
 def test_closed_windows_only(spark, workspace):

@@ -4,6 +4,8 @@ import contextlib
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from rankstream.operators import compositions, dedupe, rates
 from rankstream.plans import adapters
 from rankstream.streaming import metrics
@@ -57,23 +59,51 @@ def test_pair_join_reads_one_shuffle(spark, silver):
     assert "SortMergeJoin" in text and "ReusedExchange" in text
 
 
-def test_row_total_reads_no_columns(silver):
-    text = rates.rate_table(silver["match_units"], ["item"])._jdf.queryExecution().explainString(
-        silver["match_units"].sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    )
-    assert "ReadSchema: struct<>" in text
-    assert "ReadSchema: struct<match_id:string,placement:int,item:string>" in text
+def test_rates_and_their_base_come_from_one_scan(spark, sf_dir, silver):
+    assert plan_of(rates.rate_table(silver["match_units"], ["item"])).count("FileScan") == 1
+    derived = adapters.match_traits(spark, sf_dir), adapters.match_augments(spark, sf_dir)
+    for df in (rates.trait_metrics(derived[0]), rates.augment_metrics(derived[1])):
+        assert plan_of(df).count("lineitem.parquet") == 1
+
+
+def test_narrow_dedupe_shuffles_no_array(spark, sf_dir):
+    from rankstream.plans.catalog import QUERIES
+
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    df = QUERIES["dedupe_by_key"](spark, sf_dir)
+    text = df._jdf.queryExecution().explainString(mode)
+    shuffled = text.split(") Exchange")[-1].split("Arguments")[0]
+    assert "match_id" in shuffled
+    assert not any(array in shuffled for array in ("augments", "traits", "units"))
+
+
+def test_server_metrics_keep_one_digest(spark, sf_dir):
+    text = plan_of(metrics.server_metrics(adapters.logs(spark, sf_dir)))
+    assert text.count("percentile_approx(") == 2  # before and after the shuffle
+
+
+def test_every_log_row_of_a_known_player_joins(spark, sf_dir):
+    """Also without a broadcast, and with as many players as the data has."""
+    logs, matches = adapters.logs(spark, sf_dir), adapters.matches(spark, sf_dir)
+    players = adapters.table(spark, sf_dir, "orders").select("o_custkey").distinct().count()
+    assert matches.select("puuid").distinct().count() == players
+    known = logs.join(matches.select("puuid").distinct(), "puuid", "left_semi").count()
+    with large_tables(spark):
+        for salts in (1, 8):
+            joined = metrics.with_match_record(logs, matches, salts)
+            assert "SortMergeJoin" in plan_of(joined)
+            assert joined.count() == known > 0
 
 
 def test_limits_reach_below_the_shuffle(silver):
-    top = rates.champion_item_metrics(silver["match_units"])
+    top = rates.champion_item_metrics(silver["match_units"], base=F.lit(1))
     assert plan_of(top).count("WindowGroupLimit") == 2
     first = dedupe.first_per_key(silver["matches"], ["match_id", "puuid"])
     assert plan_of(first).count("WindowGroupLimit") == 2
 
 
 def test_filters_reach_the_scan(silver):
-    text = rates.trait_metrics(silver["match_traits"])._jdf.queryExecution().executedPlan().toString()
+    text = rates.trait_metrics(silver["match_traits"], F.lit(1))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(trait_tier,0)" in text
 
 

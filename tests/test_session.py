@@ -2,31 +2,21 @@
 
 from types import SimpleNamespace
 
-import pytest
-
 from rankstream.session import DEFAULTS, fresh_folder, shared_folder
 
 
-def session(master, folder=None):
-    context = SimpleNamespace(master=master, applicationId=f"app-{master}")
-    return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=context
-    )
+def session(folder=None, warehouse="file:/lake/warehouse"):
+    known = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": warehouse}
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: known[key] or default))
 
 
 def test_the_cluster_names_the_folder():
-    assert shared_folder(session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
-    assert fresh_folder(session("yarn", "hdfs:///shared/"), "x").startswith("hdfs:///shared/")
-
-
-def test_a_cluster_without_the_setting_is_refused():
-    with pytest.raises(RuntimeError):
-        shared_folder(session("spark://host:7077"))
+    assert shared_folder(session("hdfs:///shared/")) == "hdfs:///shared"
+    assert fresh_folder(session("hdfs:///shared/"), "x").startswith("hdfs:///shared/")
 
 
-def test_only_local_mode_makes_its_own():
-    local = session("local[2]")
-    assert shared_folder(local) == shared_folder(local)
+def test_else_it_lies_in_the_warehouse():
+    assert shared_folder(session()) == "file:/lake/warehouse/_work"
 
 
 def test_defaults_are_in_force(spark):

@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 PLAYERS = "puuid string, tier string, wins int"
 
@@ -38,8 +39,6 @@ def test_upsert_moves_partitions_and_repeats(store, spark, table_name, partition
         [("a", "a/b=c:d%", 2), ("b", "GOLD", 1), ("c", "GOLD", 2), ("d", "GOLD", 2), (None, None, 2), ("e", "NEW", 2)],
         key=repr,
     )
-    from pyspark.sql import functions as F
-
     for _ in range(2):
         store.upsert(table_name, update, ["puuid"], [F.desc("wins")], partition_by=by)
         assert rows(store.read(table_name), "puuid", "tier", "wins") == expected
@@ -97,10 +96,75 @@ def test_vacuum_spares_partitions_in_use(store, spark, table_name):
     store.upsert(table_name, spark.createDataFrame([("a", "X", 1), ("b", "Y", 1)], PLAYERS), ["puuid"], partition_by=["tier"])
     for wins in (2, 3):
         store.upsert(table_name, spark.createDataFrame([("a", "X", wins)], PLAYERS), ["puuid"])
-    assert len(store.vacuum(table_name, keep_hours=0)) == 1
+    assert store.vacuum(table_name, keep_hours=0) == []
     assert rows(store.read(table_name), "puuid", "wins") == [("a", 3), ("b", 1)]
 
 
+def _files(store, name):
+    return {r.f for r in store.read(name).selectExpr("_metadata.file_path AS f").collect()}
+
+
+def test_keyed_tables_rewrite_only_the_buckets_of_the_rows(store, spark, table_name):
+    many = spark.range(200).selectExpr("concat('p', id) AS puuid", "'X' AS tier", "1 AS wins")
+    store.upsert(table_name, many, ["puuid"])
+    assert store.partition_columns(table_name) == ["key_bucket"]
+    assert store.read(table_name).columns == ["puuid", "tier", "wins"]
+    before = _files(store, table_name)
+    store.upsert(table_name, spark.createDataFrame([("p7", "Y", 2)], PLAYERS), ["puuid"])
+    after = _files(store, table_name)
+    folder = {f.rsplit("/", 1)[0] for f in after - before}
+    assert len(folder) == 1
+    assert {f for f in before if f.rsplit("/", 1)[0] not in folder} < after
+    assert rows(store.read(table_name).filter("wins = 2")) == [("p7", "Y", 2)]
+    assert store.read(table_name).count() == 200
+
+
+def test_upsert_scans_only_its_buckets(store, spark, table_name, monkeypatch):
+    many = spark.range(200).selectExpr("concat('p', id) AS puuid", "'X' AS tier", "1 AS wins")
+    store.upsert(table_name, many, ["puuid"])
+    seen = []
+    real = type(store)._rows
+
+    def watched(self, name):
+        seen.append(real(self, name))
+        return seen[-1]
+
+    monkeypatch.setattr(type(store), "_rows", watched)
+    update = spark.createDataFrame([("p7", "Y", 2)], PLAYERS)
+    with store.staging() as stage:
+        store._merge(table_name, update, ["puuid"], stage)
+    bucket = real(store, table_name).filter("puuid = 'p7'").first()["key_bucket"]
+    pruned = real(store, table_name).filter(f"key_bucket = {bucket}")
+    assert len(pruned.inputFiles()) < len(real(store, table_name).inputFiles())
+
+
+@pytest.mark.parametrize("by", [[], ["tier"]])
+def test_a_failed_swap_leaves_the_old_rows(store, spark, table_name, by, monkeypatch):
+    first = spark.createDataFrame([("a", "X", 1), ("b", "Y", 1)], PLAYERS)
+    update = spark.createDataFrame([("a", "Y", 2), ("c", "Z", 1)], PLAYERS)
+    store.upsert(table_name, first, ["puuid"], partition_by=by)
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "_overwrite_partitions", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.upsert(table_name, update, ["puuid"], partition_by=by)
+    assert rows(store.read(table_name), "puuid", "tier", "wins") == [("a", "X", 1), ("b", "Y", 1)]
+    store.upsert(table_name, update, ["puuid"], partition_by=by)
+    assert rows(store.read(table_name), "puuid", "tier", "wins") == [
+        ("a", "Y", 2), ("b", "Y", 1), ("c", "Z", 1)]
+
+
+def test_partitioned_overwrite_keeps_the_table(store, spark, table_name, monkeypatch):
+    store.overwrite(table_name, spark.createDataFrame([("a", "X", 1), ("b", "Y", 1)], PLAYERS), ["tier"])
+    half = store.read(table_name).filter("tier = 'Y'").withColumn("wins", F.lit(5))
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "_overwrite_partitions", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.overwrite(table_name, half, ["tier"])
+    assert store.read(table_name).count() == 2
+    store.overwrite(table_name, half, ["tier"])
+    assert rows(store.read(table_name), "puuid", "tier", "wins") == [("b", "Y", 5)]
+
+
 def test_no_staging_is_left(store, spark, table_name):
     from rankstream.sinks import folders
 
