@@ -46,10 +46,13 @@ def arrow_type(kind: T.DataType) -> pa.DataType:
     return plain[kind]
 
 
-def per_value(fn: Callable, kind: T.DataType) -> Callable[[Column], Column]:
+def per_value(
+    fn: Callable, kind: T.DataType, once: bool = False
+) -> Callable[[Column], Column]:
     """A column function that calls ``fn`` on one value at a time.
 
     Of a batch's texts only one is a Python object at any time, which bounds a worker's memory.
+    ``once`` keeps the planner from calling it anew for each filter on its result.
     """
     made = arrow_type(kind)
 
@@ -58,7 +61,7 @@ def per_value(fn: Callable, kind: T.DataType) -> Callable[[Column], Column]:
         def applied(values: pa.Array) -> pa.Array:
             return pa.array((fn(v.as_py()) for v in values), type=made)
 
-        return applied(value)
+        return (applied.asNondeterministic() if once else applied)(value)
 
     return column
 

@@ -82,7 +82,7 @@ def _counts(text: str | None) -> tuple[int, ...]:
 
 def statistics(text: Column) -> Column:
     """The base counts of whole texts."""
-    return per_value(_counts, STATISTICS)(text)
+    return per_value(_counts, STATISTICS, once=True)(text)
 
 
 def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
