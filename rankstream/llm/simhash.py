@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankstream import schemas
+from rankstream.llm import similar
 from rankstream.llm.common import checkpoint, hidden, per_value, row_key, settle
 from rankstream.llm.components import connected_components
 
@@ -183,23 +184,40 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 
 
 def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One document of each component, that with the smallest id (ids before nulls).
+    """One document of each group of similar texts, that with the smallest id (ids before nulls).
 
+    Groups are the components of all pairs whose five-word shingles have Jaccard similarity 0.8 or
+    more (module ``similar``), not the fingerprints' components, whose 4 bits are far stricter.
     Among rows with the same id a hash of the row decides; equal rows stay once.
     """
     first, second = hidden("a"), hidden("b")
     k1, k2 = row_key(docs)
+    content = F.col(f"`{text}`")
+    print_ = similar.signature(docs, content, k1)
     keyed = settle(
         docs.select(
-            F.col(f"`{key}`").alias("doc_id"), fingerprint(F.col(f"`{text}`")).alias("fp"),
-            k1.alias("k1"), k2.alias("k2"),
-        ),
+            F.col(f"`{key}`").alias("doc_id"), print_.alias("s"), k1.alias("k1"), k2.alias("k2")
+        ).select("doc_id", "s.*", "k1", "k2"),
         "prints",
     )
     rank = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "k1", "k2")
-    classes = checkpoint(keyed.groupBy("fp").agg(F.min(rank).alias("best")))
-    rooted = classes.join(roots(classes.select("fp")), "fp", "left")
-    best = rooted.groupBy(F.coalesce("root", "fp")).agg(F.min("best").alias("best"))
+    classes = settle(
+        keyed.groupBy("cls").agg(
+            F.min(rank).alias("best"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
+        ),
+        "classes",
+    )
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        rows = classes.join(wanted, "cls").select(
+            "cls", F.col("best.k1").alias(first), F.col("best.k2").alias(second)
+        )
+        texts = docs.select(content.alias("text"), k1.alias(first), k2.alias(second))
+        found = texts.join(rows, [first, second]).dropDuplicates(["cls"])
+        return found.select("cls", similar.shingles(F.col("text")).alias("tokens"))
+
+    rooted = classes.join(similar.roots(classes.select("cls", "n", "prefix"), sets_of), "cls", "left")
+    best = rooted.groupBy(F.coalesce("root", "cls")).agg(F.min("best").alias("best"))
     survivors = settle(
         best.select(F.col("best.k1").alias(first), F.col("best.k2").alias(second)), "survivors"
     )

@@ -5,7 +5,7 @@ import random
 import pytest
 import xxhash
 
-from rankstream.llm import simhash
+from rankstream.llm import similar, simhash
 from rankstream.llm.components import connected_components
 
 DOCS = "doc_id long, text string"
@@ -117,3 +117,55 @@ def test_components_of_graphs(spark):
     star = [(0, i) for i in range(1, 300)] + [(1000, 1001)]
     assert of(star) == [(i, 0) for i in range(300)] + [(1000, 1000), (1001, 1000)]
     assert of([("b", "a"), ("c", "b")], "string") == [("a", "a"), ("b", "a"), ("c", "a")]
+
+
+def word_set(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def kept_by_all_pairs(rows):
+    """Ids that stay, from the exact similarity of every pair."""
+    sets, parent = [word_set(t) for _, t in rows], list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 10 * len(a & b) >= 8 * len(a | b):
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        least[root(i)] = min(doc, least.get(root(i), doc))
+    return sorted(least.values())
+
+
+@pytest.mark.parametrize("sample", [20_000, 10])
+def test_all_texts_of_similarity_four_fifths_are_linked(spark, monkeypatch, sample):
+    """Edited copies around 0.8, chains of them, a large group and a shared passage."""
+    monkeypatch.setattr(similar, "SAMPLE", sample)
+    rng = random.Random(11)
+    def word():
+        return "".join(rng.choices("abcdefgh", k=4))
+
+    shared = [word() for _ in range(60)]
+    texts = [None, "", "one two", "One  two", "one two three"]
+    for size in [8, 30, 60, 100, 100, 100, 200, 200, 400]:
+        words = [word() for _ in range(size)]
+        for _ in range(8):
+            if rng.random() < 0.5:
+                words = list(words)
+            copy = words if rng.random() < 0.3 else list(words)
+            for at in rng.sample(range(size), rng.randint(0, max(1, size // 35))):
+                copy[at] = word()
+            texts.append(" ".join(copy))
+    texts += [" ".join([*shared, *[word() for _ in range(rng.randint(5, 60))]]) for _ in range(40)]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    got = simhash.deduplicated(spark.createDataFrame(rows, DOCS)).collect()
+    want = kept_by_all_pairs(rows)
+    assert sorted(r.doc_id for r in got) == want
+    assert len(want) < len(rows) - 20
