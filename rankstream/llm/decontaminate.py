@@ -1,16 +1,18 @@
 """Benchmark decontamination by the q-gram lemma in diagonal bands, then banded alignment.
 
-Benchmark items are cut into windows; a document is contaminated by an item if some window occurs
-in it with at most ``length // PER_EDIT`` edits (5 %). A window of w characters within k edits shares
-at least w + 1 - q - q*k character q-grams with the region, and all of them lie on diagonals
-(place in the document minus place in the item) at most k apart. So per document: q-grams that the
-benchmark has are looked up, places are kept where enough hits lie close together, hits are counted
-per window in overlapping diagonal bands of width 2(k+1), bands that reach the bound are kept, and a
-banded alignment decides. Nothing but case and the kind of white space is folded.
-
-The documents never move: the benchmark is taken in blocks of at most ``BLOCK_CHARS`` characters,
-each of which is sent to the tasks as an index of bounded size, whatever the benchmark's size; all
-blocks are searched.
+A document is contaminated by an item if some window of the item occurs in it with at most
+``length // PER_EDIT`` edits (5 %). Windows are all runs of ``WINDOW`` characters, from every start, all
+runs of ``WORDS`` whole words that are shorter than that, and the whole item where it is no longer. So a
+passage of either length is found wherever in the item it starts. A window of w characters within k
+edits shares at least w + 1 - q - q*k character q-grams with the region, and all of them lie on
+diagonals (place in the document minus place in the item) at most k apart. So per document: q-grams that
+the benchmark has are looked up, places are kept where enough hits lie close together, hits are collected
+per item in overlapping diagonal bands of width 2(k+1), counted for each window there, and for windows
+that reach the bound a banded alignment decides. Nothing but case and the kind of white space is folded.
+
+The documents never move: the benchmark is taken in blocks of about ``BLOCK_CHARS / 4`` characters, each
+of which is sent to the tasks as an index of bounded size, whatever the benchmark's size; all blocks are
+searched. Items longer than ``PIECE`` are cut into pieces that overlap by more than a window.
 
 Defined results: null and empty texts match nothing; items shorter than ``Q`` characters are no
 evidence and match nothing; an item repeated in the benchmark reports each of its ids; documents
@@ -21,7 +23,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -34,7 +35,9 @@ from rankstream.llm.common import settle
 
 Q = 12
 WINDOW = 80
-STRIDE = 40
+STRIDE = 1
+WORDS = 13
+PIECE = 10_000
 PER_EDIT = 20
 BLOCK_CHARS = 1_000_000
 _BITS = 24
@@ -87,35 +90,46 @@ def gram_hashes(codes: np.ndarray) -> np.ndarray:
         return (eight[:-4] * power[2] + four[8:]) * _BASE
 
 
-@dataclass
-class Window:
-    item: int
-    text: str
-
-    def __post_init__(self):
-        self.codes = fold(self.text)
-        self.length = int(self.codes.size)
+class Piece:
+    """A part of an item with its windows; ``first`` and ``last`` tell whether its ends are the item's."""
+
+    def __init__(self, item: int, text: str, first: bool = True, last: bool = True):
+        self.item, self.codes = item, fold(text)
+        size = int(self.codes.size)
+        if size <= WINDOW:
+            found = {(0, size)}
+        else:
+            found = {(s, WINDOW) for s in (*range(0, size - WINDOW, STRIDE), size - WINDOW)}
+        spaces = np.r_[True, self.codes == 32, True]
+        begins = np.flatnonzero(spaces[:-2] & ~spaces[1:-1])
+        ends = np.flatnonzero(~spaces[1:-1] & spaces[2:]) + 1
+        for start, end in zip(begins.tolist(), ends[WORDS - 1 :].tolist()):
+            whole = (start > 0 or first) and (end < size or last)  # a piece may cut a word
+            if whole and end - start < WINDOW:
+                found.add((start, end - start))
+        self.start, self.length = np.array(sorted(found), np.int64).T
         self.edits = self.length // PER_EDIT
-        self.shared = max(1, self.length + 1 - Q - Q * self.edits)
+        self.shared = np.maximum(1, self.length + 1 - Q - Q * self.edits)
 
 
 class Index:
-    """The q-grams of a bounded number of windows."""
+    """The q-grams of a bounded number of pieces, given as (item, text) and, for parts, first and last."""
 
-    def __init__(self, windows: list[tuple[int, str]]):
-        found = [Window(i, t) for i, t in windows]
-        self.windows = [w for w in found if w.length >= Q]
-        hashes = [gram_hashes(w.codes) for w in self.windows]
+    def __init__(self, pieces: list[tuple]):
+        found = [Piece(*p) for p in pieces]
+        self.pieces = [p for p in found if p.codes.size >= Q]
+        hashes = [gram_hashes(p.codes) for p in self.pieces]
         sizes = [h.size for h in hashes]
         flat = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         order = np.argsort(flat, kind="stable")
         self.hashes = flat[order]
-        self.window = np.repeat(np.arange(len(sizes)), sizes)[order]
+        self.piece = np.repeat(np.arange(len(sizes)), sizes)[order]
         self.place = np.concatenate([np.arange(s) for s in sizes])[order] if sizes else order
         self.present = np.zeros(1 << _BITS, bool)
         self.present[self.hashes >> np.uint64(64 - _BITS)] = True
-        self.span = max((w.length + w.edits for w in self.windows), default=0)
-        self.least = min((w.shared for w in self.windows), default=1)
+        self.span = max((int((p.length + p.edits).max()) for p in self.pieces), default=0)
+        self.least = min((int(p.shared.min()) for p in self.pieces), default=1)
+        self.edits = max((int(p.edits.max()) for p in self.pieces), default=0)
 
     def _dense(self, maybe: np.ndarray) -> np.ndarray:
         """Places of hits that have enough hits within one window's reach, before or after."""
@@ -131,10 +145,15 @@ class Index:
         np.add.at(marks, starts + least, -1)
         return places[np.cumsum(marks[:-1]) > 0]
 
-    def search(self, codes: np.ndarray, owner: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """(owner, item, start, end, edits) over concatenated texts; -1 owns separators."""
+    def search(
+        self, codes: np.ndarray, owner: np.ndarray, any_window: bool = False
+    ) -> list[tuple[int, int, int, int, int]]:
+        """(owner, item, start, end, edits) over concatenated texts; -1 owns separators.
+
+        ``any_window`` ends the search of a band at its first match.
+        """
         hashes = gram_hashes(codes)
-        if not hashes.size or not self.windows:
+        if not hashes.size or not self.pieces:
             return []
         maybe = self.present[hashes >> np.uint64(64 - _BITS)]
         places = self._dense(maybe)
@@ -145,38 +164,62 @@ class Index:
         rows = np.repeat(left, count) + np.arange(count.sum()) - np.repeat(
             np.cumsum(count) - count, count
         )
-        where, window = np.repeat(places, count), self.window[rows]
-        diagonal = where - self.place[rows] + self.span  # never negative
-        edits = np.array([w.edits for w in self.windows])[window]
-        shared = np.array([w.shared for w in self.windows])
-        found = []
+        where, piece, place = np.repeat(places, count), self.piece[rows], self.place[rows]
+        least = np.array([int(p.shared.min()) for p in self.pieces])
+        who, half = owner[where].astype(np.int64), self.edits + 1
+        found: set[tuple[int, int, int, int, int]] = set()
         for shifted in (0, 1):  # every spread of k diagonals lies whole in one of two bands
-            width = 2 * (edits + 1)
-            band = (diagonal + shifted * (edits + 1)) // width
-            key = np.stack([window, band], 1)
-            pairs, at, n = np.unique(key, axis=0, return_index=True, return_counts=True)
-            for row in np.flatnonzero(n >= shared[pairs[:, 0]]):
-                w = self.windows[pairs[row, 0]]
-                low = int(pairs[row, 1]) * 2 * (w.edits + 1) - shifted * (w.edits + 1) - self.span
-                found.append((int(pairs[row, 0]), low, int(where[at[row]])))
-        return self._verified(codes, owner, found)
-
-    def _verified(self, codes, owner, found):
-        results, seen = [], set()
-        for index, low, hit in found:
-            w = self.windows[index]
-            who = int(owner[hit])
-            start = max(0, low - w.edits)
-            end = min(codes.size, low + 2 * (w.edits + 1) + w.length + w.edits)
-            mine = np.flatnonzero(owner[start:end] == who)
-            start, end = start + int(mine[0]), start + int(mine[-1]) + 1
-            if (index, start, end) in seen:
+            band = (where - place + shifted * half) // (2 * half)
+            order = np.lexsort((place, band, piece, who))
+            key = np.stack([who, piece, band])[:, order]
+            cut = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0)])
+            ends = np.r_[cut[1:], order.size]
+            for at in np.flatnonzero(ends - cut >= least[key[1, cut]]).tolist():
+                hits = np.unique(place[order[cut[at] : ends[at]]])
+                text, number, which = key[:, cut[at]].tolist()
+                if text >= 0:
+                    low = (2 * which - shifted) * half
+                    self._verified(codes, owner, text, self.pieces[number], hits, low, any_window, found)
+        return sorted(found)
+
+    def _verified(self, codes, owner, text, piece, hits, low, any_window, found) -> None:
+        """Adds the piece's windows that match on the diagonals from ``low`` on."""
+        n = np.searchsorted(hits, piece.start + piece.length - Q, "right") - np.searchsorted(hits, piece.start)
+        for row in np.flatnonzero(n >= piece.shared).tolist():
+            first, length, budget = (int(x[row]) for x in (piece.start, piece.length, piece.edits))
+            start = max(0, first + low - budget)
+            end = min(codes.size, first + low + 2 * (self.edits + 1) + length + budget)
+            mine = np.flatnonzero(owner[start:end] == text)
+            if not mine.size:
                 continue
-            seen.add((index, start, end))
-            edits, a, b = align(w.codes, codes[start:end], w.edits)
-            if edits <= w.edits:
-                results.append((who, w.item, start + a, start + b, edits))
-        return results
+            start, end = start + int(mine[0]), start + int(mine[-1]) + 1
+            edits, a, b = align(piece.codes[first : first + length], codes[start:end], budget)
+            if edits <= budget:
+                found.add((text, piece.item, start + a, start + b, edits))
+                if any_window:
+                    return
+
+
+def _least_edits(window: list[int], region: list[int]) -> int:
+    """Least edits of the window against any part of the region, a column of the table at a time in bits."""
+    at: dict[int, int] = {}
+    for i, char in enumerate(window):
+        at[char] = at.get(char, 0) | 1 << i
+    full, last = (1 << len(window)) - 1, 1 << (len(window) - 1)
+    up, down, score = full, 0, len(window)
+    best = score
+    for char in region:
+        x = at.get(char, 0) | down
+        flat = ((up + (x & up)) ^ up) | x
+        more, less = (down | ~(up | flat)) & full, up & flat
+        if more & last:
+            score += 1
+        elif less & last:
+            score -= 1
+            best = min(best, score)
+        shifted = more << 1
+        down, up = shifted & flat & full, (less << 1 | ~(shifted | flat)) & full
+    return best
 
 
 def align(window: np.ndarray, region: np.ndarray, budget: int) -> tuple[int, int, int]:
@@ -193,6 +236,8 @@ def align(window: np.ndarray, region: np.ndarray, budget: int) -> tuple[int, int
         return 0, at // 4, at // 4 + window.size
     far = budget + 1
     text = region.tolist()
+    if _least_edits(window.tolist(), text) > budget:
+        return far, 0, 0
     row = {j: (0, j) for j in range(len(text) + 1)}  # column: (edits, where the part starts)
     for char in window.tolist():
         following: dict[int, tuple[int, int]] = {}
@@ -217,7 +262,7 @@ def align(window: np.ndarray, region: np.ndarray, budget: int) -> tuple[int, int
 
 
 def _search_texts(
-    index: Index, texts: Iterable[str | None]
+    index: Index, texts: Iterable[str | None], any_window: bool = False
 ) -> list[tuple[int, int, int, int, int]]:
     """Hits of a list of texts, by position in the list.
 
@@ -237,10 +282,10 @@ def _search_texts(
             parts += [codes, gap]
             owners += [np.full(codes.size, order, np.int32), np.full(1, -1, np.int32)]
             at += codes.size + 1
-        for order, item, start, end, edits in index.search(np.concatenate(parts), np.concatenate(owners)):
-            if order >= 0:
-                shift = shifts[order]
-                found.add((group[order][0], item, start + shift, end + shift, edits))
+        hits = index.search(np.concatenate(parts), np.concatenate(owners), any_window)
+        for order, item, start, end, edits in hits:
+            shift = shifts[order]
+            found.add((group[order][0], item, start + shift, end + shift, edits))
 
     for number, text in enumerate(texts):
         for start in range(0, len(text or ""), _BATCH_CHARS):
@@ -255,37 +300,35 @@ def _search_texts(
     return sorted(found)
 
 
-def windows(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
-    """(item, block-free number, text): overlapping windows that cover every item whole."""
+def pieces(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
+    """(item, start, text, first, last): overlapping pieces that cover every item whole."""
     content, length = F.col(f"`{text}`"), F.char_length(F.col(f"`{text}`"))
-    starts = F.when(length <= WINDOW, F.array(F.lit(0))).otherwise(
-        F.array_union(
-            F.sequence(F.lit(0), length - WINDOW, F.lit(STRIDE)), F.array(length - WINDOW)
-        )
-    )
+    step = PIECE - 2 * WINDOW
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), length - 2 * WINDOW - 1), F.lit(step))
     placed = benchmark.filter(length >= Q).select(
-        F.col(f"`{key}`").cast("long").alias("item"), content.alias("content"),
+        F.col(f"`{key}`").cast("long").alias("item"), content.alias("content"), length.alias("size"),
         F.explode(starts).alias("start"),
     )
     return placed.select(
-        "item", "start", F.substring("content", F.col("start") + 1, F.lit(WINDOW)).alias("text")
+        "item", "start", F.substring("content", F.col("start") + 1, F.lit(PIECE)).alias("text"),
+        (F.col("start") == 0).alias("first"), (F.col("start") + PIECE >= F.col("size")).alias("last"),
     )
 
 
 def _indexes(benchmark: DataFrame) -> Iterator[_Block]:
     """Broadcast indexes of the benchmark's blocks, each of bounded size."""
     spark = benchmark.sparkSession
-    cut = settle(windows(benchmark), "windows")
-    total = cut.count() * WINDOW
-    blocks = max(1, -(-total // (BLOCK_CHARS // 2)))
+    cut = settle(pieces(benchmark), "pieces")
+    total = cut.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // (BLOCK_CHARS // 4)))
     for block in range(blocks):
         chosen = cut.filter(F.pmod(F.xxhash64("item", "start", "text"), F.lit(blocks)) == block)
-        rows = [(r.item, r.text) for r in chosen.orderBy("item", "start").toLocalIterator()]
-        yield _Block(spark.sparkContext.broadcast(rows))
+        found = chosen.orderBy("item", "start").toLocalIterator()
+        yield _Block(spark.sparkContext.broadcast([tuple(r)[:1] + tuple(r)[2:] for r in found]))
 
 
 class _Block:
-    """A broadcast block of windows; each worker builds its index once."""
+    """A broadcast block of pieces; each worker builds its index once."""
 
     def __init__(self, broadcast):
         self.name, self.broadcast = uuid.uuid4().hex, broadcast
@@ -317,7 +360,7 @@ def _free(block: _Block):
     @F.arrow_udf(schemas.BOOLEAN)
     def free(texts: pa.Array) -> pa.Array:
         found = np.ones(len(texts), bool)
-        for hit in _search_texts(block.index(), (t.as_py() for t in texts)):
+        for hit in _search_texts(block.index(), (t.as_py() for t in texts), any_window=True):
             found[hit[0]] = False
         return pa.array(found)
 
@@ -337,7 +380,7 @@ def regions(
     found = reduce(DataFrame.unionByName, parts)
     return found.groupBy("doc_id", "item_id").agg(
         F.min("start").alias("start"), F.max("end").alias("end"),
-        F.count(F.lit(1)).alias("windows"), F.min("edits").alias("edits"),
+        F.count_distinct("start", "end", "edits").alias("windows"), F.min("edits").alias("edits"),
     )
 
 

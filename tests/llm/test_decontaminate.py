@@ -115,3 +115,32 @@ def test_long_texts_and_wide_characters():
     assert {h[0] for h in hits} == {1, 3}
     assert min(h[4] for h in hits if h[0] == 1) == min(h[4] for h in hits if h[0] == 3) == 0
     assert np.array_equal(d.fold("A\tİ"), d.fold("a İ"))
+
+
+def test_quoted_passages_are_found_from_every_start():
+    """Verbatim passages of 13 words and of 80 characters, slid over all starts of the items."""
+    rng = random.Random(21)
+    items = [(i, prose(rng, n)) for i, n in enumerate([14, 40])]
+    index = d.Index(items)
+    for item, text in items:
+        words = text.split(" ")
+        passages = [" ".join(words[i : i + 13]) for i in range(len(words) - 12)]
+        passages += [text[i : i + 80] for i in range(len(text) - 79)]
+        docs = [f"{prose(rng, 9)} {p} {prose(rng, 9)}" for p in passages]
+        found = d._search_texts(index, docs)
+        assert {h[0] for h in found if h[1] == item} == set(range(len(docs)))
+        assert {h[0] for h in d._search_texts(index, docs, any_window=True)} == set(range(len(docs)))
+
+
+def test_items_in_pieces_find_the_same(spark, monkeypatch):
+    rng = random.Random(22)
+    item = prose(rng, 300)
+    words = item.split(" ")
+    docs = [(i, f"x {' '.join(words[i : i + 13])} y") for i in range(0, 288, 3)]
+    documents = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    whole = sorted(map(tuple, d.regions(documents, benchmark).collect()))
+    assert len(whole) == len(docs)
+    monkeypatch.setattr(d, "PIECE", 300)
+    assert d.pieces(benchmark).count() > 5
+    assert sorted(map(tuple, d.regions(documents, benchmark).collect())) == whole
