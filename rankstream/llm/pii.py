@@ -7,7 +7,8 @@ round one half is shifted, unit by unit modulo its radix, by a SHA-256 of key, k
 and the other half. That is a permutation of the format, so different values stay different, and
 equal values get equal pseudonyms in all documents. Check digits are computed anew, so pseudonyms
 are valid again. Separators stay where they were and do not change the pseudonym's digits. Invalid
-look-alikes and all other text stay as they are.
+look-alikes and all other text stay as they are. A number does not run into the value after it, and one
+that fails its check as a whole is read again number by number.
 
 Everything is a built-in expression; documents never shuffle. The key is a parameter and should
 come from a secret store.
@@ -35,15 +36,45 @@ ROUNDS = 8
 # A Gregorian cycle of 400 years has 146,097 = 189 * 773 days.
 _FIRST_DAY, _DATE_RADIX = "1800-01-01", (189, 773)
 
+# Account number lengths by country; other countries' are taken at any length.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK",
+    21: "CH|HR|LI|LV", 22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL",
+    24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST", 26: "IS|TR",
+    27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA",
+    30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    groups, rest = divmod(length - 4, 4)
+    tail = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return f"(?:{countries})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{tail}"
+
+
+_IBANS = "|".join(_iban_of(n, names) for n, names in _IBAN_LENGTHS.items())
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+# Values that a number before them and a space do not run into.
+_TYPED = (
+    rf"(?:(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9A-Za-z])|[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![0-9A-Za-z-])"
+    r"|(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z-]))"
+)
+_CARD_LAYOUT = (
+    "[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}(?:[ -][0-9]{1,3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}"
+)
+_DIGIT = "[ .()-]{0,3}[0-9]"
+_DIALLED = rf"(?<=\+{_DIGIT * 8}{f'(?:{_DIGIT})?' * 7})"  # 8 to 15 digits since the sign
+
 _PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2,}",
     "secret": r"(?<=(?i:token|secret|password|key)\s{0,3}[=:]\s{0,3}[\"']?)[0-9A-Fa-f]{16,}+(?![0-9A-Za-z])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "phone": r"(?<![A-Za-z0-9+])\+[1-9][0-9]{0,2}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{1,12}){1,5}(?![0-9A-Za-z])",
+    "iban": rf"(?<![A-Za-z0-9])(?:(?:{_IBANS})|[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])",
+    "phone": r"(?<![A-Za-z0-9+])\+[1-9][0-9]{0,2}(?:[ .-]?\([0-9]{1,4}\))?"
+    rf"(?:(?!{_DIALLED} (?:{_TYPED}|[0-9](?:[ -]?[0-9]){{12}}))[ .-]?[0-9]{{1,12}}){{1,5}}(?![0-9A-Za-z]){_DIALLED}",
     "ipv4": r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9A-Za-z])",
     "date": r"(?<![0-9A-Za-z.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z-])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
+    "card": rf"(?<![0-9A-Za-z])(?![0-9]{{20}})[0-9](?:(?! {_TYPED}|[ -][0-9]{{20}})[ -]?[0-9]){{12,}}(?![0-9A-Za-z])",
 }
 PATTERN = "|".join(_PATTERNS.values())
 KINDS = tuple(_PATTERNS)
@@ -282,6 +313,64 @@ def kind_of(found: Column) -> Column:
     )
 
 
+PIECE = "array<struct<value: string, kind: string>>"
+
+
+def pieces(found: Column) -> Column:
+    """The match as (value, kind) pieces; null kinds stay as they are.
+
+    A match that is no value as a whole is read again number by number: at each, the longest run of
+    numbers in a card's layout, or an account number, that is valid; at the first, any grouping.
+    """
+    def one(value: Column, kind: Column) -> Column:
+        return F.array(F.struct(value.alias("value"), kind.alias("kind")))
+
+    def read(parts: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            def run(size: Column) -> Column:
+                return _let(
+                    F.array_join(F.slice(parts, i, size), ""),
+                    lambda v: F.struct(v.alias("value"), kind_of(v).alias("kind"), size.alias("size")),
+                )
+
+            left = F.size(parts) - i + 1
+            odd = F.filter(F.sequence(F.lit(37), F.lit(1), F.lit(-2)), lambda n: n <= left)
+            valid = F.filter(
+                F.transform(odd, run),
+                lambda r: (r["kind"] == "iban")
+                | ((r["kind"] == "card") & ((i == 1) | r["value"].rlike(f"^(?:{_CARD_LAYOUT})$"))),
+            )
+
+            def taken(hit: Column) -> Column:
+                part = one(
+                    F.coalesce(hit["value"], F.element_at(parts, i)), hit["kind"]
+                )
+                return F.struct(
+                    F.concat(acc.done, part).alias("done"),
+                    (i + F.coalesce(hit["size"], F.lit(1))).alias("next"),
+                )
+
+            number = F.element_at(parts, i).rlike("[0-9A-Z]")
+            moved = F.when(number, _let(F.get(valid, F.lit(0)), taken)).otherwise(
+                F.struct(
+                    F.concat(acc.done, one(F.element_at(parts, i), F.lit(None).cast("string"))).alias("done"),
+                    (i + 1).alias("next"),
+                )
+            )
+            return F.when(i < acc.next, acc).otherwise(moved)
+
+        start = F.struct(F.array().cast(PIECE).alias("done"), F.lit(1).alias("next"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(parts)), start, step)["done"]
+
+    def judged(kind: Column) -> Column:
+        again = kind.isNull() & found.rlike("^[0-9A-Z]+[ -][0-9A-Z -]+$") & (F.length(found) > 13)
+        again = again & ~found.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$|^[0-9]{4}-[0-9]{2}-[0-9]{2}$")
+        split = F.regexp_extract_all(found, F.lit("[0-9A-Z]+|[ -]"), F.lit(0))
+        return F.when(again, _let(split, read)).otherwise(one(found, kind))
+
+    return _let(kind_of(found), judged)
+
+
 _REPLACE: dict[str, Callable[[Column, str], Column]] = {
     "email": _email, "secret": _secret, "iban": _iban, "phone": _phone, "ipv4": _ipv4,
     "date": _date, "ssn": _ssn, "card": _card,
@@ -310,15 +399,18 @@ def pseudonymised(
             maybe,
             F.transform(
                 F.regexp_extract_all(content, F.lit(PATTERN), F.lit(0)),
-                lambda f: F.struct(f.alias("value"), kind_of(f).alias("kind")),
+                pieces,
             ),
         ),
     ).withColumn(gaps, F.when(F.size(found) > 0, F.split(content, PATTERN, -1)))
-    replaced = F.transform(F.col(found), lambda f: pseudonym(f["value"], f["kind"], key))
-    pieces = F.zip_with(
+    replaced = F.transform(
+        F.col(found),
+        lambda parts: F.concat_ws("", F.transform(parts, lambda f: pseudonym(f["value"], f["kind"], key))),
+    )
+    whole_pieces = F.zip_with(
         F.col(gaps), replaced, lambda gap, value: F.concat(gap, F.coalesce(value, F.lit("")))
     )
-    whole = F.when(F.size(found) > 0, F.concat_ws("", pieces)).otherwise(content)
+    whole = F.when(F.size(found) > 0, F.concat_ws("", whole_pieces)).otherwise(content)
     result = staged.withColumn(text, whole) if not counts else staged.withColumn(
         counts,
         F.map_from_entries(
@@ -327,7 +419,7 @@ def pseudonymised(
                 lambda k: F.struct(
                     k.alias("key"),
                     F.coalesce(
-                        F.size(F.filter(F.col(found), lambda f: f["kind"] == k)), F.lit(0)
+                        F.size(F.filter(F.flatten(found), lambda f: f["kind"] == k)), F.lit(0)
                     ).cast("long").alias("value"),
                 ),
             )

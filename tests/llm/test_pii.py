@@ -107,3 +107,34 @@ def test_nulls_clashes_long_texts_and_plans(spark):
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
     assert pii.pseudonymised(df.limit(0)).collect() == []
+
+
+VALUES = {
+    "email": "ann@site.example", "iban": "DE89 3704 0044 0532 0130 00", "iban ": "BE68 5390 0754 7034",
+    "phone": "+1 (826) 555-4081", "ipv4": "190.137.223.204", "date": "1984-02-29",
+    "ssn": "123-45-6789", "card": "4111111111111111", "card ": "4111 1111 1111 1111",
+}
+
+
+def test_adjacent_values_of_every_two_kinds(spark):
+    pairs = [(a, b) for a in VALUES for b in VALUES]
+    found = run(spark, [f"{VALUES[a]} {VALUES[b]}" for a, b in pairs])
+    bad = []
+    for (a, b), row in zip(pairs, found):
+        want = {k: 0 for k in pii.KINDS}
+        for kind in (a, b):
+            want[kind.strip()] += 1
+        if row.n != want or VALUES[a] in row.text or VALUES[b] in row.text:
+            bad.append((a, b, row.text))
+    assert not bad
+
+
+def test_values_beside_other_numbers(spark):
+    cards = ["4111111111111111 123", "12 4111111111111111", "77 4111 1111 1111 1111 2024",
+             "123 456 4111 1111 1111 1111", "+1 4111111111111111", "41111 11111 11111 1 22222222"]
+    others = ["77777 123-45-6789", "+49 170.123.45.67", "GB82WEST12345698765432 1234"]
+    found = run(spark, cards + others)
+    assert [r.n["card"] for r in found] == [1] * len(cards) + [0] * len(others)
+    assert [sum(r.n.values()) for r in found] == [1] * len(found)
+    assert found[0].text.endswith(" 123") and found[1].text.startswith("12 ")
+    assert found[2].text.startswith("77 ") and found[2].text.endswith(" 2024")
