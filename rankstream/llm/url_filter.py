@@ -96,6 +96,22 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)])
 
 
+def _without_dots(path: Column) -> Column:
+    """An absolute path with its ``.`` and ``..`` segments resolved."""
+    parts = F.split(path, "/")
+
+    def step(done: Column, part: Column) -> Column:
+        return (
+            F.when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+            .when(part == ".", done).otherwise(F.concat(done, F.array(part)))
+        )
+
+    kept = F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), F.array().cast("array<string>"), step)
+    joined = F.concat(F.lit("/"), F.array_join(kept, "/"))
+    folder = F.element_at(parts, -1).isin(".", "..") & ~joined.endswith("/")
+    return F.when(folder, F.concat(joined, F.lit("/"))).otherwise(joined)
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(source, target) urls of canonical links and immediate refreshes in the pages' markup."""
     content = F.col(f"`{html}`")
@@ -111,10 +127,18 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     target = F.replace(target, F.lit("&amp;"), F.lit("&"))
     scheme = F.regexp_extract("source", r"(?s)^(.*?)://", 1)
     root = F.regexp_extract("source", r"(?s)^.*?://[^/?#]*", 0)
+    way = F.regexp_extract("target", r"(?s)^[^?#]*", 0)
+    rest = F.regexp_extract("target", r"(?s)[?#].*$", 0)
+    path = path_of(F.col("source"))
+    own = F.when(path == "", "/").otherwise(path)
+    folder = F.regexp_extract(own, r"(?s)^.*/", 0)
     whole = (
         F.when(F.col("target").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), F.col("target"))
         .when(F.col("target").startswith("//"), F.concat(scheme, F.lit(":"), F.col("target")))
-        .when(F.col("target").startswith("/"), F.concat(root, F.col("target")))
+        .when(F.col("target").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))  # mailto: and the like
+        .when(F.col("target").startswith("/"), F.concat(root, _without_dots(way), rest))
+        .when(F.col("target").startswith("?"), F.concat(root, own, rest))
+        .when(way != "", F.concat(root, _without_dots(F.concat(folder, way)), rest))
     )
     return tags.select("source", target.alias("target")).select("source", whole.alias("target")).filter(
         F.col("target").isNotNull() & F.col("source").isNotNull()

@@ -114,6 +114,23 @@ def test_allow_wins_and_relative_links(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_relative_targets_are_resolved(spark):
+    cases = {
+        "next.html": "http://a.net/x/next.html", "?id=3": "http://a.net/x/p?id=3",
+        "./y": "http://a.net/x/y", "../y?q=../z": "http://a.net/y?q=../z",
+        "../../../y": "http://a.net/y", "z/": "http://a.net/x/z/", "..": "http://a.net/",
+        "/u/../v": "http://a.net/v", "mailto:a@b": None, "#top": None,
+    }
+    rows = [(i, "http://a.net/x/p?k#f", f'<link rel="canonical" href="{t}">') for i, t in enumerate(cases)]
+    rows += [(90, "http://b.net", '<meta http-equiv="refresh" content="0; url=n.html">')]
+    got = sorted(r.target for r in u.page_links(spark.createDataFrame(rows, PAGES)).collect())
+    assert got == sorted([t for t in cases.values() if t] + ["http://b.net/n.html"])
+    rows = [(1, "http://a.net/de/q", '<link rel="canonical" href="//b.com/de/1">'),
+            (2, "http://a.net/de/p", '<link rel="canonical" href="q">')]
+    got = u.judged(spark.createDataFrame(rows, PAGES), RULES).collect()
+    assert {r.page_id: r.verdict for r in got} == {1: "block", 2: "block"}
+
+
 def test_empty_and_clashing(spark):
     df = spark.createDataFrame([(1, "http://x.com/de/1", "", "h", "v")], PAGES + ", host string, node string")
     row = u.judged(df, RULES).first()
