@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,19 +13,54 @@ from pyspark.sql import types as T
 
 from rankstream import schemas
 from rankstream.session import fresh_folder, shared_folder
+from rankstream.sinks import folders
+
+# Shuffle files of a query that has ended are of no use once its result is stored.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside drop their shuffle files when they end."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
     """The frame written once to the shared folder and read back.
 
     Cuts the lineage, survives lost executors, and gives the planner the true size, so that it
-    broadcasts what is small and shuffles what is not.
+    broadcasts what is small and shuffles what is not. The disk of its shuffles is free afterwards.
     """
-    path = fresh_folder(df.sparkSession, f"llm-{label}")
-    df.write.parquet(path)
+    return _stored(df, fresh_folder(df.sparkSession, f"llm-{label}"))
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    with _shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def working(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Gives a :func:`settle` whose tables are dropped at the end: for steps towards one result."""
+    made: list[str] = []
+
+    def stage(df: DataFrame, label: str) -> DataFrame:
+        made.append(fresh_folder(spark, f"llm-{label}"))
+        return _stored(df, made[-1])
+
+    try:
+        yield stage
+    finally:
+        for folder in made:
+            folders.drop(spark, folder)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """A reliable checkpoint, in the shared folder also where the cluster names none."""
     context = df.sparkSession.sparkContext

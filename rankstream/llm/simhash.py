@@ -25,6 +25,8 @@ any id has null. Repeated rows get a row each.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from rankstream import schemas
 from rankstream.llm import similar
-from rankstream.llm.common import checkpoint, hidden, per_value, row_key, settle
+from rankstream.llm.common import checkpoint, hidden, per_value, row_key, settle, working
 from rankstream.llm.components import connected_components
 
 SHINGLE = 4
@@ -190,22 +192,33 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     more (module ``similar``), not the fingerprints' components, whose 4 bits are far stricter.
     Among rows with the same id a hash of the row decides; equal rows stay once.
     """
+    with working(docs.sparkSession) as stage:
+        losers = settle(_losers(docs, text, key, stage), "losers")
+    first, second = hidden("a"), hidden("b")
+    k1, k2 = row_key(docs)
+    keyed = docs.withColumn(first, k1).withColumn(second, k2)
+    lost = losers.select(F.col("k1").alias(first), F.col("k2").alias(second))
+    kept = keyed.join(lost, [first, second], "left_anti")
+    return kept.dropDuplicates([first, second]).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _losers(
+    docs: DataFrame, text: str, key: str, stage: Callable[[DataFrame, str], DataFrame]
+) -> DataFrame:
+    """Row keys (k1, k2) of the documents that a better one of their group replaces."""
     first, second = hidden("a"), hidden("b")
     k1, k2 = row_key(docs)
     content = F.col(f"`{text}`")
     print_ = similar.signature(docs, content, k1)
-    keyed = settle(
+    prints = stage(
         docs.select(
             F.col(f"`{key}`").alias("doc_id"), print_.alias("s"), k1.alias("k1"), k2.alias("k2")
         ).select("doc_id", "s.*", "k1", "k2"),
         "prints",
     )
     rank = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "k1", "k2")
-    classes = settle(
-        keyed.groupBy("cls").agg(
-            F.min(rank).alias("best"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
-        ),
-        "classes",
+    classes = stage(
+        prints.groupBy("cls").agg(F.min(rank).alias("best"), F.max("n").alias("n")), "classes"
     )
 
     def sets_of(wanted: DataFrame) -> DataFrame:
@@ -216,10 +229,10 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
         found = texts.join(rows, [first, second]).dropDuplicates(["cls"])
         return found.select("cls", similar.shingles(F.col("text")).alias("tokens"))
 
-    rooted = classes.join(similar.roots(classes.select("cls", "n", "prefix"), sets_of), "cls", "left")
-    best = rooted.groupBy(F.coalesce("root", "cls")).agg(F.min("best").alias("best"))
-    survivors = settle(
-        best.select(F.col("best.k1").alias(first), F.col("best.k2").alias(second)), "survivors"
-    )
-    kept = docs.withColumn(first, k1).withColumn(second, k2).join(survivors, [first, second], "left_semi")
-    return kept.dropDuplicates([first, second]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    tokens = prints.select("cls", F.explode("prefix").alias("token"))
+    linked = similar.roots(tokens, classes.select("cls", "n"), sets_of, stage)
+    rooted = classes.join(linked, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    winners = rooted.groupBy("root").agg(F.min("best").alias("winner"))
+    placed = prints.select("cls", rank.alias("own")).join(rooted.select("cls", "root"), "cls")
+    lost = placed.join(winners, "root").filter(F.col("own") != F.col("winner"))
+    return lost.select("own.k1", "own.k2").distinct()

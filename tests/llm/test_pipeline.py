@@ -1,7 +1,9 @@
 """The pipeline's stages take effect and keep the columns of documents."""
 
+from test_simhash import kept_by_all_pairs
+
 import corpus_pipeline
-from rankstream.llm import catalog, common, decontaminate, quality_rules, simhash
+from rankstream.llm import catalog, common, decontaminate, quality_rules
 
 
 def test_stages(spark, sf_dir):
@@ -18,8 +20,7 @@ def test_stages(spark, sf_dir):
             judged = quality_rules.judge(before)
             assert ids == sorted(r.doc_id for r in judged.filter("counts.kept").collect())
         if name == "near_dedup":
-            groups = {r.component_id for r in simhash.near_duplicates(before).collect()}
-            assert ids == sorted(groups)
+            assert ids == kept_by_all_pairs([(r.doc_id, r.text) for r in before.collect()])
         if name == "decontamination":
             benchmark = common.table(spark, sf_dir, "benchmark")
             dirty = {r.doc_id for r in decontaminate.regions(before, benchmark).collect()}
