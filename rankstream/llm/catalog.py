@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankstream.llm import (
-    chat, decontaminate, html_text, packing, pii, quality_model, quality_rules, simhash, url_filter,
-    warc,
+    chat, codes, decontaminate, html_text, packing, pii, quality_model, quality_rules, repeats, simhash,
+    url_filter, warc, whitening,
 )
 from rankstream.llm.common import settle, table
 from rankstream.llm.oracle import SQL as SQL
@@ -117,3 +117,23 @@ def op10_seekable_warc(spark, sf_dir):
     return warc.read_archives(spark, folder, index).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query
+def op11_laesa_vector_codes(spark, sf_dir):
+    coded, books = codes.compressed(table(spark, sf_dir, "embeddings"))
+    digest = F.lit(books.digest() if books else None).cast("string")
+    return codes.with_label_errors(coded).select(
+        "vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256")
+    )
+
+
+@query
+def op12_sliced_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_window_repeats(spark, sf_dir):
+    found = repeats.repeats(table(spark, sf_dir, "documents"), with_text=False)
+    return found.select("doc_id", "n_words", "n_removed", F.col("digest").alias("kept_sha256"))

@@ -199,9 +199,78 @@ SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, {_DIGITS} AS p
   CASE WHEN page_id IS DISTINCT FROM best THEN best END AS refers_to
 FROM named"""
 
+# -- op11: rounds of assignment and averaging, every distance taken ------------------------
+
+_PARTS, _ENTRIES, _ROUNDS = 8, 16, 6
+
+
+def _assigned(books: str) -> str:
+    """Each part's nearest entry and its distance; products of integers are exact in doubles."""
+    return f"""(SELECT rid, part, arg_min(entry, struct_pack(e := error, i := entry)) AS entry,
+      min(error) AS error FROM (
+        SELECT p.rid, p.part, b.entry, CAST(list_dot_product(p.y, p.y) - 2 * list_dot_product(p.y, b.y)
+          + list_dot_product(b.y, b.y) AS BIGINT) AS error FROM parts p JOIN {books} b USING (part))
+      GROUP BY rid, part)"""
+
+
+def _round(number: int) -> str:
+    before = f"books{number - 1}"
+    return f"""mean{number} AS (
+  SELECT part, entry, list(CAST((total - ((total % n) + n) % n) // n AS DOUBLE) ORDER BY pos) AS y FROM (
+    SELECT part, entry, pos, count(*) AS n, sum(CAST(c AS HUGEINT)) AS total FROM (
+      SELECT a.part, a.entry, unnest(p.y) AS c, generate_subscripts(p.y, 1) AS pos
+      FROM {_assigned(before)} a JOIN parts p USING (rid, part))
+    GROUP BY part, entry, pos) GROUP BY part, entry),
+books{number} AS (
+  SELECT part, entry, coalesce(m.y, b.y) AS y FROM {before} b LEFT JOIN mean{number} m USING (part, entry)),
+"""
+
+
+CODES = f"""WITH kept AS (
+  SELECT row_number() OVER () AS rid, vec_id, label,
+    list_transform(embedding, lambda c: floor(4096 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings WHERE len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+parts AS MATERIALIZED (
+  SELECT rid, part, x[part * len(x) // {_PARTS} + 1 : (part + 1) * len(x) // {_PARTS}] AS y
+  FROM kept, range({_PARTS}) AS r(part)),
+books0 AS (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id, x) - 1 AS entry, y
+  FROM (SELECT * FROM kept ORDER BY vec_id, x LIMIT {_ENTRIES}) JOIN parts USING (rid)),
+{"".join(_round(i + 1) for i in range(_ROUNDS))}digest AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(y, lambda c: CAST(c AS BIGINT)), ','), ','
+    ORDER BY part, entry)) AS codebooks_sha256 FROM books{_ROUNDS}),
+coded AS (
+  SELECT rid, string_agg(printf('%02x', CAST(entry AS INT)), '' ORDER BY part) AS code,
+    CAST(sum(error) AS BIGINT) AS error FROM {_assigned(f"books{_ROUNDS}")} GROUP BY rid)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  codebooks_sha256 FROM coded JOIN kept USING (rid), digest"""
+
+# -- op13: every window as text, and the words that repeated ones cover --------------------
+
+REPEATS = """WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT rid, doc_id, s, array_to_string(w[s + 1 : s + 13], ' ') AS content
+  FROM (SELECT *, unnest(range(len(w) - 12)) AS s FROM texts WHERE len(w) >= 13)),
+firsts AS (SELECT content, min(doc_id) AS first FROM windows GROUP BY content),
+gone AS (
+  SELECT DISTINCT rid, unnest(range(s, s + 13)) AS pos FROM windows JOIN firsts USING (content)
+  WHERE first < doc_id OR doc_id IS NULL AND first IS NOT NULL),
+words AS (SELECT rid, unnest(w) AS word, unnest(range(len(w))) AS pos FROM texts),
+left_over AS (
+  SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS content
+  FROM words ANTI JOIN gone USING (rid, pos) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(content, '')) AS kept_sha256
+FROM texts LEFT JOIN left_over USING (rid)"""
+
 SQL: dict[str, str] = {
     "op1_redirect_url_filter": URL_FILTER,
     "op4_schema_chat_format": CHAT,
     "op8_adaptive_quality_rules": QUALITY_RULES,
     "op10_seekable_warc": WARC,
+    "op11_laesa_vector_codes": CODES,
+    "op13_window_repeats": REPEATS,
 }

@@ -40,7 +40,7 @@ def test_registered_names(sf_dir):
     names = contract.queries()
     assert "pipeline" in names
     assert sorted(catalog.QUERIES) == sorted(n for n in names if n.startswith("op") and n[2].isdigit())
-    assert {n.split("_")[0] for n in catalog.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in catalog.QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_empty_documents(spark, sf_dir, tmp_path):
