@@ -218,7 +218,7 @@ def _losers(
     )
     rank = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "k1", "k2")
     classes = stage(
-        prints.groupBy("cls").agg(F.min(rank).alias("best"), F.max("n").alias("n")), "classes"
+        prints.groupBy("cls").agg(F.min(rank).alias("best")), "classes"
     )
 
     def sets_of(wanted: DataFrame) -> DataFrame:
@@ -226,11 +226,14 @@ def _losers(
             "cls", F.col("best.k1").alias(first), F.col("best.k2").alias(second)
         )
         texts = docs.select(content.alias("text"), k1.alias(first), k2.alias(second))
-        found = texts.join(rows, [first, second]).dropDuplicates(["cls"])
+        # equal rows hold equal texts; one is enough
+        found = texts.join(rows, [first, second]).dropDuplicates([first, second])
         return found.select("cls", similar.shingles(F.col("text")).alias("tokens"))
 
-    tokens = prints.select("cls", F.explode("prefix").alias("token"))
-    linked = similar.roots(tokens, classes.select("cls", "n"), sets_of, stage)
+    tokens = prints.select("cls", "n", F.posexplode("prefix").alias("at", "token"))
+    linked = similar.roots(
+        tokens.select("cls", "n", "token", (F.col("n") - F.col("at")).alias("left")), sets_of, stage
+    )
     rooted = classes.join(linked, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     winners = rooted.groupBy("root").agg(F.min("best").alias("winner"))
     placed = prints.select("cls", rank.alias("own")).join(rooted.select("cls", "root"), "cls")
