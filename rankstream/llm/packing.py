@@ -45,16 +45,19 @@ class Ids:
 
     ``tokenizer_file`` is a byte-level BPE of the ``tokenizers`` library. Its vocabulary and merge
     order are handed to ``tiktoken``, which gives the same ids at several times the speed; a
-    tokenizer for which it would not (other steps, or other ids for probes) is used as it is.
+    tokenizer for which it would not (other steps, or other ids for probes) is used as it is. So
+    are texts that hold an added token, such as an end mark, which the library makes one id.
     """
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added)) if added else None
         self.fast = _fast_encoding(tokenizer_file)
-        if self.fast and any(self._quick(t) != self._plain(t) for t in _PROBES):
+        probes = [t for t in _PROBES if not self._holds_added(t)]
+        if self.fast and any(self._quick(t) != self._plain(t) for t in probes):
             self.fast = None
 
     def _plain(self, text: str) -> list[int]:
@@ -63,9 +66,14 @@ class Ids:
     def _quick(self, text: str) -> list[int]:
         return self.fast.encode_ordinary(text)
 
+    def _holds_added(self, text: str) -> bool:
+        return self.added is not None and self.added.search(text) is not None
+
     def of(self, text: str) -> bytes:
         # runs of this length without white space are beyond the quick path's pattern matching
-        quick = self.fast and (len(text) < LONG_RUN or not _RUN.search(text))
+        quick = self.fast and not self._holds_added(text) and (
+            len(text) < LONG_RUN or not _RUN.search(text)
+        )
         ids = self._quick(text) if quick else self._plain(text)
         return np.array(ids, "<u4").tobytes()
 

@@ -15,9 +15,7 @@ SPACES = [" ", "  ", "\n", " \n", "\t ", " ", "  ", "\x1c ", "\r\n "]
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    made = Tokenizer.from_file(catalog.tokenizer_file())
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(catalog.tokenizer_file())
 
 
 def test_ids_are_the_tokenizers(tokenizer):
@@ -25,8 +23,10 @@ def test_ids_are_the_tokenizers(tokenizer):
     pieces = ["the", "don't", "Ünï", "漢字", "12345", "!!", "'s", "<|endoftext|>", "é", "𝒜", "a"] + SPACES
     texts = ["", " ", "  ", " a", "a ", "a  b", "'s 's", "a" * 50_000, " " * 50_000 + "x", "!" * 30_000]
     texts += ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 25))) for _ in range(2000)]
+    texts += ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|><|endoftext|>b", "<|endoftext|", "x" * 20_000 + "<|endoftext|>"]
     ids = packing.Ids(catalog.tokenizer_file())
     assert ids.fast
+    assert list(struct.unpack("<4I", ids.of("x <|endoftext|> y"))) == [87, 220, 50256, 331]
     for text in texts:
         data = ids.of(text)
         want = tokenizer.encode(text, add_special_tokens=False).ids
