@@ -104,11 +104,11 @@ FROM lengths GROUP BY conv_id"""
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _RULES = (
-    ("symbols", "n_symbols", "n_words", 25, False),
-    ("dup_lines", "n_dup_lines", "n_lines", 80, False),
-    ("repeats", "n_repeat_words", "n_words", 50, False),
-    ("long_words", "word_chars", "n_words", 500, False),
-    ("short_words", "word_chars", "n_words", 500, True),
+    ("symbols", "n_symbols", "n_words", 50, 75),
+    ("dup_lines", "n_dup_lines", "n_lines", 95, 99),
+    ("repeats", "n_repeat_words", "n_words", 95, 99),
+    ("long_words", "word_chars", "n_words", 50, 75),
+    ("short_words", "word_chars", "n_words", 50, 25),
 )
 
 
@@ -122,25 +122,29 @@ def _level(name: str, keys: str) -> str:
     """Fences of one level of merging: groups, languages, all."""
     by = f"{keys}, rule" if keys else "rule"
     return f"""{name}_sketch AS (
-  SELECT {by}, floor_, below, bucket, sum(n) AS n FROM sketch GROUP BY {by}, floor_, below, bucket),
+  SELECT {by}, p_in, p_out, bucket, sum(n) AS n FROM sketch GROUP BY {by}, p_in, p_out, bucket),
 {name}_run AS (
   SELECT *, sum(n) OVER (PARTITION BY {by} ORDER BY bucket) AS seen,
          sum(n) OVER (PARTITION BY {by}) AS total FROM {name}_sketch),
 {name}_q AS (
-  SELECT {by}, any_value(total) AS total, any_value(floor_) AS floor_, any_value(below) AS below,
-         min(bucket) FILTER (WHERE seen * 100 >= total * 25) AS q25,
-         min(bucket) FILTER (WHERE seen * 100 >= total * 50) AS q50,
-         min(bucket) FILTER (WHERE seen * 100 >= total * 75) AS q75
+  SELECT {by}, any_value(total) AS total, any_value(p_out < p_in) AS below,
+         min(bucket) FILTER (WHERE seen * 100 >= total * p_in) AS q_in,
+         min(bucket) FILTER (WHERE seen * 100 >= total * p_out) AS q_out
   FROM {name}_run GROUP BY {by}),
 {name}_fence AS (
-  SELECT *, CASE WHEN below THEN q50 - 6 * greatest(q50 - q25, floor_)
-                 ELSE q50 + 6 * greatest(q75 - q50, floor_) END AS fence FROM {name}_q)"""
+  SELECT *, q_out + CASE WHEN below THEN -10 ELSE 10 END
+    * greatest(abs(q_out - q_in), 1 << greatest(0, length(bin(q_out)) - 6)) AS fence
+  FROM {name}_q)"""
+
+
+def _pulled(total: str, fence: str, toward: str) -> str:
+    return f"floor(({total} * {fence} + 100 * {toward}) / ({total} + 100))"
 
 
 _SHARES = " UNION ALL ".join(
-    f"SELECT rid, lang, source, '{name}' AS rule, {floor} AS floor_, {str(below).lower()} AS below, "
+    f"SELECT rid, lang, source, '{name}' AS rule, {inner} AS p_in, {outer} AS p_out, "
     f"{_share(top, bottom)} AS bucket FROM judged WHERE NOT base_failed"
-    for name, top, bottom, floor, below in _RULES
+    for name, top, bottom, inner, outer in _RULES
 )
 
 QUALITY_RULES = f"""WITH docs AS (
@@ -168,16 +172,16 @@ judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted),
 shares AS ({_SHARES}),
 sketch AS (
-  SELECT lang, source, rule, floor_, below, bucket, count(*) AS n FROM shares
-  GROUP BY lang, source, rule, floor_, below, bucket),
+  SELECT lang, source, rule, p_in, p_out, bucket, count(*) AS n FROM shares
+  GROUP BY lang, source, rule, p_in, p_out, bucket),
 {_level('fine', 'lang, source')}, {_level('language', 'lang')}, {_level('whole', '')},
 fences AS (
-  SELECT f.lang, f.source, f.rule, CASE WHEN f.total >= 200 THEN f.fence
-    WHEN l.total >= 200 THEN l.fence ELSE w.fence END AS fence
+  SELECT f.lang, f.source, f.rule,
+    {_pulled("f.total", "f.fence", _pulled("l.total", "l.fence", "w.fence"))} AS fence
   FROM fine_fence f JOIN language_fence l ON f.lang IS NOT DISTINCT FROM l.lang AND f.rule = l.rule
   JOIN whole_fence w ON f.rule = w.rule),
 verdicts AS (
-  SELECT rid, bool_and(CASE WHEN below THEN bucket >= fence ELSE bucket <= fence END) AS kept
+  SELECT rid, bool_and(CASE WHEN p_out < p_in THEN bucket >= fence ELSE bucket <= fence END) AS kept
   FROM shares s JOIN fences f ON s.lang IS NOT DISTINCT FROM f.lang
     AND s.source IS NOT DISTINCT FROM f.source AND s.rule = f.rule GROUP BY rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

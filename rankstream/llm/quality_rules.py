@@ -2,9 +2,11 @@
 
 Each document has four base counts. Documents that pass the base rules feed a mergeable quantile
 sketch per (lang, source): an integer histogram whose bucket bounds are exact up to 1/32, so that
-sketches merge by adding counts, map-side first. A group's fence lies a multiple of its upper (or
-lower) spread beyond its median. Groups with few documents borrow the sketch of their language, or
-of all documents. The fences are joined back and filter the documents.
+sketches merge by adding counts, map-side first. A rule's fence lies at an outer quantile of the
+group's own sketch, plus a multiple of the gap between an inner and the outer one, at least of the
+sketch's bucket there. Fences are pulled toward that of the language, and those toward that of all
+documents, with the weight n / (n + PULL) for n documents, so that they move with the data at every
+size. The fences are joined back and filter the documents.
 
 Defined results: a null text has no words and fails the base rules; null languages and sources
 are groups of their own; repeated rows are judged one by one; an empty table gives an empty one.
@@ -28,27 +30,30 @@ _SYMBOL = re.compile(r"[#*$%&|<>]")
 
 @dataclass(frozen=True)
 class Rule:
-    """``share`` (in thousandths) may lie ``reach`` spreads above or below the median.
-
-    ``floor`` is the least spread that counts: groups without variation keep small deviations.
-    """
+    """A share in thousandths and the quantiles, in percent, that its fence is made of."""
 
     name: str
     numerator: str
     denominator: str
-    floor: int
-    below: bool = False
+    inner: int
+    outer: int
 
+    @property
+    def below(self) -> bool:
+        """Whether small shares are rejected."""
+        return self.outer < self.inner
 
+
+# Shares that most documents have at zero are judged by the tail of those that do not.
 RULES = (
-    Rule("symbols", "n_symbols", "n_words", 25),
-    Rule("dup_lines", "n_dup_lines", "n_lines", 80),
-    Rule("repeats", "n_repeat_words", "n_words", 50),
-    Rule("long_words", "word_chars", "n_words", 500),
-    Rule("short_words", "word_chars", "n_words", 500, below=True),
+    Rule("symbols", "n_symbols", "n_words", 50, 75),
+    Rule("dup_lines", "n_dup_lines", "n_lines", 95, 99),
+    Rule("repeats", "n_repeat_words", "n_words", 95, 99),
+    Rule("long_words", "word_chars", "n_words", 50, 75),
+    Rule("short_words", "word_chars", "n_words", 50, 25),
 )
-REACH = 6
-LEAST_ROWS = 200
+REACH = 10
+PULL = 100
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -94,12 +99,21 @@ def _share(rule: Rule, counts: str) -> Column:
     return F.floor(1000 * top / F.greatest(bottom, F.lit(1))).cast("long")
 
 
+def _shift(value: Column) -> Column:
+    return F.greatest(F.lit(0), F.length(F.bin(value)) - 6)
+
+
 def _bucket(value: Column) -> Column:
     """The lower bound of the value's bucket: its six leading bits."""
-    shift = F.greatest(F.lit(0), F.length(F.bin(value)) - 6)
+    shift = _shift(value)
     return F.call_function("shiftleft", F.call_function("shiftright", value, shift), shift)
 
 
+def _width(value: Column) -> Column:
+    """The width of the value's bucket."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), _shift(value))
+
+
 def _sketches(measured: DataFrame, counts: str, language: str, source: str) -> DataFrame:
     """Rows (level, lang, source, rule, bucket, n): histograms of groups, languages and all."""
     values = F.array(
@@ -117,8 +131,8 @@ def _sketches(measured: DataFrame, counts: str, language: str, source: str) -> D
     return settle(fine, "sketch")
 
 
-def _fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group and rule: documents, lower quartile, median, upper quartile."""
+def _fences(sketch: DataFrame, keys: list[str], reach: int) -> DataFrame:
+    """Per group and rule: documents, and the fence of its own sketch."""
     merged = sketch.groupBy(*keys, "rule", "bucket").agg(F.sum("n").alias("n"))
     # a sketch has some hundred buckets at most, however many documents it stands for
     arrays = merged.groupBy(*keys, "rule").agg(
@@ -126,8 +140,10 @@ def _fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("buckets"),
     )
 
-    def quantile(percent: int) -> Column:
-        """The first bucket at which the running count reaches the wanted share."""
+    def quantile(which: str) -> Column:
+        """The first bucket at which the running count reaches the rule's share."""
+        percents = F.create_map(*[F.lit(x) for r in RULES for x in (r.name, getattr(r, which))])
+        percent = percents[F.col("rule")]
         found = F.aggregate(
             F.col("buckets"),
             F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("long").alias("at")),
@@ -141,46 +157,31 @@ def _fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
         )
         return found["at"]
 
-    return arrays.select(
-        *keys, "rule", "total",
-        quantile(25).alias("q25"), quantile(50).alias("q50"), quantile(75).alias("q75"),
-    )
+    placed = arrays.select(*keys, "rule", "total", quantile("inner").alias("q_in"), quantile("outer").alias("q_out"))
+    spread = F.greatest(F.abs(F.col("q_out") - F.col("q_in")), _width(F.col("q_out")))
+    way = F.when(F.col("rule").isin([r.name for r in RULES if r.below]), -1).otherwise(1)
+    return placed.select(*keys, "rule", "total", (F.col("q_out") + way * reach * spread).alias("fence"))
+
 
+def _pulled(total: Column, fence: Column, toward: Column, pull: int) -> Column:
+    """The mean of two fences, the first weighted by its documents and the second by ``pull``."""
+    return F.floor((total * fence + pull * toward) / (total + pull))
 
-def thresholds(sketch: DataFrame, least_rows: int = LEAST_ROWS, reach: int = REACH) -> DataFrame:
+
+def thresholds(sketch: DataFrame, reach: int = REACH, pull: int = PULL) -> DataFrame:
     """One row per (lang, source) with the fence of each rule, in thousandths."""
-    by_name = F.create_map(*[x for r in RULES for x in (F.lit(r.name), F.lit(r.floor))])
 
     def level(keys: list[str], prefix: str) -> DataFrame:
-        spread_up, spread_down = F.col("q75") - F.col("q50"), F.col("q50") - F.col("q25")
-        floor = by_name[F.col("rule")]
-        return _fences(sketch, keys).select(
-            *[F.col(k).alias(f"{prefix}{k}") for k in keys],
-            F.col("rule").alias(f"{prefix}rule"),
-            F.col("total").alias(f"{prefix}total"),
-            F.when(
-                F.col("rule") == "short_words",
-                F.col("q50") - reach * F.greatest(spread_down, floor),
-            )
-            .otherwise(F.col("q50") + reach * F.greatest(spread_up, floor))
-            .alias(f"{prefix}fence"),
-        )
-
-    fine = level(["lang", "source"], "")
-    language = level(["lang"], "l_")
-    whole = level([], "w_")
-    joined = (
-        fine.join(language, F.col("lang").eqNullSafe(F.col("l_lang"))
-                  & (F.col("rule") == F.col("l_rule")))
-        .join(whole, F.col("rule") == F.col("w_rule"))
-        .withColumn(
-            "chosen",
-            F.when(F.col("total") >= least_rows, F.col("fence"))
-            .when(F.col("l_total") >= least_rows, F.col("l_fence"))
-            .otherwise(F.col("w_fence")),
-        )
-    )
-    return joined.groupBy("lang", "source").agg(
+        made = _fences(sketch, keys, reach)
+        return made.select(*[F.col(c).alias(f"{prefix}{c}") for c in made.columns])
+
+    fine, language, whole = level(["lang", "source"], ""), level(["lang"], "l_"), level([], "w_")
+    joined = fine.join(
+        language, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("rule") == F.col("l_rule"))
+    ).join(whole, F.col("rule") == F.col("w_rule"))
+    by_language = _pulled(F.col("l_total"), F.col("l_fence"), F.col("w_fence"), pull)
+    chosen = joined.withColumn("chosen", _pulled(F.col("total"), F.col("fence"), by_language, pull))
+    return chosen.groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("rule") == r.name, F.col("chosen"))).alias(r.name) for r in RULES]
     )
 

@@ -42,7 +42,7 @@ def bucket(value):
     return value >> shift << shift
 
 
-def direct_verdicts(rows, least_rows=q.LEAST_ROWS, reach=q.REACH):
+def direct_verdicts(rows, reach=q.REACH, pull=q.PULL):
     measured = []
     for doc, text, lang, source in rows:
         n, chars, symbols, dup, repeat = direct_counts(text)
@@ -57,21 +57,24 @@ def direct_verdicts(rows, least_rows=q.LEAST_ROWS, reach=q.REACH):
             for key in ((lang, source), (lang,), ()):
                 groups[key].append(c)
 
-    def fence(rule, key):
+    def own(rule, key):
         values = sorted(share(rule, c) for c in groups[key])
-        n = len(values)
-        at = lambda p: values[-(-n * p // 100) - 1]
-        low, mid, high = at(25), at(50), at(75)
-        if rule.below:
-            return mid - reach * max(mid - low, rule.floor)
-        return mid + reach * max(high - mid, rule.floor)
+        inner, outer = (values[-(-len(values) * p // 100) - 1] for p in (rule.inner, rule.outer))
+        width = 1 << max(0, outer.bit_length() - 6)
+        return outer + (-1 if rule.below else 1) * reach * max(abs(outer - inner), width)
+
+    def fence(rule, lang, source):
+        made = own(rule, ())
+        for key in ((lang,), (lang, source)):
+            n = len(groups[key])
+            made = (n * own(rule, key) + pull * made) // (n + pull)
+        return made
 
     kept = {}
     for doc, lang, source, c, failed in measured:
         verdict = not failed
         for rule in q.RULES if not failed else ():
-            levels = [k for k in ((lang, source), (lang,)) if len(groups[k]) >= least_rows]
-            limit, value = fence(rule, levels[0] if levels else ()), share(rule, c)
+            limit, value = fence(rule, lang, source), share(rule, c)
             verdict &= value >= limit if rule.below else value <= limit
         kept[doc] = (failed, verdict)
     return kept
