@@ -10,9 +10,15 @@ the benchmark has are looked up, places are kept where enough hits lie close tog
 per item in overlapping diagonal bands of width 2(k+1), counted for each window there, and for windows
 that reach the bound a banded alignment decides. Nothing but case and the kind of white space is folded.
 
-The documents never move: the benchmark is taken in blocks of about ``BLOCK_CHARS / 4`` characters, each
-of which is sent to the tasks as an index of bounded size, whatever the benchmark's size; all blocks are
-searched. Items longer than ``PIECE`` are cut into pieces that overlap by more than a window.
+Windows so short that the bound would be 0 or less share a q-gram of ``HALF`` characters, and are found by
+those.
+
+One pass hashes each text once and looks its q-grams up in a bit table of the whole benchmark's, of at
+most ``2 ** MOST_BITS`` bits. The surroundings of places with enough hits, the passages, go on; texts do not
+move. Passages meet the benchmark's q-grams in a join, which names the blocks of the benchmark they share
+some with. A block holds about ``BLOCK_CHARS / 4`` characters of items, so that its index has a bounded
+size, and takes its passages in portions of about ``PORTION``. Items longer than ``PIECE`` are cut into
+pieces that overlap by more than a window. A larger benchmark makes more blocks, not more passes.
 
 Defined results: null and empty texts match nothing; items shorter than ``Q`` characters are no
 evidence and match nothing; an item repeated in the benchmark reports each of its ids; documents
@@ -21,9 +27,7 @@ with the same id share their rows; empty tables give none.
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterable, Iterator
-from functools import reduce
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -31,22 +35,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankstream import schemas
-from rankstream.llm.common import settle
+from rankstream.llm.common import hidden, row_key, settle
 
 Q = 12
+HALF = 10
 WINDOW = 80
 STRIDE = 1
 WORDS = 13
 PIECE = 10_000
 PER_EDIT = 20
 BLOCK_CHARS = 1_000_000
+PORTION = 5_000
+MOST_BITS = 28
 _BITS = 24
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BATCH_CHARS = 500_000
 
+LONG = schemas.LONG
+GRAMS = schemas.struct(block=LONG, q=LONG, least=LONG, span=LONG, hash=LONG)
+PASSAGES = schemas.struct(
+    doc_id=LONG, k1=LONG, k2=LONG, start=LONG, text=schemas.STRING, hashes=schemas.array(LONG)
+)
 HITS = schemas.struct(
-    doc_id=schemas.LONG, item_id=schemas.LONG, start=schemas.LONG, end=schemas.LONG,
-    edits=schemas.LONG,
+    doc_id=LONG, k1=LONG, k2=LONG, item_id=LONG, start=LONG, end=LONG, edits=LONG
 )
 
 
@@ -75,9 +86,9 @@ def fold(text: str) -> np.ndarray:
     return _TABLE[0][codes]
 
 
-def gram_hashes(codes: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the Q characters from each place."""
-    if codes.size < Q:
+def gram_hashes(codes: np.ndarray, q: int = Q) -> np.ndarray:
+    """A 64-bit hash of the ``q`` characters from each place; q is 10 or 12."""
+    if codes.size < q:
         return np.empty(0, np.uint64)
     with np.errstate(over="ignore"):
         power = [_BASE]
@@ -87,6 +98,8 @@ def gram_hashes(codes: np.ndarray) -> np.ndarray:
         two = one[:-1] * power[0] + one[1:]
         four = two[:-2] * power[1] + two[2:]
         eight = four[:-4] * power[2] + four[4:]
+        if q == HALF:
+            return (eight[:-2] * power[1] + two[8:]) * power[3]
         return (eight[:-4] * power[2] + four[8:]) * _BASE
 
 
@@ -109,82 +122,72 @@ class Piece:
                 found.add((start, end - start))
         self.start, self.length = np.array(sorted(found), np.int64).T
         self.edits = self.length // PER_EDIT
-        self.shared = np.maximum(1, self.length + 1 - Q - Q * self.edits)
-
-
-class Index:
-    """The q-grams of a bounded number of pieces, given as (item, text) and, for parts, first and last."""
-
-    def __init__(self, pieces: list[tuple]):
-        found = [Piece(*p) for p in pieces]
-        self.pieces = [p for p in found if p.codes.size >= Q]
-        hashes = [gram_hashes(p.codes) for p in self.pieces]
+        # by the lemma; where it says nothing the item is one short window, told by shorter grams
+        self.q = Q if (self.length + 1 - Q - Q * self.edits > 0).all() else HALF
+        self.shared = self.length + 1 - self.q - self.q * self.edits
+        self.span = int((self.length + self.edits).max())
+
+
+def _dense(places: np.ndarray, least: int, reach: int) -> np.ndarray:
+    """Places of hits that have enough hits within one window's reach, before or after."""
+    if places.size < least:
+        return places[:0]
+    close = places[least - 1 :] - places[: places.size - least + 1] < reach
+    marks = np.zeros(places.size + 1, np.int64)  # runs of `least` hits that lie close
+    starts = np.flatnonzero(close)
+    np.add.at(marks, starts, 1)
+    np.add.at(marks, starts + least, -1)
+    return places[np.cumsum(marks[:-1]) > 0]
+
+
+class _Grams:
+    """The grams of one length of some pieces."""
+
+    def __init__(self, q: int, pieces: list[Piece]):
+        self.q, self.pieces = q, pieces
+        hashes = [gram_hashes(p.codes, q) for p in pieces]
         sizes = [h.size for h in hashes]
-        flat = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
+        flat = np.concatenate(hashes)
         order = np.argsort(flat, kind="stable")
         self.hashes = flat[order]
         self.piece = np.repeat(np.arange(len(sizes)), sizes)[order]
-        self.place = np.concatenate([np.arange(s) for s in sizes])[order] if sizes else order
+        self.place = np.concatenate([np.arange(s) for s in sizes])[order]
         self.present = np.zeros(1 << _BITS, bool)
         self.present[self.hashes >> np.uint64(64 - _BITS)] = True
-        self.span = max((int((p.length + p.edits).max()) for p in self.pieces), default=0)
-        self.least = min((int(p.shared.min()) for p in self.pieces), default=1)
-        self.edits = max((int(p.edits.max()) for p in self.pieces), default=0)
-
-    def _dense(self, maybe: np.ndarray) -> np.ndarray:
-        """Places of hits that have enough hits within one window's reach, before or after."""
-        places = np.flatnonzero(maybe)
-        if places.size < self.least:
-            return places[:0]
-        reach, least = self.span, self.least
-        spread = places[least - 1 :] - places[: places.size - least + 1]
-        close = spread < reach
-        marks = np.zeros(places.size + 1, np.int64)  # runs of `least` hits that lie close
-        starts = np.flatnonzero(close)
-        np.add.at(marks, starts, 1)
-        np.add.at(marks, starts + least, -1)
-        return places[np.cumsum(marks[:-1]) > 0]
-
-    def search(
-        self, codes: np.ndarray, owner: np.ndarray, any_window: bool = False
-    ) -> list[tuple[int, int, int, int, int]]:
-        """(owner, item, start, end, edits) over concatenated texts; -1 owns separators.
+        self.each = np.array([int(p.shared.min()) for p in pieces])
+        self.edits = max(int(p.edits.max()) for p in pieces)
 
-        ``any_window`` ends the search of a band at its first match.
-        """
-        hashes = gram_hashes(codes)
-        if not hashes.size or not self.pieces:
-            return []
-        maybe = self.present[hashes >> np.uint64(64 - _BITS)]
-        places = self._dense(maybe)
+    def search(self, codes, owner, origin, any_window, found) -> None:
+        hashes = gram_hashes(codes, self.q)
+        maybe = np.flatnonzero(self.present[hashes >> np.uint64(64 - _BITS)])
+        places = _dense(maybe, int(self.each.min()), max(p.span for p in self.pieces))
         left = np.searchsorted(self.hashes, hashes[places], "left")
         count = np.searchsorted(self.hashes, hashes[places], "right") - left
         if not count.sum():
-            return []
+            return
         rows = np.repeat(left, count) + np.arange(count.sum()) - np.repeat(
             np.cumsum(count) - count, count
         )
         where, piece, place = np.repeat(places, count), self.piece[rows], self.place[rows]
-        least = np.array([int(p.shared.min()) for p in self.pieces])
         who, half = owner[where].astype(np.int64), self.edits + 1
-        found: set[tuple[int, int, int, int, int]] = set()
+        diagonal = where + origin[who] - place  # of the whole text, so that bands are the same
         for shifted in (0, 1):  # every spread of k diagonals lies whole in one of two bands
-            band = (where - place + shifted * half) // (2 * half)
+            band = (diagonal + shifted * half) // (2 * half)
             order = np.lexsort((place, band, piece, who))
             key = np.stack([who, piece, band])[:, order]
             cut = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0)])
             ends = np.r_[cut[1:], order.size]
-            for at in np.flatnonzero(ends - cut >= least[key[1, cut]]).tolist():
+            for at in np.flatnonzero(ends - cut >= self.each[key[1, cut]]).tolist():
                 hits = np.unique(place[order[cut[at] : ends[at]]])
                 text, number, which = key[:, cut[at]].tolist()
                 if text >= 0:
-                    low = (2 * which - shifted) * half
+                    low = (2 * which - shifted) * half - int(origin[text])
                     self._verified(codes, owner, text, self.pieces[number], hits, low, any_window, found)
-        return sorted(found)
 
     def _verified(self, codes, owner, text, piece, hits, low, any_window, found) -> None:
         """Adds the piece's windows that match on the diagonals from ``low`` on."""
-        n = np.searchsorted(hits, piece.start + piece.length - Q, "right") - np.searchsorted(hits, piece.start)
+        last = piece.start + piece.length - self.q
+        n = np.searchsorted(hits, last, "right") - np.searchsorted(hits, piece.start)
         for row in np.flatnonzero(n >= piece.shared).tolist():
             first, length, budget = (int(x[row]) for x in (piece.start, piece.length, piece.edits))
             start = max(0, first + low - budget)
@@ -200,6 +203,28 @@ class Index:
                     return
 
 
+class Index:
+    """A bounded number of pieces, given as (item, text) and, for parts, first and last."""
+
+    def __init__(self, pieces: list[tuple]):
+        found = [Piece(*p) for p in pieces]
+        by_length = {q: [p for p in found if p.q == q and p.codes.size >= Q] for q in (Q, HALF)}
+        self.grams = [_Grams(q, some) for q, some in by_length.items() if some]
+
+    def search(
+        self, codes: np.ndarray, owner: np.ndarray, origin: np.ndarray, any_window: bool = False
+    ) -> list[tuple[int, int, int, int, int]]:
+        """(owner, item, start, end, edits) over concatenated texts; -1 owns separators.
+
+        ``origin`` is added to a place to get that in the owner's whole text, for each owner and last
+        for separators. ``any_window`` ends the search of a band at its first match.
+        """
+        found: set[tuple[int, int, int, int, int]] = set()
+        for grams in self.grams:
+            grams.search(codes, owner, origin, any_window, found)
+        return sorted(found)
+
+
 def _least_edits(window: list[int], region: list[int]) -> int:
     """Least edits of the window against any part of the region, a column of the table at a time in bits."""
     at: dict[int, int] = {}
@@ -261,43 +286,43 @@ def align(window: np.ndarray, region: np.ndarray, budget: int) -> tuple[int, int
     return edits, begin, end
 
 
-def _search_texts(
-    index: Index, texts: Iterable[str | None], any_window: bool = False
+def _search_passages(
+    index: Index, passages: Iterable[tuple[int, str]], any_window: bool = False
 ) -> list[tuple[int, int, int, int, int]]:
-    """Hits of a list of texts, by position in the list.
+    """(number, item, start, end, edits) of passages given as (start in the text, passage).
 
-    Texts are searched together up to a bounded number of characters, and long ones in pieces that
-    overlap by more than a window can span, so memory does not depend on their lengths.
+    Passages are searched together up to a bounded number of characters.
     """
-    found: set[tuple[int, int, int, int, int]] = set()
-    group: list[tuple[int, int, str]] = []
-    size, overlap = 0, 2 * (index.span + Q)
+    found: list[tuple[int, int, int, int, int]] = []
+    group: list[tuple[int, int, np.ndarray]] = []
+    size = 0
 
     def run():
-        parts, owners, shifts, at = [], [], [], 0
+        parts, owners, origin, at = [], [], [], 0
         gap = np.zeros(1, np.uint32)
-        for order, (number, start, piece) in enumerate(group):
-            codes = fold(piece)
-            shifts.append(start - at)
+        for order, (_, start, codes) in enumerate(group):
+            origin.append(start - at)
             parts += [codes, gap]
             owners += [np.full(codes.size, order, np.int32), np.full(1, -1, np.int32)]
             at += codes.size + 1
-        hits = index.search(np.concatenate(parts), np.concatenate(owners), any_window)
-        for order, item, start, end, edits in hits:
-            shift = shifts[order]
-            found.add((group[order][0], item, start + shift, end + shift, edits))
-
-    for number, text in enumerate(texts):
-        for start in range(0, len(text or ""), _BATCH_CHARS):
-            piece = text[start : start + _BATCH_CHARS + overlap]
-            group.append((number, start, piece))
-            size += len(piece)
-            if size >= _BATCH_CHARS:
-                run()
-                group, size = [], 0
+        shifts = np.array([*origin, 0], np.int64)
+        for order, item, start, end, edits in index.search(
+            np.concatenate(parts), np.concatenate(owners), shifts, any_window
+        ):
+            found.append((group[order][0], item, start + origin[order], end + origin[order], edits))
+
+    for number, (start, text) in enumerate(passages):
+        group.append((number, start, fold(text)))
+        size += len(text)
+        if size >= _BATCH_CHARS:
+            run()
+            group, size = [], 0
     if group:
         run()
-    return sorted(found)
+    return sorted(set(found))
+
+
+# -- the benchmark -------------------------------------------------------------------------
 
 
 def pieces(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -315,56 +340,139 @@ def pieces(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> Da
     )
 
 
-def _indexes(benchmark: DataFrame) -> Iterator[_Block]:
-    """Broadcast indexes of the benchmark's blocks, each of bounded size."""
-    spark = benchmark.sparkSession
+def _blocks(benchmark: DataFrame) -> DataFrame:
+    """The pieces with the number of their block."""
     cut = settle(pieces(benchmark), "pieces")
     total = cut.agg(F.sum(F.char_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // (BLOCK_CHARS // 4)))
-    for block in range(blocks):
-        chosen = cut.filter(F.pmod(F.xxhash64("item", "start", "text"), F.lit(blocks)) == block)
-        found = chosen.orderBy("item", "start").toLocalIterator()
-        yield _Block(spark.sparkContext.broadcast([tuple(r)[:1] + tuple(r)[2:] for r in found]))
-
-
-class _Block:
-    """A broadcast block of pieces; each worker builds its index once."""
-
-    def __init__(self, broadcast):
-        self.name, self.broadcast = uuid.uuid4().hex, broadcast
-
-    def index(self) -> Index:
-        if self.name not in _BUILT:
-            _BUILT.clear()
-            _BUILT[self.name] = Index(self.broadcast.value)
-        return _BUILT[self.name]
-
-
-_BUILT: dict[str, Index] = {}
-
-
-def _searching(block: _Block):
-    def search(batches):
+    return cut.withColumn("block", F.pmod(F.xxhash64("item", "start", "text"), F.lit(blocks)).cast("long"))
+
+
+def _grams_of(batches):
+    for batch in batches:
+        for row in batch.to_pylist():
+            piece = Piece(row["item"], row["text"], row["first"], row["last"])
+            hashes = np.unique(gram_hashes(piece.codes, piece.q)).view(np.int64)
+            fixed = (row["block"], piece.q, int(piece.shared.min()), piece.span)
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.repeat(pa.scalar(v, pa.int64()), hashes.size) for v in fixed), pa.array(hashes)],
+                names=GRAMS.fieldNames(),
+            )
+
+
+class Filter:
+    """Bit tables that tell which hashes may be grams, with what ``_dense`` asks of them, per length."""
+
+    def __init__(self, grams: DataFrame):
+        count = grams.select("hash").distinct().count()
+        self.bits = min(MOST_BITS, max(18, (16 * count).bit_length()))
+        asked = grams.groupBy("q").agg(F.min("least"), F.max("span")).collect()
+        self.lengths = {q: (least, span) for q, least, span in asked}  # two rows at most
+        slot = F.shiftrightunsigned("hash", 64 - self.bits)
+        words = grams.select("q", F.shiftright(slot, 15).alias("word"), slot.bitwiseAND(32767).alias("bit"))
+        found = words.groupBy("q", "word").agg(F.bitmap_construct_agg("bit").alias("set")).collect()
+        self.tables = {q: np.zeros(1 << (self.bits - 3), np.uint8) for q in self.lengths}
+        for row in found:  # bounded by the bits of the tables
+            self.tables[row["q"]][row["word"] * 4096 : (row["word"] + 1) * 4096] = np.frombuffer(row["set"], np.uint8)
+
+    @property
+    def reach(self) -> int:
+        """Characters to either side of a hit that a window around it and its edits can take."""
+        return 2 * (max((span for _, span in self.lengths.values()), default=0) + Q)
+
+    def hits(self, codes: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places with enough hits around them, and their hashes."""
+        hashes = gram_hashes(codes, q)
+        slots = hashes >> np.uint64(64 - self.bits)
+        table = self.tables[q]
+        maybe = (table[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8)) & 1
+        places = _dense(np.flatnonzero(maybe), *self.lengths[q])
+        return places, hashes[places].view(np.int64)
+
+
+def passages_of(known: Filter, text: str) -> list[tuple[int, str, np.ndarray]]:
+    """(start, passage, hashes) of a whole text; long texts are hashed in overlapping steps."""
+    places, hashes = [], []
+    for at in range(0, len(text), _BATCH_CHARS):
+        codes = fold(text[at : at + _BATCH_CHARS + known.reach])
+        for q in known.lengths:
+            where, found = known.hits(codes, q)
+            places.append(where + at)
+            hashes.append(found)
+    if not places or not sum(p.size for p in places):
+        return []
+    place, found = np.concatenate(places), np.concatenate(hashes)
+    order = np.argsort(place, kind="stable")
+    place, found = place[order], found[order]
+    cuts = np.flatnonzero(np.r_[True, np.diff(place) > 2 * known.reach])
+    made = []
+    for low, high in zip(cuts.tolist(), [*cuts[1:].tolist(), place.size]):
+        start = max(0, int(place[low]) - known.reach)
+        made.append((start, text[start : int(place[high - 1]) + known.reach + Q], np.unique(found[low:high])))
+    return made
+
+
+def _scanning(sent):
+    def scan(batches):
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            hits = _search_texts(block.index(), (t.as_py() for t in batch.column(1)))
-            columns = list(zip(*hits)) if hits else [()] * 5
-            arrays = [pa.array([ids[i] for i in columns[0]], pa.int64())]
-            arrays += [pa.array(c, pa.int64()) for c in columns[1:]]
-            yield pa.RecordBatch.from_arrays(arrays, names=HITS.fieldNames())
+            rows = []
+            for i in range(batch.num_rows):  # one text at a time is a Python object
+                text = batch.column(3)[i].as_py()
+                keys = [batch.column(c)[i].as_py() for c in range(3)] if text else []
+                rows += [(*keys, *p) for p in passages_of(sent.value, text or "")]
+            columns = list(zip(*rows)) if rows else [()] * len(PASSAGES.fields)
+            kinds = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], names=PASSAGES.fieldNames()
+            )
+
+    return scan
+
+
+def _searching(any_window: bool):
+    def search(passages: pa.Table, cut: pa.Table) -> pa.Table:
+        if passages.num_rows and cut.num_rows:
+            items = cut.sort_by([("item", "ascending"), ("start", "ascending")]).to_pylist()
+            index = Index([(r["item"], r["text"], r["first"], r["last"]) for r in items])
+            given = zip(passages.column("start").to_pylist(), passages.column("text").to_pylist())
+            hits = _search_passages(index, given, any_window)
+        else:
+            hits = []
+        columns = list(zip(*hits)) if hits else [()] * 5
+        which = pa.array(columns[0], pa.int64())
+        return pa.table(
+            [*(passages.column(c).take(which) for c in ("doc_id", "k1", "k2")),
+             *(pa.array(c, pa.int64()) for c in columns[1:])],
+            names=HITS.fieldNames(),
+        )
 
     return search
 
 
-def _free(block: _Block):
-    @F.arrow_udf(schemas.BOOLEAN)
-    def free(texts: pa.Array) -> pa.Array:
-        found = np.ones(len(texts), bool)
-        for hit in _search_texts(block.index(), (t.as_py() for t in texts), any_window=True):
-            found[hit[0]] = False
-        return pa.array(found)
-
-    return free
+def _hits(keyed: DataFrame, benchmark: DataFrame, any_window: bool) -> DataFrame:
+    """Matched windows of documents given as (doc_id, k1, k2, text)."""
+    cut = settle(_blocks(benchmark), "blocks")
+    grams = settle(cut.mapInArrow(_grams_of, GRAMS), "grams")
+    sent = keyed.sparkSession.sparkContext.broadcast(Filter(grams))  # bounded by MOST_BITS
+    passages = settle(
+        keyed.mapInArrow(_scanning(sent), PASSAGES).withColumn("number", F.monotonically_increasing_id()),
+        "passages",
+    )
+    asked = passages.select("number", F.explode("hashes").alias("hash")).distinct()
+    known = grams.select("hash", "block").distinct()
+    pairs = settle(asked.join(known, "hash").select("number", "block").distinct(), "pairs")
+    loads = settle(
+        pairs.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / PORTION).alias("portions")), "loads"
+    )
+    portion = F.pmod(F.xxhash64("number"), F.col("portions")).alias("portion")
+    dealt = passages.drop("hashes").join(pairs, "number").join(loads, "block")
+    dealt = dealt.select("block", portion, *[f.name for f in PASSAGES.fields if f.name != "hashes"])
+    portions = loads.select(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("portions") - 1)).alias("portion")
+    )
+    each = portions.alias("p").join(cut, "block").select("p.block", "p.portion", *cut.drop("block").columns)
+    by = ["block", "portion"]
+    return dealt.groupBy(*by).cogroup(each.groupBy(*by)).applyInArrow(_searching(any_window), HITS)
 
 
 def regions(
@@ -375,17 +483,24 @@ def regions(
     ``start`` and ``end`` bound all matched windows, in characters of the text; ``edits`` is the
     least of a window.
     """
-    picked = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    parts = [picked.mapInArrow(_searching(block), HITS) for block in _indexes(benchmark)]
-    found = reduce(DataFrame.unionByName, parts)
-    return found.groupBy("doc_id", "item_id").agg(
+    none = F.lit(0).cast("long")
+    keyed = docs.select(
+        F.col(f"`{key}`").cast("long").alias("doc_id"), none.alias("k1"), none.alias("k2"),
+        F.col(f"`{text}`").alias("text"),
+    )
+    return _hits(keyed, benchmark, False).groupBy("doc_id", "item_id").agg(
         F.min("start").alias("start"), F.max("end").alias("end"),
         F.count_distinct("start", "end", "edits").alias("windows"), F.min("edits").alias("edits"),
     )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The documents without a benchmark passage; nothing is shuffled."""
-    for block in _indexes(benchmark):
-        docs = docs.filter(_free(block)(F.col(f"`{text}`")))
-    return docs
+    """The documents without a benchmark passage."""
+    k1, k2 = row_key(docs)
+    none = F.lit(0).cast("long")
+    keyed = docs.select(none.alias("doc_id"), k1.alias("k1"), k2.alias("k2"), F.col(f"`{text}`").alias("text"))
+    dirty = settle(_hits(keyed, benchmark, True).select("k1", "k2").distinct(), "dirty")
+    first, second = hidden("a"), hidden("b")
+    lost = dirty.select(F.col("k1").alias(first), F.col("k2").alias(second))
+    kept = docs.withColumn(first, k1).withColumn(second, k2).join(lost, [first, second], "left_anti")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

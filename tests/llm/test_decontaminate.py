@@ -75,7 +75,9 @@ def test_search_finds_exactly_what_the_full_table_finds(spark):
             piece = piece.upper().replace(" ", "\n")
         docs.append((number, f"{prose(rng, 10)} {piece} {prose(rng, 10)}"))
     docs.append((3, docs[3][1]))
-    documents = spark.createDataFrame(docs, "doc_id long, text string").withColumnRenamed("x", "y")
+    documents = spark.createDataFrame(
+        [(*row, 1, "h", 2) for row in docs], "doc_id long, text string, k1 int, hashes string, start int"
+    )
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     got = d.regions(documents, benchmark).collect()
     assert {(r.doc_id, r.item_id) for r in got} == direct_pairs(docs, items)
@@ -93,9 +95,36 @@ def test_blocks_find_the_same(spark, monkeypatch):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     whole = sorted(map(tuple, d.regions(documents, benchmark).collect()))
     monkeypatch.setattr(d, "BLOCK_CHARS", 1500)
-    assert len(list(d._indexes(benchmark))) > 3
+    monkeypatch.setattr(d, "PORTION", 2)
+    assert d._blocks(benchmark).select("block").distinct().count() > 3
     assert sorted(map(tuple, d.regions(documents, benchmark).collect())) == whole
     assert d.clean(documents, benchmark).count() == 0
+    monkeypatch.setattr(d, "MOST_BITS", 18)
+    monkeypatch.setattr(d, "_BATCH_CHARS", 100)
+    assert sorted(map(tuple, d.regions(documents, benchmark).collect())) == whole
+
+
+def searched(index, texts, any_window=False):
+    return d._search_passages(index, [(0, t or "") for t in texts], any_window)
+
+
+def test_short_items_with_every_edit(spark):
+    """Items of 12 to 30 characters, whole and with each single edit, in the middle of a text."""
+    rng = random.Random(12)
+    items = [(n, "".join(rng.choices("abcdefghij klmnop", k=n))) for n in range(12, 31)]
+    docs = []
+    for item, text in items:
+        made = {text}
+        for at in range(item):
+            made |= {text[:at] + text[at + 1 :], text[:at] + "#" + text[at:], text[:at] + "#" + text[at + 1 :]}
+        docs += [(len(docs) + i, f"%%%% {t} %%%%") for i, t in enumerate(sorted(made))]
+    documents = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in d.regions(documents, benchmark).collect()}
+    assert got == direct_pairs(docs, items)
+    assert {i for _, i in got if i >= 20} == set(range(20, 31))
+    kept = {r.doc_id for r in d.clean(documents, benchmark).collect()}
+    assert kept == {i for i, _ in docs} - {i for i, _ in got}
 
 
 def test_empty_tables(spark):
@@ -111,7 +140,7 @@ def test_long_texts_and_wide_characters():
     passage = "𝒜bc déf " * 12
     index = d.Index([(1, w) for w in cut(passage)])
     long = "filler words " * 100_000 + passage.upper() + " tail"
-    hits = d._search_texts(index, ["x", long, None, passage])
+    hits = searched(index, ["x", long, None, passage])
     assert {h[0] for h in hits} == {1, 3}
     assert min(h[4] for h in hits if h[0] == 1) == min(h[4] for h in hits if h[0] == 3) == 0
     assert np.array_equal(d.fold("A\tİ"), d.fold("a İ"))
@@ -127,9 +156,9 @@ def test_quoted_passages_are_found_from_every_start():
         passages = [" ".join(words[i : i + 13]) for i in range(len(words) - 12)]
         passages += [text[i : i + 80] for i in range(len(text) - 79)]
         docs = [f"{prose(rng, 9)} {p} {prose(rng, 9)}" for p in passages]
-        found = d._search_texts(index, docs)
+        found = searched(index, docs)
         assert {h[0] for h in found if h[1] == item} == set(range(len(docs)))
-        assert {h[0] for h in d._search_texts(index, docs, any_window=True)} == set(range(len(docs)))
+        assert {h[0] for h in searched(index, docs, any_window=True)} == set(range(len(docs)))
 
 
 def test_items_in_pieces_find_the_same(spark, monkeypatch):
