@@ -76,8 +76,18 @@ _PATTERNS = {
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "card": rf"(?<![0-9A-Za-z])(?![0-9]{{20}})[0-9](?:(?! {_TYPED}|[ -][0-9]{{20}})[ -]?[0-9]){{12,}}(?![0-9A-Za-z])",
 }
-PATTERN = "|".join(_PATTERNS.values())
+# What a value must start with: looked at first, so that most places in a text fail at once.
+_STARTS = {
+    "secret": "[0-9A-Fa-f]{16}", "iban": "[A-Z]{2}[0-9]{2}", "phone": r"\+[1-9]", "ipv4": "[0-9]",
+    "date": "[0-9]", "ssn": "[0-9]{3}-", "card": "[0-9]",
+}
+PATTERN = "|".join(
+    f"(?={_STARTS[kind]}){pattern}" if kind in _STARTS else pattern for kind, pattern in _PATTERNS.items()
+)
 KINDS = tuple(_PATTERNS)
+# Around each match stands a mark. Marks and escapes of the text itself are written as an escape and one
+# of two more characters; none of them is part of any value.
+_ESCAPE, _MARK, _OWN_ESCAPE, _OWN_MARK = "\u0001", "\u0002", "\u0003", "\u0004"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -385,32 +395,39 @@ def pseudonym(found: Column, kind: Column, key: str) -> Column:
     return choice.otherwise(found)
 
 
+def _escaped(text: Column) -> Column:
+    once = F.replace(text, F.lit(_ESCAPE), F.lit(_ESCAPE + _OWN_ESCAPE))
+    return F.replace(once, F.lit(_MARK), F.lit(_ESCAPE + _OWN_MARK))
+
+
+def _unescaped(text: Column) -> Column:
+    once = F.replace(text, F.lit(_ESCAPE + _OWN_MARK), F.lit(_MARK))
+    return F.replace(once, F.lit(_ESCAPE + _OWN_ESCAPE), F.lit(_ESCAPE))
+
+
 def pseudonymised(
     docs: DataFrame, text: str = "text", key: str = DEFAULT_KEY, counts: str | None = None
 ) -> DataFrame:
     """``docs`` with pseudonyms in ``text``; ``counts`` names a map from kind to values replaced."""
     content = F.col(f"`{text}`")
-    gaps, found = hidden("gaps"), hidden("found")
+    parts, found = hidden("parts"), hidden("found")
     # most texts have no digit and no address: they skip the search
     maybe = content.rlike("[0-9@]")
-    staged = docs.withColumn(
-        found,
-        F.when(
-            maybe,
-            F.transform(
-                F.regexp_extract_all(content, F.lit(PATTERN), F.lit(0)),
-                pieces,
-            ),
-        ),
-    ).withColumn(gaps, F.when(F.size(found) > 0, F.split(content, PATTERN, -1)))
+    marked = F.regexp_replace(_escaped(content), PATTERN, f"{_MARK}$0{_MARK}")
+    # gaps and matches in turn, in one search of the text
+    staged = docs.withColumn(parts, F.when(maybe, F.split(marked, _MARK, -1)))
+    searched = F.size(parts) > 1
+    matches = F.filter(parts, lambda _, i: i % 2 == 1)
+    staged = staged.withColumn(found, F.when(searched, F.transform(matches, pieces)))
     replaced = F.transform(
         F.col(found),
-        lambda parts: F.concat_ws("", F.transform(parts, lambda f: pseudonym(f["value"], f["kind"], key))),
+        lambda read: F.concat_ws("", F.transform(read, lambda f: pseudonym(f["value"], f["kind"], key))),
     )
+    gaps = F.filter(parts, lambda _, i: i % 2 == 0)
     whole_pieces = F.zip_with(
-        F.col(gaps), replaced, lambda gap, value: F.concat(gap, F.coalesce(value, F.lit("")))
+        F.transform(gaps, _unescaped), replaced, lambda gap, value: F.concat(gap, F.coalesce(value, F.lit("")))
     )
-    whole = F.when(F.size(found) > 0, F.concat_ws("", whole_pieces)).otherwise(content)
+    whole = F.when(searched, F.concat_ws("", whole_pieces)).otherwise(content)
     result = staged.withColumn(text, whole) if not counts else staged.withColumn(
         counts,
         F.map_from_entries(
@@ -425,4 +442,4 @@ def pseudonymised(
             )
         ),
     ).withColumn(text, whole)
-    return result.drop(gaps, found)
+    return result.drop(parts, found)

@@ -138,3 +138,18 @@ def test_values_beside_other_numbers(spark):
     assert [sum(r.n.values()) for r in found] == [1] * len(found)
     assert found[0].text.endswith(" 123") and found[1].text.startswith("12 ")
     assert found[2].text.startswith("77 ") and found[2].text.endswith(" 2024")
+
+
+def test_control_characters_stay(spark):
+    """The characters that mark matches may be in the text, beside values or alone."""
+    card, mark = "4111111111111111", [chr(i) for i in range(1, 6)]
+    texts = [f"{a}{b}{card}{b}{a} a@b.org{a}{b}" for a in mark for b in mark]
+    texts += ["".join(mark) * 3, "".join(mark) + " 1", "x\u0001\u00034111", f"\u0002{card}", card * 2]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dict(pii.pseudonymised(df).select("doc_id", "text").collect())
+    whole = spark.createDataFrame([(0, f" {card}  a@b.org ")], "doc_id long, text string")
+    other, mail = pii.pseudonymised(whole).first().text.split()
+    for number, text in rows:
+        want = text if text == card * 2 else text.replace(card, other).replace("a@b.org", mail)
+        assert got[number] == want
