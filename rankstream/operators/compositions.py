@@ -9,29 +9,34 @@ from pyspark.sql import functions as F
 
 from rankstream.functions.measures import percent
 from rankstream.operators.ranking import top_ranked
+from rankstream.operators.rates import ROWS
 
 BOARD = ("match_id", "puuid", "placement")
 TRAIT = ("trait_id", "trait_tier", "trait_tier_max")
 
 
-def _side(boards: DataFrame, number: int, attributes: Sequence[str]) -> DataFrame:
+def _side(boards: DataFrame, number: int, attributes: Sequence[str], shared: Sequence[str]) -> DataFrame:
     def renamed(name: str) -> str:
         return f"trait{number}" if name == "trait_id" else name.replace("trait", f"trait{number}", 1)
 
     return boards.select(
         *BOARD,
+        *shared,
         *[F.col(a).alias(renamed(a)) for a in attributes],
         F.col("copies").alias(f"copies{number}"),
     )
 
 
-def _paired(traits: DataFrame, carry: Sequence[str]) -> DataFrame:
-    """Pairs of equal-row groups on one board, with the size of each group."""
+def _paired(traits: DataFrame, carry: Sequence[str], shared: Sequence[str] = ()) -> DataFrame:
+    """Pairs of equal-row groups on one board, with the size of each group.
+
+    ``carry`` are columns of a trait, ``shared`` columns that both of a pair have alike.
+    """
     attributes = [*TRAIT, *carry]
     usable = traits.filter(F.col("trait_tier_max") > 1)
-    boards = usable.groupBy(*BOARD, *attributes).agg(F.count(F.lit(1)).alias("copies"))
-    low, high = _side(boards, 1, attributes), _side(boards, 2, attributes)
-    return low.join(high, list(BOARD)).filter(
+    boards = usable.groupBy(*BOARD, *shared, *attributes).agg(F.count(F.lit(1)).alias("copies"))
+    low, high = (_side(boards, n, attributes, shared) for n in (1, 2))
+    return low.join(high, [*BOARD, *shared]).filter(
         (F.col("trait1_tier") < F.col("trait2_tier")) & (F.col("trait1") != F.col("trait2"))
     )
 
@@ -55,6 +60,31 @@ def distinct_matches(traits: DataFrame) -> Column:
     return traits.select("match_id").distinct().select(F.count(F.lit(1))).scalar()
 
 
+# What the pairs are counted by.
+COMBINATION = (
+    "trait1", "trait2", "trait1_tier", "trait2_tier", "trait1_tier_max", "trait2_tier_max",
+)
+
+
+def combination_counts(traits: DataFrame, sign: str | None = None) -> DataFrame:
+    """Per combination the additive counts behind the strengths.
+
+    ``sign`` names a column that is +1 for boards that came and -1 for boards that went. The counts
+    are doubles: only ratios of them are wanted, and the products may pass the long range.
+    """
+    shared = [sign] if sign else []
+    weight = F.col("copies1").cast("double") * F.col("copies2")
+    if sign:
+        weight = weight * F.col(sign)
+    place = F.col("placement")
+    return _paired(traits, (), shared).groupBy(*COMBINATION).agg(
+        F.sum(weight).alias(ROWS),
+        F.sum(place * weight).alias("place_sum"),
+        F.sum(F.when(place <= 4, weight).otherwise(0)).alias("top_4"),
+        F.sum(F.when(place == 1, weight).otherwise(0)).alias("top_1"),
+    )
+
+
 def pair_strengths(traits: DataFrame, match_count: Column | None = None) -> DataFrame:
     """Mean measures per trait pair over its tier combinations.
 
@@ -62,32 +92,23 @@ def pair_strengths(traits: DataFrame, match_count: Column | None = None) -> Data
     top_4_rate * top_1_rate`` with ``pick_rate`` a fraction of all matches.
     """
     match_count = distinct_matches(traits) if match_count is None else match_count
-    # as double: only ratios of the sums are wanted, and the products may pass the long range
-    weight = F.col("copies1").cast("double") * F.col("copies2")
-    place, total = F.col("placement"), F.sum(weight)
-    combos = (
-        _paired(traits, carry=())
-        .groupBy(
-            "trait1", "trait2", "trait1_tier", "trait2_tier", "trait1_tier_max", "trait2_tier_max"
-        )
-        .agg(
-            total.alias("total"),
-            F.try_divide(F.sum(place * weight), total).alias("avg_placement"),
-            F.sum(F.when(place <= 4, weight).otherwise(0)).alias("top_4"),
-            F.sum(F.when(place == 1, weight).otherwise(0)).alias("top_1"),
-        )
-    )
+    return strengths_of(combination_counts(traits), match_count)
+
+
+def strengths_of(counts: DataFrame, match_count: Column) -> DataFrame:
+    """:func:`pair_strengths` from :func:`combination_counts`."""
+    total = F.col(ROWS)
     depth = (F.col("trait1_tier") / F.col("trait1_tier_max")) * (
         F.col("trait2_tier") / F.col("trait2_tier_max")
     )
-    rated = combos.select(
+    rated = counts.select(
         "trait1",
         "trait2",
-        "avg_placement",
+        F.try_divide("place_sum", total).alias("avg_placement"),
         depth.alias("depth"),
-        F.try_divide(F.col("total"), match_count).alias("pick_rate"),
-        percent(F.col("top_4"), F.col("total")).alias("top_4_rate"),
-        percent(F.col("top_1"), F.col("total")).alias("top_1_rate"),
+        F.try_divide(total, match_count).alias("pick_rate"),
+        percent(F.col("top_4"), total).alias("top_4_rate"),
+        percent(F.col("top_1"), total).alias("top_1_rate"),
     )
     strength = (
         F.try_divide(F.lit(8), F.col("avg_placement"))

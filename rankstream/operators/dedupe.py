@@ -13,12 +13,16 @@ _RANK = "__rank"
 
 
 def _tie_breakers(df: DataFrame, used: set[str]) -> list[Column]:
-    """The remaining sortable columns, so that the order is total."""
-    return [
-        F.col(f"`{f.name}`")
-        for f in df.schema.fields
+    """The remaining plain columns, then one hash of the nested ones, so that the order is total."""
+    rest = [
+        f for f in df.schema.fields
         if f.name not in used and not isinstance(f.dataType, (T.MapType, T.VariantType))
     ]
+    nested = [F.col(f"`{f.name}`") for f in rest if isinstance(f.dataType, (T.ArrayType, T.StructType))]
+    plain = [
+        F.col(f"`{f.name}`") for f in rest if not isinstance(f.dataType, (T.ArrayType, T.StructType))
+    ]
+    return plain + ([F.xxhash64(*nested)] if nested else [])
 
 
 def first_per_key(
@@ -27,7 +31,7 @@ def first_per_key(
     order: Sequence[Column | str] = (),
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per key: the first by ``order``, then by all other columns.
+    """One row per key: the first by ``order``, then by the other columns (nested ones by hash).
 
     ``row_number() = 1`` lets Spark cut each key to one row per task before the shuffle
     (WindowGroupLimit), so a key holding a large share of the rows costs no more than others.

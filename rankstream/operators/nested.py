@@ -83,10 +83,11 @@ def match_augments(rows: DataFrame, picks: int = 3) -> DataFrame:
     )
 
 
-def match_traits(rows: DataFrame) -> DataFrame:
+def match_traits(rows: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """One row per trait; a board without traits stays as one row of nulls."""
-    return rows.select(*SEAT, F.explode_outer("traits").alias("trait")).select(
-        *SEAT,
+    kept = [*SEAT, *carry]
+    return rows.select(*kept, F.explode_outer("traits").alias("trait")).select(
+        *kept,
         F.col("trait.name").alias("trait_id"),
         F.col("trait.num_units").alias("trait_unit_count"),
         F.col("trait.tier_current").alias("trait_tier"),

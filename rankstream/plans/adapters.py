@@ -13,6 +13,8 @@ aggregate), so that they add as little as possible to the plans under test:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +41,7 @@ def _seat(key: str, player: str) -> list[Column]:
     ]
 
 
-def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def matches(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     key, price = F.col("o_orderkey"), F.floor("o_totalprice")
     place = F.col("placement")
     return (
@@ -52,11 +54,45 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
             .alias("time_eliminated"),
             (price % 150).cast("int").alias("total_damage_to_players"),
             F.col("o_orderpriority").alias("tier"),
+            *extra,
         )
         .withColumn("outcome", F.when(place < 5, F.lit("win")).otherwise(F.lit("loss")))
     )
 
 
+def _two_deliveries(rows: DataFrame, key: Column, change: Callable[[DataFrame], DataFrame]):
+    """Rows with keys off the fives; then those on the threes, changed: some replace, some are new."""
+    return rows.filter(key % 5 != 0), change(rows.filter(key % 3 == 0))
+
+
+def match_deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Seats keyed by ``seat``; the second delivery turns their places and raises their levels."""
+    seat = F.col("seat")
+    rows = matches(spark, sf_dir, F.col("o_orderkey").alias("seat"))
+    return _two_deliveries(rows, seat, lambda df: df.withColumns(
+        {"placement": F.lit(SEATS + 1) - F.col("placement"), "level": F.col("level") + 1}
+    ))
+
+
+def board_deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Boards with their traits as an array; the second delivery moves every trait's tier."""
+    trait = F.struct(
+        F.col("trait_id").alias("name"), F.col("trait_unit_count").cast("int").alias("num_units"),
+        F.col("trait_tier").alias("tier_current"), F.col("trait_tier_max").alias("tier_total"),
+    )
+    boards = match_traits(spark, sf_dir).groupBy("match_id", "puuid", "placement").agg(
+        F.array_sort(F.collect_list(trait)).alias("traits")
+    )
+
+    def moved(df: DataFrame) -> DataFrame:
+        raised = F.transform(
+            "traits", lambda t: t.withField("tier_current", ((t.tier_current + 1) % 5).cast("int"))
+        )
+        return df.withColumn("traits", raised)
+
+    return _two_deliveries(boards, F.col("puuid").cast("long"), moved)
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))

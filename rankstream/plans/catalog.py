@@ -14,17 +14,19 @@ from pyspark.sql import types as T
 
 from rankstream import schemas
 from rankstream.functions import requests
-from rankstream.operators import compositions, dedupe, nested, ranking, rates, summaries
+from rankstream.operators import (
+    compositions, dedupe, deltas, nested, ranking, rates, sketches, summaries,
+)
 from rankstream.plans import adapters
 from rankstream.session import shared_folder
-from rankstream.sinks import folders
+from rankstream.sinks import folders, gold
 from rankstream.sinks.publish import publish
 from rankstream.sinks.store import TableStore
 from rankstream.sources import landing, records
 from rankstream.sources.streams import file_stream
 from rankstream.streaming import logs as log_rows
 from rankstream.streaming import metrics
-from rankstream.streaming.sinks import append_stream, read_snapshot, snapshot_stream
+from rankstream.streaming.sinks import append_stream, read_snapshot, snapshot_stream, update_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -229,6 +231,37 @@ def upsert_buckets(spark, sf_dir):
     return store.read(name).select("puuid", "tier", "wins")
 
 
+@query
+def widened_types(spark, sf_dir):
+    """A delivery with wider numbers widens the columns of rows that are stored already."""
+    name = "silver.widened"
+    store = _table(spark, sf_dir, name)
+    orders = adapters.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    narrow = orders.filter("o_orderkey % 2 = 0").select(
+        key.cast("int").alias("id"), F.col("o_custkey").cast("smallint").alias("player"),
+        F.floor(price).cast("int").alias("total"), (key % 8).cast("float").alias("share"),
+    )
+    wide = orders.filter("o_orderkey % 2 = 1").select(
+        (key * 10_000_000_000).alias("id"), F.col("o_custkey").cast("int").alias("player"),
+        F.floor(price * 1_000_000_000).alias("total"), (key / 3).alias("share"),
+    )
+    store.append(name, narrow)
+    store.append(name, wide)
+    return store.read(name)
+
+
+@query
+def bucket_growth(spark, sf_dir):
+    """Upserts into a table whose buckets double as they fill."""
+    name = "silver.growing"
+    store = _table(spark, sf_dir, name)
+    store.buckets, store.bucket_bytes = 2, 8192
+    for rows in (_player_base(spark, sf_dir), _latest_updates(spark, sf_dir)):
+        store.write_or_upsert(name, rows, ["puuid"])
+    return store.read(name).select("puuid", "tier", "wins")
+
+
 @query
 def publish_gold(spark, sf_dir):
     target = _folder(spark, sf_dir, "published")
@@ -474,6 +507,117 @@ def distinct_match_ids(spark, sf_dir):
     return rows.select("match_id").distinct()
 
 
+# -- metric tables maintained from change feeds --------------------------------------------
+
+
+def _maintained(
+    spark: SparkSession, sf_dir: str, label: str, made: tuple, keys, metric: deltas.Metric, rows_of
+) -> tuple[TableStore, str]:
+    """The store and the gold table after two deliveries, the second one applied twice."""
+    silver, target = f"silver.{label}", f"gold.{label}"
+    store = _table(spark, sf_dir, silver)
+    for name in (f"{silver}_changes", target):
+        _table(spark, sf_dir, name)
+    for number, rows in enumerate((made[0], made[1], made[1])):
+        delivery = f"d{min(number, 1)}"
+        store.upsert(silver, rows, keys, delivery=delivery)
+        gold.apply_delivery(store, target, metric, rows_of(store.changes(silver, delivery)), delivery)
+    return store, target
+
+
+@query
+def rate_deltas(spark, sf_dir):
+    metric = deltas.rate_metric(["tier", "level"])
+    made = adapters.match_deliveries(spark, sf_dir)
+    store, target = _maintained(spark, sf_dir, "kept_rates", made, ["seat"], metric, lambda f: f)
+    return gold.read_metric(store, target, metric)
+
+
+@query
+def placement_deltas(spark, sf_dir):
+    metric = deltas.placement_metric()
+    made = adapters.match_deliveries(spark, sf_dir)
+    store, target = _maintained(spark, sf_dir, "kept_places", made, ["seat"], metric, lambda f: f)
+    gold.compact(store, target, metric, "all")
+    return gold.read_metric(store, target, metric)
+
+
+@query
+def composition_deltas(spark, sf_dir):
+    """Pairs of traits from whole boards, as their rows come and go together."""
+
+    def traits(feed: DataFrame) -> DataFrame:
+        return nested.match_traits(feed, carry=[deltas.SIGN])
+
+    matches_kept = adapters.table(spark, sf_dir, "lineitem").filter(
+        "l_orderkey % 5 <> 0 OR l_orderkey % 3 = 0"
+    )
+    count = compositions.distinct_matches(matches_kept.selectExpr("l_orderkey div 8 AS match_id"))
+    metric = deltas.composition_metric(count)
+    made = adapters.board_deliveries(spark, sf_dir)
+    store, target = _maintained(spark, sf_dir, "kept_boards", made, ["match_id", "puuid"], metric, traits)
+    return gold.read_metric(store, target, metric)
+
+
+# -- stored sketches and bitmaps -----------------------------------------------------------
+
+
+@query
+def latency_sketches(spark, sf_dir):
+    """Per day the requests, and whether each quantile merged from stored hours has its rank.
+
+    A value has rank r within the error if at most r + error of the day's times lie below it and at
+    least r - error do not lie above it; the error is three times the one stated for the sketch.
+    """
+    logs = adapters.logs(spark, sf_dir)
+    folder = _folder(spark, sf_dir, "latency")
+    sketches.latency_sketches(logs).write.parquet(folder)
+    days = sketches.quantiles(sketches.coarser(spark.read.parquet(folder), "day"))
+    day = F.date_trunc("day", "timestamp")
+    timed = logs.select(day.alias("start"), "response_time").join(days, "start")
+    found = []
+    for rank in (0.5, 0.95, 0.99):
+        name = f"response_time_{round(100 * rank)}p"
+        below = F.avg((F.col("response_time") < F.col(name)).cast("int"))
+        upto = F.avg((F.col("response_time") <= F.col(name)).cast("int"))
+        error = 3 * sketches.RANK_ERROR
+        found.append(((below <= rank + error) & (upto >= rank - error)).alias(f"{name}_close"))
+    return timed.groupBy("start").agg(F.max("requests").alias("requests"), *found)
+
+
+@query
+def weekly_users_sketch(spark, sf_dir):
+    """Users of the last seven days from stored daily sketches, against the exact counts."""
+    logs = adapters.logs(spark, sf_dir)
+    folder = _folder(spark, sf_dir, "users")
+    sketches.user_sketches(logs).write.parquet(folder)
+    guess = sketches.users_in_last_days(spark.read.parquet(folder))
+    exact = (
+        logs.select("action", "puuid", F.date_trunc("day", "timestamp").cast("date").alias("first")).distinct()
+        .withColumn("day", F.explode(F.sequence(F.col("first"), F.date_add("first", 6))))
+        .groupBy("action", "day").agg(F.count_distinct("puuid").alias("exact"))
+    )
+    same = guess["action"].eqNullSafe(exact["action"]) & (guess["day"] == exact["day"])
+    off = F.abs(F.col("users") - F.col("exact"))
+    # a small set is held almost exactly; the bound leaves it one user
+    close = off <= F.greatest(3 * sketches.USERS_ERROR * F.col("exact"), F.lit(1.0))
+    return guess.join(exact, same).select(
+        guess["action"], guess["day"], "requests", F.col("exact").alias("users"),
+        close.alias("estimate_is_close"),
+    )
+
+
+@query
+def weekly_users_bitmap(spark, sf_dir):
+    """The same exactly, from stored daily bitmaps over numbered users."""
+    logs = adapters.logs(spark, sf_dir)
+    folder = _folder(spark, sf_dir, "bitmaps")
+    logs.select("puuid").distinct().write.parquet(f"{folder}/ids")
+    numbers = sketches.numbered(spark.read.parquet(f"{folder}/ids"))
+    sketches.user_bitmaps(logs, numbers).write.parquet(f"{folder}/days")
+    return sketches.exact_users_in_last_days(spark.read.parquet(f"{folder}/days"))
+
+
 # -- log functions and metrics -------------------------------------------------------------
 
 
@@ -604,6 +748,22 @@ def stream_server_metrics(spark, sf_dir):
     return metrics.window_bounds(_snapshot(spark, sf_dir, live, "server"))
 
 
+@query
+def stream_update_server(spark, sf_dir):
+    """Hours kept by an update-mode stream over three arrivals."""
+    name = "gold.server_hours"
+    store = _table(spark, sf_dir, name)
+    folder = _folder(spark, sf_dir, "updates")
+    logs = adapters.logs(spark, sf_dir)
+    for part in range(3):
+        logs.filter(F.col("response_size") % 3 == part).write.mode("append").parquet(f"{folder}/in")
+        arrived = file_stream(spark, f"{folder}/in", schemas.SILVER_LOG)
+        live = metrics.window_bounds(metrics.server_metrics(arrived))
+        dated = live.withColumn("day", F.to_date("window_start"))
+        update_stream(dated, store, name, ["window_start"], f"{folder}/checkpoint", ["day"])
+    return store.read(name).drop("day")
+
+
 @query
 def stream_transaction_metrics(spark, sf_dir):
     live = metrics.transaction_metrics(adapters.log_stream(spark, sf_dir))

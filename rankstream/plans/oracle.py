@@ -258,7 +258,44 @@ SELECT strftime(h, '{TIME}') AS window_start, strftime(e, '{TIME}') AS window_en
 FROM hours, closing
 WHERE (event_id % 2 = 0 OR e > first_mark) AND e <= last_mark GROUP BY h, e"""
 
+# after two deliveries: keys off the fives, then those on the threes with changed values
+DELIVERED = "(k % 5 <> 0 OR k % 3 = 0)"
+MATCHES_KEPT = MATCHES.replace("matches AS (", "delivered AS (").replace(
+    "SELECT CAST", "SELECT o_orderkey AS k, CAST", 1
+) + f""",
+matches AS (
+  SELECT match_id, puuid, CASE WHEN k % 3 = 0 THEN 9 - placement ELSE placement END AS placement,
+         CASE WHEN k % 3 = 0 THEN level + 1 ELSE level END AS level, gold_left, time_eliminated,
+         total_damage_to_players, tier
+  FROM delivered WHERE {DELIVERED})"""
+TRAITS_KEPT = TRAITS.replace("match_traits AS (", "delivered AS (") + f""",
+match_traits AS (
+  SELECT * REPLACE (CAST(CASE WHEN k % 3 = 0 THEN (trait_tier + 1) % 5 ELSE trait_tier END AS INT)
+    AS trait_tier) FROM (SELECT *, CAST(puuid AS BIGINT) AS k FROM delivered) WHERE {DELIVERED})"""
+
+WEEKLY = f"""WITH {RECORDS},
+spread AS (
+  SELECT action, puuid, CAST(date_trunc('day', ts) AS DATE) + CAST(d AS INT) AS day
+  FROM records, range(7) AS r(d))
+SELECT action, strftime(day, '%Y-%m-%d') AS day, count(DISTINCT puuid) AS users"""
+
 SQL: dict[str, str] = {
+    "rate_deltas": f"WITH {MATCHES_KEPT} {_rates('tier, level', 'matches', 'matches')}",
+    "placement_deltas": PLACEMENTS.replace(MATCHES, MATCHES_KEPT),
+    "composition_deltas": COMPOSITIONS.replace(TRAITS, TRAITS_KEPT),
+    "latency_sketches": f"""WITH {RECORDS}
+SELECT strftime(date_trunc('day', ts), '{TIME}') AS start, count(*) AS requests,
+  true AS response_time_50p_close, true AS response_time_95p_close, true AS response_time_99p_close
+FROM records GROUP BY date_trunc('day', ts)""",
+    "weekly_users_sketch": WEEKLY + """, count(*) AS requests, true AS estimate_is_close
+FROM spread GROUP BY action, day""",
+    "weekly_users_bitmap": WEEKLY + " FROM spread GROUP BY action, day",
+    "widened_types": """SELECT CASE WHEN odd THEN o_orderkey * 10000000000 ELSE o_orderkey END AS id,
+  o_custkey AS player, CASE WHEN odd THEN floor(o_totalprice * 1000000000) ELSE floor(o_totalprice) END
+    AS total, CASE WHEN odd THEN round(o_orderkey / 3, 6) ELSE o_orderkey % 8 END AS share
+FROM (SELECT *, o_orderkey % 2 = 1 AS odd FROM orders)""",
+    "bucket_growth": f"WITH {UPSERT}",
+    "stream_update_server": SERVER,
     "json_inline": CHAMPIONS,
     "static_dedupe": f"""SELECT * FROM ({CHAMPIONS})
 QUALIFY row_number() OVER (PARTITION BY name ORDER BY id, tier) = 1""",

@@ -31,6 +31,12 @@ def age_hours(spark: SparkSession, path: str) -> float:
     return (time.time() * 1000 - fs.getFileStatus(target).getModificationTime()) / 3_600_000
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below the folder."""
+    fs, target = _filesystem(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
 def drop(spark: SparkSession, path: str) -> None:
     fs, target = _filesystem(spark, path)
     fs.delete(target, True)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from rankstream.sinks import folders
+from rankstream.sinks.store import TableStore
 
 _PREFIX = "snapshot-"
 
@@ -63,6 +64,33 @@ def snapshot_stream(
     query.awaitTermination()
 
 
+def update_stream(
+    df: DataFrame,
+    store: TableStore,
+    name: str,
+    keys: Sequence[str],
+    checkpoint: str,
+    partition_by: Sequence[str] = (),
+) -> None:
+    """Update-mode sink: every micro-batch upserts the groups that it changed, and no others.
+
+    A changed group comes with its whole new value, so a batch that is repeated changes nothing.
+    Partitions without a changed group keep their files.
+    """
+
+    def write(batch: DataFrame, _: int) -> None:
+        store.upsert(name, batch, keys, partition_by=partition_by)
+
+    query = (
+        df.writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def for_each_batch(df: DataFrame, write: Callable[[DataFrame], None], checkpoint: str) -> None:
     """Hands every micro-batch to ``write``, which must give the same result when repeated."""
     query = (

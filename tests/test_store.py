@@ -198,3 +198,129 @@ def test_create_lost_before_its_rows(store, spark, table_name, by, monkeypatch):
     assert store.read(table_name).count() == 0
     store.upsert(table_name, data, ["puuid"], partition_by=by)
     assert rows(store.read(table_name), "puuid", "tier", "wins") == [("a", "X", 1)]
+
+
+def scanned(df):
+    """Rows and files that the plan's scans read."""
+    df.collect()
+    plan, found = [df._jdf.queryExecution().executedPlan()], [0, 0]
+    while plan:
+        node = plan.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            plan.append(node.executedPlan())
+            continue
+        if node.nodeName().startswith("Scan"):
+            metrics = node.metrics()
+            found[0] += metrics.apply("numOutputRows").value()
+            found[1] += metrics.apply("numFiles").value()
+        children = node.children()
+        plan += [children.apply(i) for i in range(children.size())]
+        if hasattr(node, "plan") and "QueryStage" in node.nodeName():
+            plan.append(node.plan())
+    return tuple(found)
+
+
+def test_few_keys_open_few_row_groups(store, spark, table_name):
+    """The bucket's other files and the row groups without the key are not read."""
+    store.buckets = 4
+    ids = spark.range(4000).selectExpr("concat('k', xxhash64(id)) AS puuid", "'X' AS tier", "cast(id AS int) AS wins")
+    store.upsert(table_name, ids, ["puuid"])
+    assert store._bloomed(table_name) == ["puuid"]
+    known = ids.filter("wins = 77").select("puuid", "tier", (F.col("wins") + 1).alias("wins"))
+    absent = spark.createDataFrame([("k-none", "X", 1)], PLAYERS)
+    from rankstream.sinks.store import BUCKET, _bucketed, _in_partitions
+
+    for source, most in ((known, 1100), (absent, 0)):
+        placed = _bucketed(source, ["puuid"], 4)
+        inside = _in_partitions([BUCKET], placed.select(BUCKET).distinct().collect())
+        target = spark.table(table_name).filter(inside).filter(store._few_keys(placed, ["puuid"]))
+        read, files = scanned(target)
+        assert read <= most and files <= 2
+    store.upsert(table_name, known, ["puuid"])
+    assert rows(store.read(table_name).filter("wins IN (77, 78)"), "wins") == [(78,), (78,)]
+
+
+def test_many_keys_are_not_named(store, spark, table_name):
+    many = spark.range(100).selectExpr("cast(id AS string) AS puuid", "'X' AS tier", "1 AS wins")
+    store.upsert(table_name, many, ["puuid"])
+    assert "IN" not in str(store._few_keys(many, ["puuid"])).upper().split("(")[0]
+    store.upsert(table_name, many.withColumn("wins", F.lit(2)), ["puuid"])
+    assert store.read(table_name).filter("wins = 2").count() == 100
+
+
+def test_buckets_double_as_they_fill(store, spark, table_name):
+    first = spark.range(300).selectExpr("concat('k', id) AS puuid", "'X' AS tier", "0 AS wins")
+    store.buckets, store.bucket_bytes = 2, 1 << 30
+    store.upsert(table_name, first, ["puuid"])
+    assert store._bucket_count(table_name) == 2
+    before = rows(store.read(table_name), "puuid", "tier", "wins")
+    store.split_buckets(table_name, ["puuid"], 4)
+    assert store._bucket_count(table_name) == 4 and store._bloomed(table_name) == ["puuid"]
+    assert rows(store.read(table_name), "puuid", "tier", "wins") == before
+    assert spark.table(table_name).select("key_bucket").distinct().count() == 4
+    from rankstream.sinks import folders
+
+    store.bucket_bytes = folders.size(spark, store._location(table_name)) // 6
+    for _ in range(2):
+        update = first.filter("puuid LIKE 'k1%'").withColumn("wins", F.lit(5))
+        store.upsert(table_name, update, ["puuid"])
+    assert store._bucket_count(table_name) >= 8
+    assert store.read(table_name).count() == 300
+    assert store.read(table_name).filter("wins = 5").count() == update.count()
+
+
+def test_types_widen_and_old_files_stay(store, spark, table_name):
+    store.append(table_name, spark.createDataFrame([(1, 2, 1.5, "a")], "x int, y smallint, z float, part string"), ["part"])
+    store.append(table_name, spark.createDataFrame([(2**40, 70000, 1 / 3, "b")], "x bigint, y int, z double, part string"), ["part"])
+    store.append(table_name, spark.createDataFrame([(5, 6, 0.5, "a")], "x int, y smallint, z float, part string"), ["part"])
+    read = store.read(table_name)
+    assert dict(read.dtypes) == {"x": "bigint", "y": "int", "z": "double", "part": "string"}
+    assert rows(read, "x", "y", "z") == sorted([(1, 2, 1.5), (2**40, 70000, 1 / 3), (5, 6, 0.5)], key=repr)
+    assert read.filter("x = 1 AND part = 'a'").count() == 1
+
+
+def test_keyed_tables_widen(store, spark, table_name):
+    store.upsert(table_name, spark.createDataFrame([("a", "X", 1)], PLAYERS), ["puuid"], delivery="1")
+    wide = spark.createDataFrame([("a", "X", 2**40), ("b", "X", 3)], "puuid string, tier string, wins bigint")
+    for _ in range(2):
+        store.upsert(table_name, wide, ["puuid"], delivery="2")
+        assert rows(store.read(table_name), "puuid", "wins") == [("a", 2**40), ("b", 3)]
+    assert rows(store.changes(table_name), "puuid", "wins", "__sign") == [
+        ("a", 1, -1), ("a", 1, 1), ("a", 2**40, 1), ("b", 3, 1)]
+    assert store._bloomed(table_name) == ["puuid"]
+    with pytest.raises(Exception):  # nothing holds both: the value does not fit and the cast says so
+        store.append(table_name, spark.createDataFrame([("c", "X", 1e300)], "puuid string, tier string, wins double"))
+
+
+def test_wider_types():
+    from rankstream.sinks.store import wider_type
+
+    assert wider_type("int", "bigint") == wider_type("bigint", "int") == "bigint"
+    assert wider_type("int", "double") == "double" and wider_type("float", "int") == "double"
+    assert wider_type("string", "int") is None and wider_type("bigint", "double") is None
+
+
+def test_only_changed_windows_are_rewritten(store, spark, table_name, tmp_path):
+    """Update mode: the day of an untouched window keeps its file."""
+    from rankstream import schemas
+    from rankstream.sources.streams import file_stream
+    from rankstream.streaming import metrics
+    from rankstream.streaming.sinks import update_stream
+
+    def arrive(*stamps):
+        data = [("p", f"2024-01-0{d} 10:{m}:00", "POST", 200, 1, 10 * d, f"2024-01-0{d}") for d, m in stamps]
+        columns = "puuid string, ts string, request_type string, status_code int, response_size int, response_time int, d string"
+        made = spark.createDataFrame(data, columns).selectExpr(
+            "puuid", "cast(ts AS timestamp) AS timestamp", "request_type", "status_code", "response_size",
+            "response_time", "cast(d AS date) AS date", "cast(NULL AS string) AS product", "cast(NULL AS int) AS rp",
+            "'game-start' AS action")
+        made.write.mode("append").parquet(str(tmp_path / "in"))
+        arrived = file_stream(spark, str(tmp_path / "in"), schemas.SILVER_LOG)
+        live = metrics.window_bounds(metrics.server_metrics(arrived)).withColumn("day", F.to_date("window_start"))
+        update_stream(live, store, table_name, ["window_start"], str(tmp_path / "check"), ["day"])
+        return {str(r.day): r.f for r in store.read(table_name).selectExpr("day", "_metadata.file_path f").collect()}
+
+    first = arrive((1, 10), (1, 20), (2, 10))
+    second = arrive((2, 30))
+    assert first["2024-01-01"] == second["2024-01-01"] and first["2024-01-02"] != second["2024-01-02"]
+    assert rows(store.read(table_name), "request_count") == [(2,), (2,)]
