@@ -25,7 +25,7 @@ from rankstream.sinks.store import TableStore
 from rankstream.sources import landing, records
 from rankstream.sources.streams import file_stream
 from rankstream.streaming import logs as log_rows
-from rankstream.streaming import metrics
+from rankstream.streaming import metrics, quality
 from rankstream.streaming.sinks import append_stream, read_snapshot, snapshot_stream, update_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -251,6 +251,17 @@ def widened_types(spark, sf_dir):
     return store.read(name)
 
 
+@query
+def z_ordered(spark, sf_dir):
+    """A predicate on two columns of a table that is clustered by both."""
+    name = "silver.clustered"
+    store = _table(spark, sf_dir, name)
+    store.append(name, adapters.matches(spark, sf_dir))
+    store.cluster(name, ["total_damage_to_players", "gold_left"])
+    near = F.col("total_damage_to_players").between(30, 60) & F.col("gold_left").between(10, 19)
+    return store.read(name).filter(near).select("match_id", "puuid", "gold_left", "level")
+
+
 @query
 def bucket_growth(spark, sf_dir):
     """Upserts into a table whose buckets double as they fill."""
@@ -709,6 +720,36 @@ def logs_bronze(spark, sf_dir):
     return _drained(spark, sf_dir, log_rows.bronze_logs(records.decode(wire)), "bronze", ["date"])
 
 
+def _damaged(wire: DataFrame) -> DataFrame:
+    """Every seventh payload cut short, every fifth without its path."""
+    text = F.substring("value", records.HEADER_BYTES + 1, 1_000_000).cast("string")
+    size = F.get_json_object(text, "$.response_size").cast("int")
+    cut = F.substring(F.col("value"), F.lit(1), F.length("value") - 2)
+    gone = F.regexp_replace(text, '"endpoint_path":"[^"]*",', "").cast("binary")
+    header = F.substring("value", 1, records.HEADER_BYTES)
+    return wire.select(
+        F.when(size % 7 == 0, cut).when(size % 5 == 0, F.concat(header, gone)).otherwise(F.col("value"))
+        .alias("value")
+    )
+
+
+@query
+def stream_quality(spark, sf_dir):
+    """Counts of a stream of partly damaged records, and the rows that went either way."""
+    names = [f"bronze.{n}" for n in ("checked_logs", "unread_logs", "quality_counts")]
+    for name in names:
+        store = _table(spark, sf_dir, name)
+    wire = _damaged(records.encode(adapters.record_stream(spark, sf_dir)))
+    quality.drain_checked(wire, store, *names, f"{_folder(spark, sf_dir, 'quality')}/checkpoint")
+    kept = store.read(names[0]).agg(F.count(F.lit(1)).alias("kept"), F.sum("response_time").alias("times"))
+    set_aside = store.read(names[1]).agg(F.count(F.lit(1)).alias("set_aside"))
+    found = store.read(names[2]).agg(
+        *[F.sum(c).alias(c) for c in ("arrived", "undecodable", "defaulted")]
+    )
+    sums = [df.withColumn("one", F.lit(1)) for df in (found, kept, set_aside)]  # one row each
+    return sums[0].join(sums[1], "one").join(sums[2], "one").drop("one")
+
+
 @query
 def stream_chain(spark, sf_dir):
     """Bronze log files, written by one stream, are the source of the next."""

@@ -295,6 +295,15 @@ FROM spread GROUP BY action, day""",
     AS total, CASE WHEN odd THEN round(o_orderkey / 3, 6) ELSE o_orderkey % 8 END AS share
 FROM (SELECT *, o_orderkey % 2 = 1 AS odd FROM orders)""",
     "bucket_growth": f"WITH {UPSERT}",
+    "z_ordered": f"""WITH {MATCHES} SELECT match_id, puuid, gold_left, level FROM matches
+WHERE total_damage_to_players BETWEEN 30 AND 60 AND gold_left BETWEEN 10 AND 19""",
+    "stream_quality": f"""WITH {RECORDS}
+SELECT count(*) AS arrived, count(*) FILTER (WHERE response_size % 7 = 0) AS undecodable,
+  count(*) FILTER (WHERE response_size % 7 <> 0 AND response_size % 5 = 0) AS defaulted,
+  count(*) FILTER (WHERE response_size % 7 <> 0) AS kept,
+  CAST(sum(response_time) FILTER (WHERE response_size % 7 <> 0) AS BIGINT) AS times,
+  count(*) FILTER (WHERE response_size % 7 = 0) AS set_aside
+FROM records""",
     "stream_update_server": SERVER,
     "json_inline": CHAMPIONS,
     "static_dedupe": f"""SELECT * FROM ({CHAMPIONS})

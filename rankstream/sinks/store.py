@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankstream.operators import deltas
+from rankstream.operators import clustering, deltas
 from rankstream.operators.dedupe import first_per_key, match_on, merge_rows
 from rankstream.session import shared_folder
 from rankstream.sinks import folders
@@ -39,6 +39,7 @@ LAYERS = ("bronze", "silver", "gold")
 _VERSION = "v"
 BUCKET = "key_bucket"
 _BUCKETS = "rankstream.buckets"
+_FILE_BYTES = 256 << 20
 _BLOOM = "parquet.bloom.filter.enabled#"
 DELIVERY = "delivery"
 # Up to this many keys an upsert names them in its read of the table, as Spark pushes them down.
@@ -279,6 +280,24 @@ class TableStore:
         if buckets > known:
             self.split_buckets(name, keys, buckets)
 
+    def cluster(self, name: str, columns: Sequence[str], bits: int = 6) -> None:
+        """Rewrites the table along a Z-order curve of ``columns``, within its partitions.
+
+        Rows near in all of the columns come to lie in the same row groups, so that a predicate on
+        any of them skips most. See :func:`rankstream.operators.clustering.z_value`.
+        """
+        rows, parts = self._rows(name), self.partition_columns(name)
+        placed = clustering.with_z_value(rows, columns, bits)
+        files = max(1, -(-folders.size(self.spark, self._location(name)) // _FILE_BYTES))
+        dealt = placed.repartitionByRange(files, *parts, clustering.Z_VALUE)
+        ordered = dealt.sortWithinPartitions(*parts, clustering.Z_VALUE).drop(clustering.Z_VALUE)
+        keys = self._bloomed(name)
+        version = self._new_folder(name)
+        writer = ordered.write.options(**_blooms(keys))
+        (writer.partitionBy(*parts) if parts else writer).parquet(version)
+        buckets = self._bucket_count(name) if parts == [BUCKET] else 0
+        self._take_place(name, rows, version, parts, buckets, keys)
+
     # -- upkeep ----------------------------------------------------------------------------
 
     @contextlib.contextmanager

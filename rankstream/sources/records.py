@@ -54,6 +54,23 @@ def decode(df: DataFrame, fmt: str = "json", avro_schema: str | None = None) ->
     )
 
 
+def decode_flagged(df: DataFrame) -> DataFrame:
+    """JSON records with the raw ``value``, ``unread`` and ``defaulted``.
+
+    ``unread`` marks payloads that cannot be decoded, null ones included; ``defaulted`` counts the
+    fields that the payload lacks.
+    """
+    payload = strip_header(F.col("value"))
+    read = df.select("value", _decode_json(payload, schemas.LOG_RECORD).alias("record"))
+    unread = F.col("record").isNull() | F.col(f"record.{_CORRUPT}").isNotNull()
+    lacking = [F.col(f"record.{f.name}").isNull().cast("int") for f in schemas.LOG_RECORD.fields]
+    fields = [
+        F.coalesce(F.col(f"record.{f.name}"), F.lit(schemas.LOG_RECORD_DEFAULTS[f.name])).alias(f.name)
+        for f in schemas.LOG_RECORD.fields
+    ]
+    return read.select("value", unread.alias("unread"), sum(lacking).alias("defaulted"), *fields)
+
+
 def encode(df: DataFrame, header: bytes = bytes(HEADER_BYTES)) -> DataFrame:
     """Log record columns to the JSON wire form: one binary ``value`` column."""
     body = F.to_json(F.struct(*[f.name for f in schemas.LOG_RECORD.fields])).cast("binary")

@@ -324,3 +324,39 @@ def test_only_changed_windows_are_rewritten(store, spark, table_name, tmp_path):
     second = arrive((2, 30))
     assert first["2024-01-01"] == second["2024-01-01"] and first["2024-01-02"] != second["2024-01-02"]
     assert rows(store.read(table_name), "request_count") == [(2,), (2,)]
+
+
+def test_clustered_rows_skip_row_groups(store, spark, table_name):
+    """A predicate on two columns reads under a quarter of the rows of the row groups."""
+    data = spark.range(40_000).selectExpr(
+        "id", "cast(pmod(xxhash64(id), 1000) AS int) AS x", "concat('n', lpad(pmod(xxhash64(id, 1), 1000), 4, '0')) AS y",
+        "id % 2 AS part",
+    )
+    store.append(table_name, data, ["part"])
+    before = rows(store.read(table_name), "id", "x", "y", "part")
+    from rankstream.sinks import store as module
+
+    held = module._FILE_BYTES
+    module._FILE_BYTES = 8_000  # small files stand for the row groups of large ones
+    try:
+        store.cluster(table_name, ["x", "y"])
+    finally:
+        module._FILE_BYTES = held
+    assert rows(store.read(table_name), "id", "x", "y", "part") == before
+    assert store.partition_columns(table_name) == ["part"]
+    near = store.read(table_name).filter("x BETWEEN 100 AND 150 AND y BETWEEN 'n0700' AND 'n0750'")
+    read, _ = scanned(near)
+    assert 0 < read < 40_000 / 4
+    assert near.count() == sum(100 <= r[1] <= 150 and "n0700" <= r[2] <= "n0750" for r in before)
+
+
+def test_z_value_of_columns(spark):
+    from rankstream.operators import clustering
+
+    df = spark.createDataFrame([(a, b) for a in range(8) for b in range(8)], "a int, b int")
+    got = df.select("a", "b", clustering.z_value([F.col("a"), F.col("b")], 3).alias("z")).collect()
+    for r in got:
+        assert r.z == int("".join(x + y for x, y in zip(f"{r.a:03b}", f"{r.b:03b}")), 2)
+    odd = spark.createDataFrame([(None, "x"), (1, None), (2, "é")], "n int, s string")
+    assert clustering.with_z_value(odd, ["n", "s"]).count() == 3
+    assert clustering.with_z_value(odd.limit(0), ["n", "s"]).count() == 0
