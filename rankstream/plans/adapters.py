@@ -264,7 +264,9 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("info"),
     )
     deliveries = F.when(F.col("o_orderstatus") == "F", 2).otherwise(1)
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    # making the documents is the work: a table that is one row group is dealt out before it
+    orders = orders.repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
     # A generator's output is made once: later filters run on it, not on the expression again.
     delivered = orders.select(F.explode(F.array_repeat(document, deliveries)).alias("document"))
     return delivered.select("document.*")

@@ -21,6 +21,7 @@ from rankstream.plans import adapters
 from rankstream.session import shared_folder
 from rankstream.sinks import folders, gold
 from rankstream.sinks.publish import publish
+from rankstream.sinks.runs import write_run
 from rankstream.sinks.store import TableStore
 from rankstream.sources import landing, records
 from rankstream.sources.streams import file_stream
@@ -282,6 +283,17 @@ def publish_gold(spark, sf_dir):
     return spark.read.schema(gold.schema).json(f"{target}/run_id=r1")
 
 
+@query
+def publish_runs(spark, sf_dir):
+    """Two runs through the committing sink, the first one written twice."""
+    target = _folder(spark, sf_dir, "runs")
+    players = _players(spark, sf_dir).select("puuid", "tier", "wins")
+    for run, rows in (("r1", players), ("r1", players), ("r2", players.filter("wins > 25"))):
+        write_run(rows, target, run)
+    kind = T.StructType([*players.schema.fields, T.StructField("run_id", T.StringType())])
+    return spark.read.schema(kind).parquet(target)
+
+
 @query
 def stream_append(spark, sf_dir):
     written = _drained(spark, sf_dir, adapters.log_stream(spark, sf_dir), "append", ["date"])

@@ -329,6 +329,9 @@ SELECT puuid, "queueType", wins FROM marked WHERE "processedTime" IS NULL""",
     "write_or_upsert": f"WITH {UPSERT}",
     "upsert_buckets": f"WITH {UPSERT}",
     "publish_gold": PLAYER_TIERS,
+    "publish_runs": f"""WITH {ENTRIES}
+SELECT puuid, tier, wins, 'r1' AS run_id FROM players
+UNION ALL SELECT puuid, tier, wins, 'r2' FROM players WHERE wins > 25""",
     "stream_append": f"""WITH {RECORDS}
 SELECT puuid, instant AS "timestamp", status_code, action, day AS "date" FROM records""",
     "stream_complete": f"""WITH {RECORDS}
