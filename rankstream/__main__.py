@@ -24,6 +24,9 @@ def main() -> None:
     parser.add_argument("--publish-format", default="parquet")
     parser.add_argument("--run-id", default="latest", help="a repeated run id replaces its rows")
     parser.add_argument("--late", help="watermark delay: log metrics append closed windows only")
+    parser.add_argument(
+        "--incremental", action="store_true", help="keep gold tables by deltas, from the first run on"
+    )
     parser.add_argument(
         "--stream-option", action="append", default=[], metavar="KEY=VALUE",
         help="reader option of the streams, such as maxBytesPerTrigger=500g",
@@ -43,6 +46,7 @@ def main() -> None:
         publish_format=args.publish_format,
         run_id=args.run_id,
         late=args.late,
+        incremental=args.incremental,
         stream_options=dict(option.split("=", 1) for option in args.stream_option),
     )
     run(workspace, args.jobs or None)

@@ -68,6 +68,14 @@ def trait_metric() -> Metric:
     return Metric(made.keys, made.partial, lambda counts: made.finish(counts).filter("trait_tier > 0"))
 
 
+def champion_item_metric(k: int = 5, excluded: Sequence[str] = rates.SPECIAL_ITEMS) -> Metric:
+    """:func:`rankstream.operators.rates.champion_item_metrics`."""
+    made = rate_metric(["unit_id", "item"])
+    return Metric(
+        made.keys, made.partial, lambda counts: rates.best_items(made.finish(counts), k, excluded)
+    )
+
+
 def augment_metric(picks: int = 3) -> Metric:
     """:func:`rankstream.operators.rates.augment_metrics` of a feed of augment columns."""
     made = rate_metric(["pick_order", "augment_id"], picks)

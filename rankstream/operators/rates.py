@@ -114,9 +114,13 @@ def champion_item_metrics(
 
     Excluded items are left out of the ranking but stay in the base of the pick rate.
     """
-    rates = without_items(rate_table(units, ["unit_id", "item"], base), excluded)
+    return best_items(rate_table(units, ["unit_id", "item"], base), k, excluded)
+
+
+def best_items(rated: DataFrame, k: int = 5, excluded: Sequence[str] = SPECIAL_ITEMS) -> DataFrame:
+    """The ranking of :func:`champion_item_metrics` from rates per unit and item."""
     order = [F.desc("pick_rate"), F.desc("top_4_rate")]
-    return top_per_group(rates, ["unit_id"], order, k, tie_break=["item"])
+    return top_per_group(without_items(rated, excluded), ["unit_id"], order, k, tie_break=["item"])
 
 
 def augment_picks(augments: DataFrame, picks: int = 3, carry: Sequence[str] = ()) -> DataFrame:

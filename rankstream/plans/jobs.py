@@ -1,7 +1,8 @@
 """The batch and stream jobs, bronze to silver to gold, in dependency order.
 
 Ingest and preprocess jobs drain what is new since their last run and stop; gold jobs recompute
-their table from silver and replace it, so groups that vanished leave no rows behind.
+their table from silver and replace it, or keep it by signed deltas (``incremental``); either way groups
+that vanished leave no rows behind.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankstream import schemas
-from rankstream.operators import compositions, dedupe, nested, rates, summaries
+from rankstream.operators import compositions, dedupe, deltas, nested, rates, summaries
+from rankstream.sinks import gold
 from rankstream.sinks.publish import publish
 from rankstream.sinks.store import TableStore
 from rankstream.sources import landing, records, streams
@@ -34,6 +36,9 @@ class Workspace:
     ``landing`` holds ``static/<kind>.json``, and the folders ``players``, ``matches`` (JSON
     lines) and ``logs`` (parquet with the topic's binary ``value``). With ``brokers`` the logs
     come from Kafka instead. ``publish_to`` names the serving target of published gold tables.
+
+    ``incremental`` keeps change feeds of the match tables, from which gold tables are brought up to
+    date by what came since the last run. It must be set from the first run on.
     """
 
     spark: SparkSession
@@ -46,6 +51,7 @@ class Workspace:
     publish_format: str = "parquet"
     run_id: str = "latest"
     late: str | None = None
+    incremental: bool = False
     stream_options: dict[str, str] = field(default_factory=dict)
 
     def stream_path(self, table: str) -> str:
@@ -116,7 +122,7 @@ def ingest_static(ws: Workspace) -> None:
 def ingest_players(ws: Workspace) -> None:
     entries = ws.landed("players", schemas.LEAGUE_ENTRY, "json")
 
-    def write(batch: DataFrame) -> None:
+    def write(batch: DataFrame, _: int) -> None:
         queue = landing.queue_players(batch)
         ws.store.write_or_upsert("bronze.players", queue, ["idx", "puuid"], [F.desc("wins")])
 
@@ -150,7 +156,7 @@ def ingest_matches(ws: Workspace) -> None:
     if ws.store.exists("bronze.players"):
         arrived = ws.read_stream("bronze.matches", schemas.BRONZE_MATCH)
         for_each_batch(
-            arrived.select("puuid"), lambda batch: _mark(ws, batch), ws.checkpoint("mark_players")
+            arrived.select("puuid"), lambda batch, _: _mark(ws, batch), ws.checkpoint("mark_players")
         )
 
 
@@ -164,22 +170,23 @@ def _mark(ws: Workspace, players: DataFrame) -> None:
 
 @job
 def preprocess_matches(ws: Workspace) -> None:
-    def write(batch: DataFrame) -> None:
+    def write(batch: DataFrame, number: int) -> None:
         deduped = nested.dedupe_matches(batch)
+        feed = {"delivery": f"{number:012d}"} if ws.incremental else {}
         with ws.store.staging() as stage:
             # The wide dedupe runs once; the four tables then read the columns they need. Only
             # trait rows may still repeat a key, when a board lists a trait twice.
             rows, upsert = stage(deduped), ws.store.write_or_upsert
             key = nested.MATCH_KEY
-            upsert("silver.match_augments", nested.match_augments(rows), key, prepared=True)
-            upsert("silver.match_traits", nested.match_traits(rows), [*key, "trait_id"])
+            upsert("silver.match_augments", nested.match_augments(rows), key, prepared=True, **feed)
+            upsert("silver.match_traits", nested.match_traits(rows), [*key, "trait_id"], **feed)
             upsert(
                 "silver.match_units", nested.match_units(rows), [*key, "unit_ordinal", "pos"],
-                prepared=True,
+                prepared=True, **feed,
             )
             upsert(
                 "silver.matches", nested.match_summary(rows), key, partition_by=["outcome"],
-                prepared=True,
+                prepared=True, **feed,
             )
 
     bronze = ws.read_stream("bronze.matches", schemas.BRONZE_MATCH)
@@ -189,6 +196,25 @@ def preprocess_matches(ws: Workspace) -> None:
 # -- gold ----------------------------------------------------------------------------------
 
 
+# Gold tables that an incremental workspace keeps from change feeds. Pairs of traits need whole boards,
+# which the feed of trait rows does not give, and players are few: those are recomputed.
+_KEPT = {
+    "trait_metrics": deltas.trait_metric(),
+    "item_metrics": deltas.rate_metric(["item"]),
+    "champion_metrics": deltas.rate_metric(["unit_id", "unit_tier"]),
+    "champion_item_metrics": deltas.champion_item_metric(),
+    "augment_metrics": deltas.augment_metric(),
+    "placement_metrics": deltas.placement_metric(),
+}
+
+
+def _kept(ws: Workspace, name: str, source: str) -> DataFrame:
+    """The metric after counting what came since the last run."""
+    partials = f"gold.{name}_counts"
+    gold.catch_up(ws.store, partials, _KEPT[name], source)
+    return gold.read_metric(ws.store, partials, _KEPT[name])
+
+
 def _gold(
     name: str,
     source: str,
@@ -198,7 +224,11 @@ def _gold(
 ) -> None:
     def body(ws: Workspace) -> None:
         table = f"gold.{name}"
-        ws.store.overwrite(table, metric(ws, ws.store.read(source)), partition_by)
+        if ws.incremental and name in _KEPT:
+            found = _kept(ws, name, source)
+        else:
+            found = metric(ws, ws.store.read(source))
+        ws.store.overwrite(table, found, partition_by)
         if published and ws.publish_to:
             # from the written table, so that the metric is computed once
             target = f"{ws.publish_to}/{name}"
@@ -265,18 +295,18 @@ def _log_gold(
 ) -> None:
     def body(ws: Workspace) -> None:
         live = metric(ws, ws.read_stream("silver.logs", schemas.SILVER_LOG))
-        gold = f"gold.{table}"
+        shown = f"gold.{table}"
         if ws.late or always_close:
-            path = f"{ws.stream_path(gold)}-closed"
+            path = f"{ws.stream_path(shown)}-closed"
             append_stream(live, path, ws.checkpoint(f"{name}-closed"), partition_by)
-            ws.show_as(gold, path, live.schema)
+            ws.show_as(shown, path, live.schema)
             return
         snapshot_stream(
             live,
-            ws.stream_path(gold),
+            ws.stream_path(shown),
             ws.checkpoint(name),
             partition_by,
-            on_snapshot=lambda folder: ws.show_as(gold, folder, live.schema),
+            on_snapshot=lambda folder: ws.show_as(shown, folder, live.schema),
         )
 
     JOBS[name] = body

@@ -22,6 +22,22 @@ def apply_delivery(
     store.replace_partitions(name, partial, [DELIVERY])
 
 
+def deliveries(store: TableStore, name: str) -> set[str]:
+    """The deliveries that a feed, or a metric table, has rows of: from the catalog, not the rows."""
+    if not store.exists(name):
+        return set()
+    listed = store.spark.sql(f"SHOW PARTITIONS {name}").collect()  # one row per delivery
+    return {row["partition"].removeprefix(f"{DELIVERY}=") for row in listed}
+
+
+def catch_up(store: TableStore, name: str, metric: Metric, source: str) -> None:
+    """Applies the deliveries of ``source`` that the metric table ``name`` has not counted yet."""
+    if not store.exists(f"{source}_changes"):
+        raise RuntimeError(f"{source} was filled without a change feed: compute {name} from it")
+    for delivery in sorted(deliveries(store, f"{source}_changes") - deliveries(store, name)):
+        apply_delivery(store, name, metric, store.changes(source, delivery), delivery)
+
+
 def read_metric(store: TableStore, name: str, metric: Metric) -> DataFrame:
     """The metric table as of the last applied delivery."""
     return metric.finish(net(store.read(name).drop(DELIVERY), metric.keys))

@@ -91,10 +91,10 @@ def update_stream(
     query.awaitTermination()
 
 
-def for_each_batch(df: DataFrame, write: Callable[[DataFrame], None], checkpoint: str) -> None:
-    """Hands every micro-batch to ``write``, which must give the same result when repeated."""
+def for_each_batch(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Hands every micro-batch and its number to ``write``, which must give the same when repeated."""
     query = (
-        df.writeStream.foreachBatch(lambda batch, _: write(batch))
+        df.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
