@@ -1,5 +1,6 @@
 """The pipeline's stages take effect and keep the columns of documents."""
 
+from pyspark.sql import functions as F
 from test_simhash import kept_by_all_pairs
 
 import corpus_pipeline
@@ -47,3 +48,22 @@ def test_empty_documents(spark, sf_dir, tmp_path):
     for name in ("documents", "benchmark"):
         common.table(spark, sf_dir, name).limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_odd_rows(spark, sf_dir, tmp_path):
+    """Null ids and texts, repeated rows and ids, one more column, and no benchmark."""
+    docs = common.table(spark, sf_dir, "documents").filter("doc_id < 40")
+    first = docs.filter("doc_id < 4")
+    none = docs.filter("doc_id = 5").withColumn("doc_id", F.lit(None).cast("long"))
+    bare = docs.filter("doc_id = 6").withColumns({"text": F.lit(None).cast("string"), "doc_id": F.lit(99).cast("long")})
+    odd = docs.unionByName(first).unionByName(none).unionByName(bare).withColumn("kept", F.lit("x"))
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    common.table(spark, sf_dir, "benchmark").limit(0).write.parquet(str(tmp_path / "benchmark.parquet"))
+    made = odd
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        made = common.settle(stage(spark, made, str(tmp_path)), name)
+        assert made.columns == odd.columns
+    ids = [r.doc_id for r in made.collect()]
+    assert len(ids) == len(set(ids)) and None not in ids and 99 not in ids
+    packed = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert packed == set(ids)

@@ -25,6 +25,51 @@ def test_traversal_equals_single_steps():
     assert ((scores > 0.5) == y).mean() > 0.95
 
 
+def direct_split(x, g, h, cuts):
+    """(feature, threshold) of the largest gain over every cut, rows masked one cut at a time."""
+    best, found = 1e-6, None
+    total = g.sum() ** 2 / (h.sum() + m.SHRINK)
+    for f, bounds in enumerate(cuts):
+        for c in bounds:
+            low = x[:, f] <= c
+            if min(low.sum(), (~low).sum()) < m.LEAST:
+                continue
+            gain = sum(g[s].sum() ** 2 / (h[s].sum() + m.SHRINK) for s in (low, ~low)) - total
+            if gain > best + 1e-9:
+                best, found = gain, (f, c)
+    return found
+
+
+def test_histogram_splits_are_the_best_of_all_cuts():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 6))
+    x[:, 2] = rng.integers(0, 3, 400)
+    y = ((x[:, 0] + x[:, 2] > 1) ^ (rng.random(400) < 0.1)).astype(float)
+    bins, depth, rate = 12, 3, 0.2
+    trees = m.fit(x, y, trees=4, depth=depth, bins=bins, rate=rate)
+    cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(6)]
+    margin, splits = np.full(len(x), trees.base), 0
+    for root in trees.roots:
+        p = 1 / (1 + np.exp(-margin))
+        g, h = y - p, np.maximum(p * (1 - p), 1e-6)
+        update = np.zeros(len(x))
+        open_ = [(int(root), np.arange(len(x)), depth)]
+        while open_:
+            node, rows, left = open_.pop()
+            best = direct_split(x[rows], g[rows], h[rows], cuts) if left and len(rows) >= 2 * m.LEAST else None
+            if best is None:
+                assert trees.left[node] == node
+                update[rows] = rate * g[rows].sum() / (h[rows].sum() + m.SHRINK)
+                assert abs(trees.value[node] - update[rows[0]]) < 1e-12
+                continue
+            splits += 1
+            assert (trees.feature[node], trees.threshold[node]) == best
+            low = x[rows, best[0]] <= best[1]
+            open_ += [(int(trees.left[node]), rows[low], left - 1), (int(trees.right[node]), rows[~low], left - 1)]
+        margin = margin + update
+    assert splits > 8
+
+
 def test_degenerate_labels():
     x = np.zeros((30, len(m.FEATURES)))
     assert m.fit(x[:0], np.zeros(0)).scores(x[:2]).tolist() == [0.5, 0.5]
