@@ -457,6 +457,16 @@ def stream_static_join(spark, sf_dir):
     return _drained(spark, sf_dir, joined, "joined")
 
 
+@query
+def stream_log_matches(spark, sf_dir):
+    """Row by row: every request beside every match of its player."""
+    logs, matches = adapters.log_stream(spark, sf_dir), adapters.matches(spark, sf_dir)
+    joined = metrics.with_matches(logs, matches, salts=4).select(
+        "puuid", "timestamp", "action", "match_id", "placement"
+    )
+    return _drained(spark, sf_dir, joined, "joined-rows")
+
+
 # -- metric tables -------------------------------------------------------------------------
 
 

@@ -382,6 +382,9 @@ SELECT r.puuid, instant AS "timestamp", action, matches_played, placement_sum
 FROM records r JOIN (
   SELECT puuid, count(*) AS matches_played, CAST(sum(placement) AS BIGINT) AS placement_sum
   FROM matches GROUP BY puuid) m ON m.puuid = r.puuid""",
+    "stream_log_matches": f"""WITH {RECORDS}, {MATCHES}
+SELECT r.puuid, instant AS "timestamp", action, match_id, placement
+FROM records r JOIN matches m ON m.puuid = r.puuid""",
     "rate_table": f"WITH {MATCHES} {_rates('tier, level', 'matches', 'matches')}",
     "trait_metrics": f"""WITH {TRAITS}, active AS (SELECT * FROM match_traits WHERE trait_tier > 0)
 {_rates('trait_id, trait_tier', 'active', 'match_traits')}""",

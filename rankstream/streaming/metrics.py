@@ -6,6 +6,8 @@ are written once and their state is dropped. Without it state grows with the num
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,6 +119,15 @@ def match_record(matches: DataFrame) -> DataFrame:
     )
 
 
+def _spread(logs: DataFrame, salts: int) -> DataFrame:
+    return logs.withColumn("__salt", F.pmod(F.xxhash64(*logs.columns), F.lit(salts)))
+
+
+def _copied(rows: DataFrame, salts: int) -> DataFrame:
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    return rows.withColumn("__salt", F.explode(numbers))
+
+
 def with_match_record(logs: DataFrame, matches: DataFrame, salts: int = 1) -> DataFrame:
     """Log rows joined to their player's match record; players without a match drop out.
 
@@ -128,11 +139,22 @@ def with_match_record(logs: DataFrame, matches: DataFrame, salts: int = 1) -> Da
     record = match_record(matches)
     if salts <= 1:
         return logs.join(record, "puuid")
-    spread = logs.withColumn("__salt", F.pmod(F.xxhash64(*logs.columns), F.lit(salts)))
-    copies = record.withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    )
-    return spread.join(copies, ["puuid", "__salt"]).drop("__salt")
+    return _spread(logs, salts).join(_copied(record, salts), ["puuid", "__salt"]).drop("__salt")
+
+
+def with_matches(
+    logs: DataFrame, matches: DataFrame, columns: Sequence[str] = ("match_id", "placement"), salts: int = 1
+) -> DataFrame:
+    """A row for each log row and match of its player, with these ``columns`` of the match.
+
+    The result has a player's logs times their matches: where only sums are wanted
+    :func:`with_match_record` gives them without it. ``salts`` spreads a hot player's log rows; the
+    matches are copied that often, and matches without a player are left out before.
+    """
+    played = matches.filter(F.col("puuid").isNotNull()).select("puuid", *columns)
+    if salts <= 1:
+        return logs.join(played, "puuid")
+    return _spread(logs, salts).join(_copied(played, salts), ["puuid", "__salt"]).drop("__salt")
 
 
 def placement_transactions(

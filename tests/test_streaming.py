@@ -118,3 +118,15 @@ def test_empty_snapshot_reads_by_schema(spark, split_logs, tmp_path):
     live = metrics.player_activity(log_stream(spark, split_logs).filter("puuid = 'nobody'"))
     snapshot_stream(live, str(tmp_path / "d"), str(tmp_path / "c"), ["date"])
     assert read_snapshot(spark, str(tmp_path / "d"), live.schema).count() == 0
+
+
+def test_row_join_equals_the_record(spark):
+    """Rows of logs and matches, with and without salts, sum up to the players' records."""
+    logs = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 3), (None, 4)], "puuid string, n int")
+    matches = spark.createDataFrame(
+        [("a", "m1", 2), ("a", "m2", None), ("c", "m1", 1), (None, "m3", 5)], "puuid string, match_id string, placement int"
+    )
+    plain = rows(metrics.with_matches(logs, matches))
+    assert plain == rows(metrics.with_matches(logs, matches, salts=5)) and len(plain) == 6
+    record = metrics.with_match_record(logs, matches).agg(F.sum("matches_played"), F.sum("placement_sum")).first()
+    assert tuple(record) == (len(plain), sum(r[-1] or 0 for r in plain))
