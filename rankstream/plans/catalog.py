@@ -234,21 +234,35 @@ def upsert_buckets(spark, sf_dir):
 
 @query
 def widened_types(spark, sf_dir):
-    """A delivery with wider numbers widens the columns of rows that are stored already."""
+    """Deliveries with wider numbers widen the columns of rows that are stored already.
+
+    Even orders come in the narrow types, or, where a value passes those, in a delivery of their own.
+    """
     name = "silver.widened"
     store = _table(spark, sf_dir, name)
     orders = adapters.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    key, price = F.col("o_orderkey"), F.col("o_totalprice")
-    narrow = orders.filter("o_orderkey % 2 = 0").select(
-        key.cast("int").alias("id"), F.col("o_custkey").cast("smallint").alias("player"),
+    key, player, price = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
+    even = orders.filter("o_orderkey % 2 = 0")
+    # a null fits every type; try_cast gives one also for what does not fit
+    outside = [
+        value.isNotNull() & value.try_cast(kind).isNull()
+        for value, kind in ((key, "int"), (player, "smallint"), (F.floor(price), "int"))
+    ]
+    fits = ~(outside[0] | outside[1] | outside[2])
+    narrow = even.filter(fits).select(
+        key.cast("int").alias("id"), player.cast("smallint").alias("player"),
         F.floor(price).cast("int").alias("total"), (key % 8).cast("float").alias("share"),
     )
+    larger = even.filter(~fits).select(
+        key.alias("id"), player.alias("player"), F.floor(price).alias("total"),
+        (key % 8).cast("float").alias("share"),
+    )
     wide = orders.filter("o_orderkey % 2 = 1").select(
-        (key * 10_000_000_000).alias("id"), F.col("o_custkey").cast("int").alias("player"),
+        (key * 10_000_000_000).alias("id"), player.alias("player"),
         F.floor(price * 1_000_000_000).alias("total"), (key / 3).alias("share"),
     )
-    store.append(name, narrow)
-    store.append(name, wide)
+    for rows in (narrow, larger, wide):
+        store.append(name, rows)
     return store.read(name)
 
 
