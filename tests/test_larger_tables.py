@@ -1,5 +1,8 @@
 """Queries over tables with larger keys and groups than the test tables have, and how they spread."""
 
+import duckdb
+import pytest
+
 from compare import spark_bag, sql_bag
 from pyspark.sql import functions as F
 
@@ -8,17 +11,13 @@ from rankstream.plans.oracle import SQL
 
 
 def _same_as_sql(spark, folder, name):
+    """The query over the folder's tables, each a file or a folder of files, gives its SQL's rows."""
     columns, found = spark_bag(QUERIES[name](spark, str(folder)))
-    assert (columns, found) == sql_bag(sql_connection_of(folder), SQL[name])
-
-
-def sql_connection_of(folder):
-    import duckdb
-
     connection = duckdb.connect()
-    for table in folder.iterdir():
-        connection.execute(f"CREATE VIEW {table.stem} AS SELECT * FROM '{table}/*.parquet'")
-    return connection
+    for table in folder.glob("*.parquet"):
+        files = f"{table}/*.parquet" if table.is_dir() else table
+        connection.execute(f"CREATE VIEW {table.stem} AS SELECT * FROM '{files}'")
+    assert (columns, found) == sql_bag(connection, SQL[name])
 
 
 def test_players_past_the_narrow_type_widen(spark, sf_dir, tmp_path):
@@ -27,3 +26,17 @@ def test_players_past_the_narrow_type_widen(spark, sf_dir, tmp_path):
     null = orders.limit(2).withColumn("o_custkey", F.lit(None).cast("long"))
     moved.unionByName(null).write.parquet(f"{tmp_path}/orders.parquet")
     _same_as_sql(spark, tmp_path, "widened_types")
+
+
+@pytest.mark.parametrize("name", ["server_metrics", "stream_server_metrics", "stream_update_server"])
+def test_percentiles_of_busy_hours_are_exact(spark, tmp_path, name):
+    """60,000 requests with different times in one hour, from several tasks."""
+    k = F.pmod(F.xxhash64("id"), F.lit(600000))
+    spark.range(0, 60000, 1, 4).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1.7e9) + F.col("id") % 600).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 50).alias("user_id"), F.lit("purchase").alias("event_type"),
+        (k / 10 + 0.05).alias("value"), F.format_string('{"k": %d}', F.col("id") % 100).alias("props"),
+    ).coalesce(1).write.parquet(f"{tmp_path}/made")
+    (part,) = (tmp_path / "made").glob("*.parquet")
+    part.rename(tmp_path / "events.parquet")
+    _same_as_sql(spark, tmp_path, name)
