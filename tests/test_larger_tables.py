@@ -40,3 +40,14 @@ def test_percentiles_of_busy_hours_are_exact(spark, tmp_path, name):
     (part,) = (tmp_path / "made").glob("*.parquet")
     part.rename(tmp_path / "events.parquet")
     _same_as_sql(spark, tmp_path, name)
+
+
+def test_a_table_of_200_mb_is_clustered_by_several_tasks(store, spark, table_name, monkeypatch):
+    from rankstream.sinks import folders
+
+    rows = spark.range(20_000).select("id", F.xxhash64("id").alias("a"), F.xxhash64("id", "id").alias("b"))
+    store.append(table_name, rows)
+    monkeypatch.setattr(folders, "size", lambda *_: 200 << 20)
+    store.cluster(table_name, ["a", "b"])
+    assert len(store.read(table_name).inputFiles()) == 7
+    assert store.read(table_name).exceptAll(rows).isEmpty() and store.read(table_name).count() == 20_000
