@@ -24,6 +24,8 @@ from rankstream.sources.streams import file_stream
 from rankstream.streaming import logs as log_rows
 
 SEATS = 8
+# Orders of which one task makes the match documents.
+ORDERS_A_TASK = 50_000
 PRODUCTS = ("battle-pass", "chibi", "egg", "tactician")
 # LIKE patterns that stand in for the special items in the test data
 EXCLUDED_ITEMS = ("%widget%", "%plate%", "%ring%")
@@ -265,8 +267,10 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     deliveries = F.when(F.col("o_orderstatus") == "F", 2).otherwise(1)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    # making the documents is the work: a table that is one row group is dealt out before it
-    orders = orders.repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+    # making the documents is the work: a table that is one row group is dealt out before it, into parts
+    # that do not grow with the table, since tasks sort what they make of theirs
+    tasks = max(spark.sparkContext.defaultParallelism, -(-orders.count() // ORDERS_A_TASK))
+    orders = orders.repartition(tasks, "o_orderkey")
     # A generator's output is made once: later filters run on it, not on the expression again.
     delivered = orders.select(F.explode(F.array_repeat(document, deliveries)).alias("document"))
     return delivered.select("document.*")

@@ -6,6 +6,7 @@ import pytest
 from compare import spark_bag, sql_bag
 from pyspark.sql import functions as F
 
+from rankstream.plans import adapters, catalog
 from rankstream.plans.catalog import QUERIES
 from rankstream.plans.oracle import SQL
 
@@ -51,3 +52,19 @@ def test_a_table_of_200_mb_is_clustered_by_several_tasks(store, spark, table_nam
     store.cluster(table_name, ["a", "b"])
     assert len(store.read(table_name).inputFiles()) == 7
     assert store.read(table_name).exceptAll(rows).isEmpty() and store.read(table_name).count() == 20_000
+
+
+def test_tasks_that_make_documents_grow_with_the_orders(spark, tmp_path):
+    many = 50_000 * (spark.sparkContext.defaultParallelism + 4)
+    orders = spark.range(many).select(
+        F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit("F").alias("o_orderstatus")
+    )
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    made = adapters.match_documents(spark, str(tmp_path))
+    assert made.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism + 4
+
+
+def test_landed_documents_are_packed(spark, sf_dir):
+    folder = catalog._landed(spark, sf_dir, spark.range(3), "packed")
+    assert all(f.endswith(".json.gz") for f in spark.read.text(folder).inputFiles())
+    assert spark.read.schema("id long").json(folder).count() == 3
