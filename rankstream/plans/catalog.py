@@ -97,7 +97,7 @@ def static_dedupe(spark, sf_dir):
 
 def _landed(spark: SparkSession, sf_dir: str, df: DataFrame, label: str) -> str:
     folder = _folder(spark, sf_dir, label)
-    df.write.json(folder)
+    df.write.json(folder, compression="gzip")
     return folder
 
 
