@@ -441,12 +441,15 @@ def dedupe_by_key(spark, sf_dir):
 
 @query
 def match_summary(spark, sf_dir):
-    """The silver build: one stored dedupe, of which the summary table is upserted."""
+    """The silver build: one stored dedupe, of which the summary table is upserted.
+
+    Nested columns have their part in the dedupe by a hash; the summary does not hold them, so they stay behind.
+    """
     name = "silver.summaries"
     store = _table(spark, sf_dir, name)
+    flat = nested.match_summary(nested.flatten_documents(_documents(spark, sf_dir)))
     with store.staging() as stage:
-        rows = stage(_silver_rows(spark, sf_dir))
-        summary = nested.match_summary(rows)
+        summary = stage(_silver_rows(spark, sf_dir, *flat.columns))
         for _ in range(2):  # a repeated delivery changes nothing
             store.write_or_upsert(
                 name, summary, nested.MATCH_KEY, partition_by=["outcome"], prepared=True

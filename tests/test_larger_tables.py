@@ -68,3 +68,10 @@ def test_landed_documents_are_packed(spark, sf_dir):
     folder = catalog._landed(spark, sf_dir, spark.range(3), "packed")
     assert all(f.endswith(".json.gz") for f in spark.read.text(folder).inputFiles())
     assert spark.read.schema("id long").json(folder).count() == 3
+
+
+def test_the_summary_stores_no_nested_columns(spark, sf_dir, monkeypatch):
+    made, rows_of = [], catalog._silver_rows
+    monkeypatch.setattr(catalog, "_silver_rows", lambda *a: made.append(rows_of(*a)) or made[-1])
+    QUERIES["match_summary"](spark, sf_dir)
+    assert made and not any(kind.startswith(("array", "struct")) for _, kind in made[0].dtypes)
