@@ -116,3 +116,22 @@ def test_clashing_columns(spark):
     got = h.extracted(odd)
     assert got.columns == ["page_id", "url", "text"]
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, h.extracted(plain).collect()), key=repr)
+
+
+def test_marked_pages_go_through_the_suffix_array(spark, monkeypatch):
+    """What marked pages repeat outside of articles is boilerplate of unmarked ones; articles are content."""
+    menu = "<div>Home news sport weather travel shop help contact us today</div>"
+    story = "This story of ten words is marked on one page"
+    rows = [(1, "http://a.net/1", f"{menu}<article><p>{story}</p></article>"),
+            (2, "http://a.net/2", f"{menu}<p>{story}</p>"), (3, "http://a.net/3", f"<p>{story}</p>"),
+            (4, "http://a.net/4", f"{menu}<article><p>{story}<p>end</article>"),
+            (4, "http://a.net/4", f"{menu}<article><p>another</article>"),
+            (None, "http://a.net/5", f"{menu}<article><p>five</article>"),
+            (2**60 + 1, "http://a.net/6", f"{menu}<p>six</p>")]
+    for shard_pages in (2000, 1, 2):
+        got = h.extracted(spark.createDataFrame(rows, PAGES), shard_pages=shard_pages).collect()
+        assert sorted(map(tuple, got), key=repr) == sorted([
+            (1, "http://a.net/1", story), (2, "http://a.net/2", story), (3, "http://a.net/3", story),
+            (4, "http://a.net/4", f"{story}\n\nend"), (4, "http://a.net/4", "another"),
+            (None, "http://a.net/5", "five"), (2**60 + 1, "http://a.net/6", "six"),
+        ], key=repr)
