@@ -26,6 +26,8 @@ from rankstream.streaming import logs as log_rows
 SEATS = 8
 # Orders of which one task makes the match documents.
 ORDERS_A_TASK = 50_000
+# Line items of which one task makes the traits.
+LINES_A_TASK = 400_000
 PRODUCTS = ("battle-pass", "chibi", "egg", "tactician")
 # LIKE patterns that stand in for the special items in the test data
 EXCLUDED_ITEMS = ("%widget%", "%plate%", "%ring%")
@@ -102,8 +104,13 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def match_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
     tier = F.least(F.lit(4), F.floor((F.col("quantity") - 1) / 20))
+    # grouping reduces the lines little, so its hash tables grow with a task's lines: these do not grow
+    # with the table, as parts that adaptive execution merges by their packed size would
+    lines = _lines(spark, sf_dir).select("l_orderkey", "p_brand", "l_quantity")
+    count = table(spark, sf_dir, "lineitem").count()
+    tasks = max(spark.sparkContext.defaultParallelism, -(-count // LINES_A_TASK))
     return (
-        _lines(spark, sf_dir)
+        lines.repartition(tasks, "l_orderkey")
         .groupBy("l_orderkey", "p_brand")
         .agg(F.count(F.lit(1)).alias("trait_unit_count"), F.sum("l_quantity").alias("quantity"))
         .select(

@@ -75,3 +75,19 @@ def test_the_summary_stores_no_nested_columns(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(catalog, "_silver_rows", lambda *a: made.append(rows_of(*a)) or made[-1])
     QUERIES["match_summary"](spark, sf_dir)
     assert made and not any(kind.startswith(("array", "struct")) for _, kind in made[0].dtypes)
+
+
+@pytest.mark.parametrize("name", ["trait_pairs", "composition_metrics"])
+def test_tasks_that_make_traits_grow_with_the_lines(spark, tmp_path, name):
+    spark.range(40).select(F.col("id").alias("p_partkey"), F.concat(F.lit("B"), F.col("id") % 7).alias("p_brand")).coalesce(
+        1).write.parquet(f"{tmp_path}/part.parquet")
+    many = 400_000 * (spark.sparkContext.defaultParallelism + 3)
+    lines = spark.range(many).select(
+        F.expr("id div 4").alias("l_orderkey"), (F.col("id") % 40).alias("l_partkey"), F.lit(1.0).alias("l_quantity"),
+        (F.col("id") % 4).cast("int").alias("l_linenumber"),
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    traits = adapters.match_traits(spark, str(tmp_path))
+    assert traits.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism + 3
+    plan = QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(l_orderkey#" in plan and f", {spark.sparkContext.defaultParallelism + 3}), REPARTITION_BY_NUM" in plan
