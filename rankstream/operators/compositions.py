@@ -73,11 +73,52 @@ def combination_counts(traits: DataFrame, sign: str | None = None) -> DataFrame:
     are doubles: only ratios of them are wanted, and the products may pass the long range.
     """
     shared = [sign] if sign else []
+    return _counted(_paired(traits, (), shared), sign)
+
+
+def board_counts(boards: DataFrame, sign: str | None = None) -> DataFrame:
+    """:func:`combination_counts` of boards that hold all their traits in an array, one row a board.
+
+    A board's pairs are made of its own row, so that only the counts are shuffled.
+    """
+    seats = boards.filter(" AND ".join(f"{c} IS NOT NULL" for c in BOARD))
+    usable = F.transform(
+        F.filter("traits", lambda t: t.tier_total > 1),
+        lambda t: F.struct(
+            t["name"].alias("trait"), t.tier_current.alias("tier"), t.tier_total.alias("tier_max")
+        ),
+    )
+    shared = [sign] if sign else []
+    rows = seats.select("placement", *shared, usable.alias("rows")).withColumn("kinds", F.array_distinct("rows"))
+    counted = F.transform(
+        "kinds", lambda k: F.struct(
+            k.alias("kind"), F.size(F.filter("rows", lambda t: t.eqNullSafe(k))).alias("copies")
+        ),
+    )
+    boards_ = rows.select("placement", *shared, counted.alias("low"), counted.alias("high"))
+    lower = boards_.select("placement", *shared, F.explode("low").alias("low"), "high")
+    pairs = lower.select("placement", *shared, "low", F.explode("high").alias("high")).filter(
+        "low.kind.tier < high.kind.tier AND low.kind.trait <> high.kind.trait"
+    )
+    sides = [
+        column
+        for number, side in ((1, "low"), (2, "high"))
+        for column in (
+            F.col(f"{side}.kind.trait").alias(f"trait{number}"),
+            F.col(f"{side}.kind.tier").alias(f"trait{number}_tier"),
+            F.col(f"{side}.kind.tier_max").alias(f"trait{number}_tier_max"),
+            F.col(f"{side}.copies").alias(f"copies{number}"),
+        )
+    ]
+    return _counted(pairs.select("placement", *shared, *sides), sign)
+
+
+def _counted(pairs: DataFrame, sign: str | None) -> DataFrame:
     weight = F.col("copies1").cast("double") * F.col("copies2")
     if sign:
         weight = weight * F.col(sign)
     place = F.col("placement")
-    return _paired(traits, (), shared).groupBy(*COMBINATION).agg(
+    return pairs.groupBy(*COMBINATION).agg(
         F.sum(weight).alias(ROWS),
         F.sum(place * weight).alias("place_sum"),
         F.sum(F.when(place <= 4, weight).otherwise(0)).alias("top_4"),

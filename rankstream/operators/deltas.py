@@ -146,9 +146,12 @@ def player_metric() -> Metric:
     return Metric(("tier",), partial, finish)
 
 
-def composition_metric(match_count: Column, k: int = 25) -> Metric:
+def composition_metric(match_count: Column, k: int = 25, boards: bool = False) -> Metric:
     """:func:`rankstream.operators.compositions.composition_metrics` of a feed of trait rows.
 
+    With ``boards``, of a feed of board rows that hold their traits in an array; a match, player and place
+    then has one row per sign.
+
     A board's rows must come and go together, as they do when its match is delivered again: the
     pairs that went are then those of the old board, the pairs that came those of the new one.
     ``match_count`` is the number of matches in the table after the delivery.
@@ -158,6 +161,5 @@ def composition_metric(match_count: Column, k: int = 25) -> Metric:
         ranked = compositions.strengths_of(counts, match_count)
         return top_ranked(ranked, [F.desc("strength")], k)
 
-    return Metric(
-        compositions.COMBINATION, lambda feed: compositions.combination_counts(feed, SIGN), finish
-    )
+    counts = compositions.board_counts if boards else compositions.combination_counts
+    return Metric(compositions.COMBINATION, lambda feed: counts(feed, SIGN), finish)

@@ -78,16 +78,20 @@ def match_deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     ))
 
 
-def board_deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Boards with their traits as an array; the second delivery moves every trait's tier."""
+def boards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boards with their traits as an array."""
     trait = F.struct(
         F.col("trait_id").alias("name"), F.col("trait_unit_count").cast("int").alias("num_units"),
         F.col("trait_tier").alias("tier_current"), F.col("trait_tier_max").alias("tier_total"),
     )
-    boards = match_traits(spark, sf_dir).groupBy("match_id", "puuid", "placement").agg(
+    return match_traits(spark, sf_dir).groupBy("match_id", "puuid", "placement").agg(
         F.array_sort(F.collect_list(trait)).alias("traits")
     )
 
+
+def board_deliveries(boards: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """:func:`boards` in two deliveries; the second one moves every trait's tier."""
+
     def moved(df: DataFrame) -> DataFrame:
         raised = F.transform(
             "traits", lambda t: t.withField("tier_current", ((t.tier_current + 1) % 5).cast("int"))

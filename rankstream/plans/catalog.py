@@ -594,18 +594,19 @@ def placement_deltas(spark, sf_dir):
 
 @query
 def composition_deltas(spark, sf_dir):
-    """Pairs of traits from whole boards, as their rows come and go together."""
-
-    def traits(feed: DataFrame) -> DataFrame:
-        return nested.match_traits(feed, carry=[deltas.SIGN])
-
+    """Pairs of traits from whole boards, as their rows come and go together; the boards are made once."""
     matches_kept = adapters.table(spark, sf_dir, "lineitem").filter(
         "l_orderkey % 5 <> 0 OR l_orderkey % 3 = 0"
     )
     count = compositions.distinct_matches(matches_kept.selectExpr("l_orderkey div 8 AS match_id"))
-    metric = deltas.composition_metric(count)
-    made = adapters.board_deliveries(spark, sf_dir)
-    store, target = _maintained(spark, sf_dir, "kept_boards", made, ["match_id", "puuid"], metric, traits)
+    metric = deltas.composition_metric(count, boards=True)
+    folder = _folder(spark, sf_dir, "boards")
+    boards = adapters.boards(spark, sf_dir)
+    boards.write.parquet(folder)
+    made = adapters.board_deliveries(spark.read.schema(boards.schema).parquet(folder))
+    store, target = _maintained(
+        spark, sf_dir, "kept_boards", made, ["match_id", "puuid"], metric, lambda f: f
+    )
     return gold.read_metric(store, target, metric)
 
 

@@ -134,3 +134,23 @@ def test_a_delivery_reads_its_buckets_only(spark, store, names):
     assert feed.count() == 2
     plan = metric.partial(feed)._jdf.queryExecution().executedPlan().toString()
     assert silver.split(".")[1] + "_changes" in plan and "= b)" in plan.split("PartitionFilters")[1]
+
+
+def test_boards_count_like_their_rows(spark):
+    """Equal rows, null names, tiers and seats, empty and null arrays, both signs."""
+    rng = random.Random(9)
+
+    def traits():
+        return [(rng.choice(["A", "B", "C", None]), 1, rng.choice([None, 0, 1, 2]), rng.choice([None, 1, 3]))
+                for _ in range(rng.randint(0, 9))]
+
+    boards = [(rng.choice([None, f"m{i}"]), f"p{i}", rng.choice([None, 1, 4, 5]), rng.choice([None, traits(), traits()]), s)
+              for i in range(300) for s in (1, -1)]
+    df = spark.createDataFrame(boards, "match_id string, puuid string, placement int, traits array<struct<"
+                               f"name string, num_units int, tier_current int, tier_total int>>, {deltas.SIGN} int")
+    found = compositions.board_counts(df, deltas.SIGN)
+    wanted = compositions.combination_counts(nested.match_traits(df, carry=[deltas.SIGN]), deltas.SIGN)
+    assert found.columns == wanted.columns
+    assert rows(found) == rows(wanted) and len(rows(found)) > 10
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert "Join" not in plan and plan.count("Exchange") == 1
