@@ -18,6 +18,12 @@ member emits the points near it that have this segment value, and members that m
 link to the least of them. This costs a fixed number of rows per member, and at most a ball's worth
 of members can meet in one point, whatever the input. No link is lost either way.
 
+Near copies of the pipeline (:func:`deduplicated`): each different set of five-word shingles has a
+fingerprint, and the same search, with one bit in every segment, proposes for each fingerprint the
+nearest one that it meets and the least. They link if their whole sets are similar. Members of a hot
+value meet a few of them, its hubs, instead of each other. Similar sets whose fingerprints the search
+does not bring together are linked by module ``similar``, which leaves out what is linked already.
+
 Defined results: null and wordless texts have fingerprint zero, which links like any other. A
 component's id is its smallest doc_id; documents without an id get it too, and a component without
 any id has null. Repeated rows get a row each.
@@ -37,12 +43,18 @@ from rankstream.llm import similar
 from rankstream.llm.common import checkpoint, hidden, per_value, row_key, settle, working
 from rankstream.llm.components import connected_components
 
+Segments = tuple[tuple[int, int], ...]
+
 SHINGLE = 4
 SEED = 42
 # Bits of the segments, lowest first, with the radius searched in each: 1 + 1 + 0 + 3 > 4.
-SEGMENTS = ((21, 1), (21, 1), (22, 0))
+SEGMENTS: Segments = ((21, 1), (21, 1), (22, 0))
 RADIUS = 4
 HOT = 64
+# The pipeline's search: one bit in every segment, and pairs of at most WIDE bits are proposed. Texts of
+# similarity 0.8 are about 10 bits apart; of unrelated fingerprints that meet, one pair in 1,000 is as near.
+NEAR_SEGMENTS: Segments = ((21, 1), (21, 1), (22, 1))
+WIDE = 12
 
 
 def _fingerprint(text: str | None, shingle: int) -> int:
@@ -54,7 +66,11 @@ def _fingerprint(text: str | None, shingle: int) -> int:
         return digest(joined, SEED)
     ends = (np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1).tolist()
     starts = [0, *(e + 1 for e in ends)]
-    hashes = [digest(joined[s:e], SEED) for s, e in zip(starts, ends[shingle - 1 :])]
+    return majority([digest(joined[s:e], SEED) for s, e in zip(starts, ends[shingle - 1 :])])
+
+
+def majority(hashes: list[int] | np.ndarray) -> int:
+    """The bits that are set in over half of the unsigned hashes."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):  # long texts in steps
         part = np.array(hashes[at : at + (1 << 16)], "<u8")
@@ -74,10 +90,10 @@ def hex_digits(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
 
-def _segments() -> list[tuple[int, int, int, int]]:
+def _segments(segments: Segments) -> list[tuple[int, int, int, int]]:
     """(index, lowest bit, bits, radius)"""
     found, low = [], 0
-    for index, (bits, radius) in enumerate(SEGMENTS):
+    for index, (bits, radius) in enumerate(segments):
         found.append((index, low, bits, radius))
         low += bits
     return found
@@ -118,13 +134,10 @@ def _asked(index: int, low: int, bits: int, own: Column) -> Column:
     )
 
 
-def _links(fps: DataFrame, hot: int) -> DataFrame:
-    """Edges (a, b) that connect all fingerprints within the radius of each other.
-
-    Pairs of cold segment values come as such; in hot ones members link to the least of a point.
-    """
+def _entries(fps: DataFrame, segments: Segments) -> tuple[DataFrame, DataFrame]:
+    """(fp, seg, key): the values that fingerprints are held under, and those that they ask for besides."""
     members, askers = [], []
-    for index, low, bits, radius in _segments():
+    for index, low, bits, radius in _segments(segments):
         own = F.col("fp").bitwiseAND(F.lit(_mask(low, bits)))
         entry = F.struct(F.lit(index).alias("seg"), own.alias("key"))
         members.append(entry)
@@ -132,6 +145,15 @@ def _links(fps: DataFrame, hot: int) -> DataFrame:
             askers.append(_asked(index, low, bits, own))
     table = fps.select("fp", F.explode(F.array(*members)).alias("e")).select("fp", "e.seg", "e.key")
     probes = fps.select("fp", F.explode(F.concat(*askers)).alias("e")).select("fp", "e.seg", "e.key")
+    return table, probes
+
+
+def _links(fps: DataFrame, hot: int) -> DataFrame:
+    """Edges (a, b) that connect all fingerprints within the radius of each other.
+
+    Pairs of cold segment values come as such; in hot ones members link to the least of a point.
+    """
+    table, probes = _entries(fps, SEGMENTS)
     sizes = settle(table.groupBy("seg", "key").count().filter(F.col("count") > hot), "hot").drop("count")
 
     cold = table.join(sizes, ["seg", "key"], "left_anti")
@@ -141,11 +163,11 @@ def _links(fps: DataFrame, hot: int) -> DataFrame:
     asked = probes.join(others, ["seg", "key"]).filter(near)
 
     # whole-fingerprint balls inside hot values: two flips for members, one for askers
-    rest = [[b for b in range(64) if not low <= b < low + bits] for _, low, bits, _ in _segments()]
+    rest = [[b for b in range(64) if not low <= b < low + bits] for _, low, bits, _ in _segments(SEGMENTS)]
     one = [[0, *(1 << b for b in free)] for free in rest]
     two = [o + [1 << x | 1 << y for i, x in enumerate(free) for y in free[:i]]
            for o, free in zip(one, rest)]
-    masks = F.array(*[F.lit(_mask(low, bits)) for _, low, bits, _ in _segments()])
+    masks = F.array(*[F.lit(_mask(low, bits)) for _, low, bits, _ in _segments(SEGMENTS)])
     outside = F.bitwise_not(F.element_at(masks, F.col("seg") + 1))
     based = F.col("fp").bitwiseAND(outside).bitwiseOR(F.col("key"))
     inside = table.join(sizes, ["seg", "key"], "left_semi").withColumn("base", based)
@@ -185,11 +207,54 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     )
 
 
+def proposed(
+    fps: DataFrame, stage: Callable[[DataFrame, str], DataFrame], hot: int = HOT
+) -> DataFrame:
+    """Pairs (a, b), a < b: each fingerprint with the nearest that the search meets, and the least.
+
+    At most two pairs for each fingerprint, however many lie near. Those in a hot value are met by its
+    hubs only.
+    """
+    table, probes = _entries(fps, NEAR_SEGMENTS)
+    hubs = F.array_distinct(F.array(F.min("fp"), F.min_by("fp", F.xxhash64("fp", "seg"))))
+    shared = stage(
+        table.groupBy("seg", "key").agg(F.count(F.lit(1)).alias("members"), hubs.alias("hubs"))
+        .filter(F.col("members") > hot).drop("members"),
+        "hubs",
+    )
+    cold = table.join(shared, ["seg", "key"], "left_anti")
+    held = cold.unionByName(shared.select("seg", "key", F.explode("hubs").alias("fp")))
+    bits = F.bit_count(F.col("fp").bitwiseXOR(F.col("other")))
+    met = (
+        table.unionByName(probes).join(held.withColumnRenamed("fp", "other"), ["seg", "key"])
+        .withColumn("bits", bits).filter((F.col("fp") != F.col("other")) & (F.col("bits") <= WIDE))
+    )
+    # only the side that lacks a bit asked, so a pair counts for both of its ends
+    ends = F.array(*[F.struct(F.col(x).alias("x"), "bits", F.col(y).alias("y"))
+                     for x, y in (("fp", "other"), ("other", "fp"))])
+    sides = met.select(F.explode(ends).alias("e")).select("e.*")
+    best = sides.groupBy("x").agg(F.min(F.struct("bits", "y")).alias("near"), F.min("y").alias("least"))
+    pairs = best.select("x", F.explode(F.array("near.y", "least")).alias("y"))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _proposed_classes(classes: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Pairs (a, b) of classes (cls, fp): those of one fingerprint with its least, which stands for it."""
+    owners = stage(classes.groupBy("fp").agg(F.min("cls").alias("own")), "owners")
+    same = classes.join(owners, "fp").filter("cls <> own").select("own", "cls")
+    a = owners.select(F.col("fp").alias("a"), F.col("own").alias("a_cls"))
+    b = owners.select(F.col("fp").alias("b"), F.col("own").alias("b_cls"))
+    near = proposed(owners.select("fp"), stage).join(a, "a").join(b, "b").select("a_cls", "b_cls")
+    pairs = same.union(near).toDF("x", "y")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
 def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One document of each group of similar texts, that with the smallest id (ids before nulls).
 
     Groups are the components of all pairs whose five-word shingles have Jaccard similarity 0.8 or
-    more (module ``similar``), not the fingerprints' components, whose 4 bits are far stricter.
+    more: those that the multi-index search proposes, and the rest from module ``similar``. op2's
+    components of 4 bits are far stricter.
     Among rows with the same id a hash of the row decides; equal rows stay once.
     """
     with working(docs.sparkSession) as stage:
@@ -209,7 +274,7 @@ def _losers(
     first, second = hidden("a"), hidden("b")
     k1, k2 = row_key(docs)
     content = F.col(f"`{text}`")
-    print_ = similar.signature(docs, content, k1)
+    print_ = similar.signature(docs, content, k1, lambda hashes: _long(majority(hashes)))
     prints = stage(
         docs.select(
             F.col(f"`{key}`").alias("doc_id"), print_.alias("s"), k1.alias("k1"), k2.alias("k2")
@@ -218,7 +283,7 @@ def _losers(
     )
     rank = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "k1", "k2")
     classes = stage(
-        prints.groupBy("cls").agg(F.min(rank).alias("best")), "classes"
+        prints.groupBy("cls").agg(F.min("fp").alias("fp"), F.min(rank).alias("best")), "classes"
     )
 
     def sets_of(wanted: DataFrame) -> DataFrame:
@@ -232,7 +297,8 @@ def _losers(
 
     tokens = prints.select("cls", "n", F.posexplode("prefix").alias("at", "token"))
     linked = similar.roots(
-        tokens.select("cls", "n", "token", (F.col("n") - F.col("at")).alias("left")), sets_of, stage
+        tokens.select("cls", "n", "token", (F.col("n") - F.col("at")).alias("left")),
+        _proposed_classes(classes.select("cls", "fp"), stage), sets_of, stage,
     )
     rooted = classes.join(linked, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     winners = rooted.groupBy("root").agg(F.min("best").alias("winner"))

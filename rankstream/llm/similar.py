@@ -7,10 +7,11 @@ the first element that two similar sets share there must be room for all others
 (positional filter); what passes is compared by its whole sets. The order is free: shingles that a
 sample of the texts repeats come last, so that common passages seldom make candidates.
 
-Groups: equal sets are one class first. Members of an element are compared with one of them, its hub,
-then in some rounds with other hubs, as long as they lie in different components: that links a large
-group of near copies by a few pairs a member. Only members whose components differ after that are
-compared with each other. No pair across components is left out.
+Groups: equal sets are one class first. Pairs that the search by fingerprints proposes (module
+``simhash``) are compared before all others, and what they link is not searched again. Members of an
+element are then compared with one of them, its hub, in some rounds with other hubs, as long as they lie
+in different components: that links a large group of near copies by a few pairs a member. Only members
+whose components differ after that are compared with each other. No pair across components is left out.
 
 Limits: elements that the sample misses and many texts share make candidates by the square of those
 members that pass the positional filter and are not linked to each other.
@@ -44,7 +45,7 @@ SAMPLE, LAST, COMMON = 20_000, 100_000, 3
 ROUNDS, HUBS = 2, 4
 
 SIGNATURE = schemas.struct(
-    cls=schemas.LONG, n=schemas.LONG, prefix=schemas.array(schemas.LONG)
+    cls=schemas.LONG, fp=schemas.LONG, n=schemas.LONG, prefix=schemas.array(schemas.LONG)
 )
 
 
@@ -66,11 +67,13 @@ def shingles(text: Column) -> Column:
     return per_value(lambda t: shingle_set(t).tolist(), schemas.array(schemas.LONG))(text)
 
 
-def _signature(last: Callable[[], tuple[np.ndarray, np.ndarray]]):
+def _signature(
+    last: Callable[[], tuple[np.ndarray, np.ndarray]], fingerprint: Callable[[np.ndarray], int]
+):
     def of(text: str | None):
         own, (common, ranks) = shingle_set(text), last()
         if not own.size:
-            return {"cls": 0, "n": 0, "prefix": []}
+            return {"cls": 0, "fp": 0, "n": 0, "prefix": []}
         rank = np.zeros(own.size, np.int64)
         if common.size:
             at = np.minimum(np.searchsorted(common, own), common.size - 1)
@@ -78,20 +81,23 @@ def _signature(last: Callable[[], tuple[np.ndarray, np.ndarray]]):
         keep = own.size + 1 + (-TOP * own.size) // BOTTOM
         prefix = own[np.lexsort((own, rank))[:keep]]
         cls = np.array([xxhash.xxh64_intdigest(own.tobytes(), SEED)], np.uint64).view(np.int64)[0]
-        return {"cls": int(cls), "n": int(own.size), "prefix": prefix.tolist()}
+        fp = fingerprint(own.view(np.uint64))
+        return {"cls": int(cls), "fp": fp, "n": int(own.size), "prefix": prefix.tolist()}
 
     return of
 
 
-def signature(texts: DataFrame, text: Column, salt: Column) -> Column:
-    """Class, size and prefix of each text; the order is fixed by a sample of ``texts``."""
+def signature(
+    texts: DataFrame, text: Column, salt: Column, fingerprint: Callable[[np.ndarray], int]
+) -> Column:
+    """Class, fingerprint of the set, size and prefix of each text; a sample of ``texts`` fixes the order."""
     dealt = F.pmod(salt, F.lit(max(1, -(-texts.count() // SAMPLE)))) == 0
     sampled = texts.filter(dealt).select(F.explode(shingles(text)).alias("token"))
     often = sampled.groupBy("token").count().filter(F.col("count") >= COMMON)
     rows = often.orderBy(F.col("count").desc(), "token").limit(LAST).collect()
     common = np.array(sorted((r["token"], r["count"]) for r in rows), np.int64).reshape(-1, 2)
     sent = texts.sparkSession.sparkContext.broadcast((common[:, 0].copy(), common[:, 1].copy()))
-    return per_value(_signature(lambda: sent.value), SIGNATURE, once=True)(text)
+    return per_value(_signature(lambda: sent.value, fingerprint), SIGNATURE, once=True)(text)
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -117,25 +123,30 @@ def _meets(other: DataFrame) -> Column:
 
 def roots(
     tokens: DataFrame,
+    proposed: DataFrame,
     sets_of: Callable[[DataFrame], DataFrame],
     stage: Callable[[DataFrame, str], DataFrame],
 ) -> DataFrame:
     """(cls, root) of classes that have a similar one.
 
     ``tokens`` (cls, n, token, left) holds the prefixes, repeated or not: ``left`` counts the
-    elements from the token on. ``sets_of`` gives (cls, tokens), the whole sets, for a frame of
-    classes; ``stage`` stores a step's rows and reads them back.
+    elements from the token on. ``proposed`` (a, b) holds pairs to compare first. ``sets_of`` gives
+    (cls, tokens), the whole sets, for a frame of classes; ``stage`` stores a step's rows and reads
+    them back.
     """
+    def compared(pairs: DataFrame, label: str) -> DataFrame:
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        return stage(_similar(pairs, stage(sets_of(wanted), f"{label}-sets")), label)
+
+    tried = stage(proposed.distinct(), "proposed")
+    linked = compared(tried, "near")
+
     met = stage(
         tokens.groupBy("token").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
         .filter("low < high").select("token"),
         "met",
     )
-    open_ = stage(tokens.join(met, "token").distinct().withColumn("root", F.col("cls")), "members")
-
-    def compared(pairs: DataFrame, label: str) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        return stage(_similar(pairs, stage(sets_of(wanted), f"{label}-sets")), label)
+    open_ = _split(stage(tokens.join(met, "token").distinct(), "members"), linked, stage)
 
     def named(rows: DataFrame) -> DataFrame:
         return rows.select("token", *[F.col(c).alias(f"o_{c}") for c in rows.columns if c != "token"])
@@ -144,7 +155,6 @@ def roots(
         ends = F.least("cls", "o_cls").alias("a"), F.greatest("cls", "o_cls").alias("b")
         return met_pairs.select(*ends).distinct()
 
-    tried = linked = None
     for number in range(ROUNDS):
         # first the members with the least before the token: of copies with edits, whose own elements
         # come first, those with fewest; then a few for all the tokens of a large group
@@ -153,10 +163,9 @@ def roots(
         drawn = open_.groupBy("token").agg(F.min_by(F.struct("cls", "n", "left", "root"), order).alias("hub"))
         hubs = named(drawn.select("token", "hub.*"))
         fresh = pairs_of(open_.join(hubs, "token").filter(_apart() & _meets(hubs)))
-        fresh = stage(fresh.join(tried, ["a", "b"], "left_anti") if tried else fresh, f"tried{number}")
-        found = compared(fresh, f"linked{number}")
-        tried = tried.unionByName(fresh) if tried else fresh
-        linked = linked.unionByName(found) if linked else found
+        fresh = stage(fresh.join(tried, ["a", "b"], "left_anti"), f"tried{number}")
+        linked = linked.unionByName(compared(fresh, f"linked{number}"))
+        tried = tried.unionByName(fresh)
         open_ = _split(open_.drop("root"), linked, stage)
     other = named(open_)
     across = open_.join(other, "token").filter(

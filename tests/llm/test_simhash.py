@@ -6,6 +6,7 @@ import pytest
 import xxhash
 
 from rankstream.llm import similar, simhash
+from rankstream.llm.common import settle
 from rankstream.llm.components import connected_components
 
 DOCS = "doc_id long, text string"
@@ -85,6 +86,72 @@ def test_dense_cluster(spark):
     assert got == sorted(direct_components(prints))
 
 
+def meet(a, b):
+    """Whether the pipeline's search brings two fingerprints together, with all values cold."""
+    parts = [((a ^ b) >> low & (1 << bits) - 1).bit_count() for low, bits in ((0, 21), (21, 21), (42, 22))]
+    return a != b and min(parts) <= 1 and (a ^ b).bit_count() <= 12
+
+
+def proposals(spark, fps, hot):
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    return [(r.a, r.b) for r in simhash.proposed(df, settle, hot).collect()]
+
+
+def test_search_proposes_the_nearest_and_the_least(spark):
+    rng = random.Random(3)
+    fps = {rng.getrandbits(63) for _ in range(40)}
+    for f in list(fps):
+        for _ in range(rng.choice([0, 1, 3, 9])):
+            for bit in rng.sample(range(63), rng.randint(1, 9)):
+                f ^= 1 << bit
+            fps.add(f)
+    want = set()
+    for f in fps:
+        met = [o for o in fps if meet(f, o)]
+        for other in [min(met, key=lambda o: ((f ^ o).bit_count(), o)), min(met)] if met else []:
+            want.add((min(f, other), max(f, other)))
+    got = proposals(spark, fps, 1000)
+    assert len(want) > 60 and sorted(got) == sorted(want)
+
+
+def test_members_of_hot_values_meet_through_hubs(spark):
+    """300 fingerprints that share two segments: a few pairs a member connect them all."""
+    rng = random.Random(4)
+    base = rng.getrandbits(63)
+    fps = {base ^ sum(1 << b for b in rng.sample(range(42, 63), 4)) for _ in range(300)}
+    pairs = proposals(spark, fps, 16)
+    assert len(pairs) <= 2 * len(fps) and all(meet(a, b) for a, b in pairs)
+    linked = connected_components(spark.createDataFrame(pairs, "a long, b long"))
+    assert sorted(map(tuple, linked.collect())) == sorted((f, min(fps)) for f in fps)
+
+
+def test_near_copies_are_linked_by_the_search(spark, monkeypatch):
+    """Without the prefix search, the copies whose fingerprints meet are still dropped."""
+    exact = similar.roots
+    monkeypatch.setattr(
+        similar, "roots", lambda tokens, *others: exact(tokens.limit(0), *others)
+    )
+    rng = random.Random(7)
+
+    def direct(text):
+        hashes = [xxhash.xxh64_intdigest(" ".join(s), 42) for s in word_set(text)]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    rows, want = [], []
+    for number in range(0, 80, 2):
+        words = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(200)]
+        copy = list(words)
+        for at in rng.sample(range(200), 1 + number % 3):
+            copy[at] = "other"
+        pair = [" ".join(words), " ".join(copy)]
+        prints = [direct(t) for t in pair]
+        rows += zip((number, number + 1), pair)
+        want += [number] if prints[0] == prints[1] or meet(*prints) else [number, number + 1]
+    got = simhash.deduplicated(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(r.doc_id for r in got) == want
+    assert 40 < len(want) < 60  # most of the 40 copies, not all
+
+
 def test_query_columns_and_empty(spark):
     empty = spark.createDataFrame([], DOCS)
     assert simhash.near_duplicates(empty).collect() == []
