@@ -125,24 +125,29 @@ def _balls(fps: DataFrame, flips: list[list[int]]) -> DataFrame:
     )
 
 
-def _asked(index: int, low: int, bits: int, own: Column) -> Column:
-    """The segment values with one bit more than the fingerprint's own."""
+def _asked(index: int, low: int, bits: int, own: Column, both: bool) -> Column:
+    """The segment values with one bit more than the fingerprint's own, and with one less for ``both``."""
     single = _longs([1 << b for b in range(low, low + bits)])
-    lacking = F.filter(single, lambda bit: F.col("fp").bitwiseAND(bit) == 0)
+    lacking = single if both else F.filter(single, lambda bit: F.col("fp").bitwiseAND(bit) == 0)
     return F.transform(
-        lacking, lambda bit: F.struct(F.lit(index).alias("seg"), own.bitwiseOR(bit).alias("key"))
+        lacking, lambda bit: F.struct(F.lit(index).alias("seg"), own.bitwiseXOR(bit).alias("key"))
     )
 
 
-def _entries(fps: DataFrame, segments: Segments) -> tuple[DataFrame, DataFrame]:
-    """(fp, seg, key): the values that fingerprints are held under, and those that they ask for besides."""
+def _entries(
+    fps: DataFrame, segments: Segments, both: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(fp, seg, key): the values that fingerprints are held under, and those that they ask for besides.
+
+    Of two values that differ in a bit only the side that lacks it asks, unless ``both`` shall.
+    """
     members, askers = [], []
     for index, low, bits, radius in _segments(segments):
         own = F.col("fp").bitwiseAND(F.lit(_mask(low, bits)))
         entry = F.struct(F.lit(index).alias("seg"), own.alias("key"))
         members.append(entry)
         if radius:
-            askers.append(_asked(index, low, bits, own))
+            askers.append(_asked(index, low, bits, own, both))
     table = fps.select("fp", F.explode(F.array(*members)).alias("e")).select("fp", "e.seg", "e.key")
     probes = fps.select("fp", F.explode(F.concat(*askers)).alias("e")).select("fp", "e.seg", "e.key")
     return table, probes
@@ -213,9 +218,27 @@ def proposed(
     """Pairs (a, b), a < b: each fingerprint with the nearest that the search meets, and the least.
 
     At most two pairs for each fingerprint, however many lie near. Those in a hot value are met by its
-    hubs only.
+    hubs only. A segment value is one row with all that are met in it, at most ``hot``, and of these an
+    asker keeps the nearest and the least: rows grow with the fingerprints, not with their pairs.
     """
-    table, probes = _entries(fps, NEAR_SEGMENTS)
+    best = _best(_meetings(fps, stage, hot))
+    pairs = best.select("x", F.explode(F.array("near.y", "least")).alias("y"))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _best(meetings: DataFrame) -> DataFrame:
+    """(x, near, least) of each fingerprint."""
+    return meetings.groupBy("x").agg(F.min("near").alias("near"), F.min("least").alias("least"))
+
+
+def _meetings(
+    fps: DataFrame, stage: Callable[[DataFrame, str], DataFrame], hot: int
+) -> DataFrame:
+    """(x, near, least): a row for each segment value in which the fingerprint x meets others.
+
+    Both sides of a pair ask, so that each finds the other in its own rows.
+    """
+    table, probes = _entries(fps, NEAR_SEGMENTS, both=True)
     hubs = F.array_distinct(F.array(F.min("fp"), F.min_by("fp", F.xxhash64("fp", "seg"))))
     shared = stage(
         table.groupBy("seg", "key").agg(F.count(F.lit(1)).alias("members"), hubs.alias("hubs"))
@@ -223,19 +246,21 @@ def proposed(
         "hubs",
     )
     cold = table.join(shared, ["seg", "key"], "left_anti")
-    held = cold.unionByName(shared.select("seg", "key", F.explode("hubs").alias("fp")))
-    bits = F.bit_count(F.col("fp").bitwiseXOR(F.col("other")))
-    met = (
-        table.unionByName(probes).join(held.withColumnRenamed("fp", "other"), ["seg", "key"])
-        .withColumn("bits", bits).filter((F.col("fp") != F.col("other")) & (F.col("bits") <= WIDE))
+    held = cold.groupBy("seg", "key").agg(F.collect_list("fp").alias("others")).unionByName(
+        shared.withColumnRenamed("hubs", "others")
+    )
+
+    def bits(other: Column) -> Column:
+        return F.bit_count(F.col("fp").bitwiseXOR(other))
+
+    near = F.transform(
+        F.filter("others", lambda y: (F.col("fp") != y) & (bits(y) <= WIDE)),
+        lambda y: F.struct(bits(y).alias("bits"), y.alias("y")),
+    )
+    met = table.unionByName(probes).join(held, ["seg", "key"]).select(F.col("fp").alias("x"), near.alias("met"))
+    return met.filter(F.size("met") > 0).select(
+        "x", F.array_min("met").alias("near"), F.array_min("met.y").alias("least")
     )
-    # only the side that lacks a bit asked, so a pair counts for both of its ends
-    ends = F.array(*[F.struct(F.col(x).alias("x"), "bits", F.col(y).alias("y"))
-                     for x, y in (("fp", "other"), ("other", "fp"))])
-    sides = met.select(F.explode(ends).alias("e")).select("e.*")
-    best = sides.groupBy("x").agg(F.min(F.struct("bits", "y")).alias("near"), F.min("y").alias("least"))
-    pairs = best.select("x", F.explode(F.array("near.y", "least")).alias("y"))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _proposed_classes(classes: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -> DataFrame:

@@ -139,14 +139,14 @@ def roots(
         return stage(_similar(pairs, stage(sets_of(wanted), f"{label}-sets")), label)
 
     tried = stage(proposed.distinct(), "proposed")
-    linked = compared(tried, "near")
+    known = connected_components(compared(tried, "near"), stage).toDF("cls", "root")
 
     met = stage(
         tokens.groupBy("token").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
         .filter("low < high").select("token"),
         "met",
     )
-    open_ = _split(stage(tokens.join(met, "token").distinct(), "members"), linked, stage)
+    open_ = _split(stage(tokens.join(met, "token").distinct(), "members"), known, stage)
 
     def named(rows: DataFrame) -> DataFrame:
         return rows.select("token", *[F.col(c).alias(f"o_{c}") for c in rows.columns if c != "token"])
@@ -164,28 +164,42 @@ def roots(
         hubs = named(drawn.select("token", "hub.*"))
         fresh = pairs_of(open_.join(hubs, "token").filter(_apart() & _meets(hubs)))
         fresh = stage(fresh.join(tried, ["a", "b"], "left_anti"), f"tried{number}")
-        linked = linked.unionByName(compared(fresh, f"linked{number}"))
+        known = _joined(known, compared(fresh, f"linked{number}"), stage)
         tried = tried.unionByName(fresh)
-        open_ = _split(open_.drop("root"), linked, stage)
+        open_ = _split(open_.drop("root"), known, stage)
     other = named(open_)
     across = open_.join(other, "token").filter(
         (F.col("o_cls") < F.col("cls")) & _apart() & _meets(other)
     )
     rest = stage(pairs_of(across).join(tried, ["a", "b"], "left_anti"), "rest")
-    more = compared(rest, "more")
-    final = connected_components(linked.unionByName(more))
-    return final.select(F.col("node").alias("cls"), "root")
+    return _joined(known, compared(rest, "more"), stage)
 
 
 def _apart() -> Column:
     return F.col("root") != F.col("o_root")
 
 
+def _joined(
+    known: DataFrame, links: DataFrame, stage: Callable[[DataFrame, str], DataFrame]
+) -> DataFrame:
+    """The components ``known`` (cls, root) with the links (a, b) as well: only roots are searched again."""
+    a = known.select(F.col("cls").alias("a"), F.col("root").alias("a_root"))
+    b = known.select(F.col("cls").alias("b"), F.col("root").alias("b_root"))
+    between = links.join(a, "a", "left").join(b, "b", "left").select(
+        F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")
+    )
+    moved = connected_components(between, stage)
+    carried = known.join(moved.toDF("root", "least"), "root", "left").select(
+        "cls", F.coalesce("least", "root").alias("root")
+    )
+    fresh = moved.toDF("cls", "root").join(known, "cls", "left_anti")
+    return stage(carried.unionByName(fresh), "known")
+
+
 def _split(
-    members: DataFrame, linked: DataFrame, stage: Callable[[DataFrame, str], DataFrame]
+    members: DataFrame, known: DataFrame, stage: Callable[[DataFrame, str], DataFrame]
 ) -> DataFrame:
     """Members with the ``root`` of their component, of tokens that still lie in several."""
-    known = connected_components(linked).select(F.col("node").alias("cls"), "root")
     placed = members.join(known, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     split = (
         placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))

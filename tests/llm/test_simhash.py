@@ -1,6 +1,7 @@
 """SimHash near-duplicates against a direct computation."""
 
 import random
+import time
 
 import pytest
 import xxhash
@@ -125,6 +126,63 @@ def test_members_of_hot_values_meet_through_hubs(spark):
     assert sorted(map(tuple, linked.collect())) == sorted((f, min(fps)) for f in fps)
 
 
+@pytest.mark.parametrize("size", [30, 60])
+def test_meetings_grow_with_the_fingerprints(spark, size):
+    """A group whose segment values are all cold: a row for each value asked for, none for each pair."""
+    rng = random.Random(size)
+    base = rng.getrandbits(63)
+    fps = set()
+    while len(fps) < size:
+        fps.add(base ^ sum(1 << b for b in rng.sample(range(42, 63), 4)))
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    rows = simhash._meetings(df, settle, 64).collect()
+    # two segments are equal; of the third, one value of its own and those of one bit's difference
+    assert 2 * size <= len(rows) <= (2 + 1 + 22) * size
+    pairs = sum(meet(a, b) for a in fps for b in fps)
+    assert pairs == size * (size - 1) and len({r.x for r in rows}) == size
+    if size == 60:
+        assert len(rows) < pairs  # the pairs of two values had been 4 * pairs rows
+
+
+def test_components_leave_no_shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f for f in blocks.getAllFiles().mkString(",").split(",") if "/shuffle_" in f}
+
+    before = files()
+    edges = spark.range(300).selectExpr("id a", "id + 1 b").repartition(4)
+    found = connected_components(edges)
+    for _ in range(40):  # files go soon after the query
+        left = files() - before
+        if not left:
+            break
+        time.sleep(0.25)
+    assert not left
+    assert sorted(map(tuple, found.collect())) == [(i, 0) for i in range(301)]
+
+
+def test_links_join_known_components(spark):
+    """Later links are searched between roots only and give the components of all links."""
+    rng = random.Random(9)
+    for first, later in [(30, 25), (0, 10), (25, 0)]:
+        links = [(rng.randrange(80), rng.randrange(80)) for _ in range(first + later)]
+        a, b = (spark.createDataFrame(x, "a long, b long") for x in (links[:first], links[first:]))
+        known = connected_components(a).toDF("cls", "root")
+        searched = []
+
+        def stage(df, label):
+            made = settle(df, label)
+            if label == "edges" and not searched:
+                searched.append({n for r in made.collect() for n in r})
+            return made
+
+        got = {tuple(r) for r in similar._joined(known, b, stage).collect()}
+        assert got == {tuple(r) for r in connected_components(a.unionByName(b)).collect()}
+        inner = {r.cls for r in known.collect() if r.cls != r.root}
+        assert not searched[0] & inner
+
+
 def test_near_copies_are_linked_by_the_search(spark, monkeypatch):
     """Without the prefix search, the copies whose fingerprints meet are still dropped."""
     exact = similar.roots
