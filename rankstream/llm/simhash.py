@@ -257,7 +257,8 @@ def _meetings(
         F.filter("others", lambda y: (F.col("fp") != y) & (bits(y) <= WIDE)),
         lambda y: F.struct(bits(y).alias("bits"), y.alias("y")),
     )
-    met = table.unionByName(probes).join(held, ["seg", "key"]).select(F.col("fp").alias("x"), near.alias("met"))
+    asked = table.unionByName(probes).join(held, ["seg", "key"])
+    met = asked.select(F.col("fp").alias("x"), near.alias("met"))
     return met.filter(F.size("met") > 0).select(
         "x", F.array_min("met").alias("near"), F.array_min("met.y").alias("least")
     )
@@ -300,16 +301,24 @@ def _losers(
     k1, k2 = row_key(docs)
     content = F.col(f"`{text}`")
     print_ = similar.signature(docs, content, k1, lambda hashes: _long(majority(hashes)))
-    prints = stage(
-        docs.select(
-            F.col(f"`{key}`").alias("doc_id"), print_.alias("s"), k1.alias("k1"), k2.alias("k2")
-        ).select("doc_id", "s.*", "k1", "k2"),
-        "prints",
-    )
-    rank = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "k1", "k2")
-    classes = stage(
-        prints.groupBy("cls").agg(F.min("fp").alias("fp"), F.min(rank).alias("best")), "classes"
-    )
+    with working(docs.sparkSession) as step:  # the elements are large; few are shared
+        signed = step(
+            docs.select(
+                F.col(f"`{key}`").alias("doc_id"), print_.alias("s"), k1.alias("k1"), k2.alias("k2")
+            ).select("doc_id", "s.*", "k1", "k2"),
+            "signed",
+        )
+        prints = stage(signed.select("doc_id", "cls", "k1", "k2"), "prints")
+        rank = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "k1", "k2")
+        classes = stage(
+            signed.groupBy("cls").agg(
+                *[F.first(c).alias(c) for c in ("fp", "n", "odd")],  # one set, one value of each
+                F.min(rank).alias("best"),
+            ),
+            "classes",
+        )
+        elements = signed.select("cls", "n", "counted", F.posexplode("prefix").alias("at", "token"))
+        members = similar.members(elements, stage)
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         rows = classes.join(wanted, "cls").select(
@@ -320,12 +329,13 @@ def _losers(
         found = texts.join(rows, [first, second]).dropDuplicates([first, second])
         return found.select("cls", similar.shingles(F.col("text")).alias("tokens"))
 
-    tokens = prints.select("cls", "n", F.posexplode("prefix").alias("at", "token"))
     linked = similar.roots(
-        tokens.select("cls", "n", "token", (F.col("n") - F.col("at")).alias("left")),
-        _proposed_classes(classes.select("cls", "fp"), stage), sets_of, stage,
+        members, _proposed_classes(classes.select("cls", "fp"), stage),
+        classes.select("cls", "n", "odd"), sets_of, stage,
+    )
+    rooted = classes.select("cls", "best").join(linked, "cls", "left").withColumn(
+        "root", F.coalesce("root", "cls")
     )
-    rooted = classes.join(linked, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     winners = rooted.groupBy("root").agg(F.min("best").alias("winner"))
     placed = prints.select("cls", rank.alias("own")).join(rooted.select("cls", "root"), "cls")
     lost = placed.join(winners, "root").filter(F.col("own") != F.col("winner"))

@@ -3,12 +3,15 @@
 import random
 import time
 
+import numpy as np
 import pytest
 import xxhash
 
-from rankstream.llm import similar, simhash
+from rankstream.llm import common, similar, simhash
 from rankstream.llm.common import settle
 from rankstream.llm.components import connected_components
+from rankstream.session import shared_folder
+from rankstream.sinks import folders
 
 DOCS = "doc_id long, text string"
 
@@ -294,3 +297,89 @@ def test_all_texts_of_similarity_four_fifths_are_linked(spark, monkeypatch, samp
     want = kept_by_all_pairs(rows)
     assert sorted(r.doc_id for r in got) == want
     assert len(want) < len(rows) - 20
+
+
+def stored_steps(monkeypatch):
+    """Label and number of rows of each step that is stored from now on."""
+    found, stored = [], common._stored
+
+    def noted(df, path):
+        made = stored(df, path)
+        found.append((path.rsplit("/llm-", 1)[-1].rsplit("-", 1)[0], made.count()))
+        return made
+
+    monkeypatch.setattr(common, "_stored", noted)
+    return found
+
+
+def words_of(rng, size):
+    return ["".join(rng.choices("abcdefgh", k=5)) for _ in range(size)]
+
+
+def test_texts_with_elements_of_their_own_make_no_candidates(spark, monkeypatch):
+    """A passage that the sample misses is in all texts; none is compared but the two that are similar."""
+    monkeypatch.setattr(similar, "COMMON", 1000)
+    rng = random.Random(13)
+    passage = words_of(rng, 20)
+    texts = [[*words_of(rng, 120), *passage] for _ in range(60)]
+    texts.append([*texts[0][:50], "other", *texts[0][51:]])
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    found = stored_steps(monkeypatch)
+    kept = simhash.deduplicated(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(60))
+    tried = [n for label, n in found if label in ("proposed", "tried0", "tried1", "rest")]
+    assert len(tried) == 4 and sum(tried) <= 2
+
+
+def test_only_close_pairs_are_compared_by_whole_sets(spark, monkeypatch):
+    """Texts whose similarity is about 0.7 by a passage: their whole sets are not read, the others' are."""
+    monkeypatch.setattr(similar, "COMMON", 1000)
+    rng = random.Random(17)
+    passage = words_of(rng, 200)
+    texts = [[*words_of(rng, 35), *passage] for _ in range(30)]
+    texts.append([*texts[3][:100], "other", *texts[3][101:]])
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    found = stored_steps(monkeypatch)
+    kept = simhash.deduplicated(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(30))
+    sets = [n for label, n in found if label.endswith("-sets")]
+    assert len(sets) == 4 and 2 <= sum(sets) <= 8
+
+
+def test_parities_lose_no_similar_pair(spark):
+    rng = random.Random(19)
+    sketches, pairs, want = [], [], set()
+    for number in range(0, 160, 2):
+        size = rng.choice([1, 6, 9, 60, 700, 3000])
+        first = [rng.getrandbits(63) for _ in range(size)]
+        second = list(first)
+        for at in rng.sample(range(size), min(size, rng.choice([0, 1, size // 9, size // 2]))):
+            second[at] = rng.getrandbits(63)
+        second += [rng.getrandbits(63) for _ in range(rng.choice([0, 0, size // 8]))]
+        for cls, own in ((number, first), (number + 1, second)):
+            sketches.append((cls, len(set(own)), similar._odd(np.array(sorted(set(own)), np.int64))))
+        pairs.append((number, number + 1))
+        a, b = set(first), set(second)
+        if 10 * len(a & b) >= 8 * len(a | b):
+            want.add(pairs[-1])
+    sketches = spark.createDataFrame(sketches, "cls long, n long, odd array<long>")
+    got = {tuple(r) for r in similar._close(spark.createDataFrame(pairs, "a long, b long"), sketches).collect()}
+    assert want <= got and len(want) > 30 and len(got) < 70
+
+
+def test_whole_sets_go_when_they_are_compared(spark, monkeypatch):
+    left = []
+    joined = similar._joined
+
+    def seen(known, links, stage):
+        folder = f"{shared_folder(spark)}/rankstream"
+        left.extend(n for n in folders.children(spark, folder) if "-sets-" in n or "llm-signed-" in n)
+        return joined(known, links, stage)
+
+    monkeypatch.setattr(similar, "_joined", seen)
+    rng = random.Random(23)
+    texts = [" ".join(words_of(rng, 80)) for _ in range(6)]
+    rows = [(i, t) for i, t in enumerate([*texts, texts[0] + " more"])]
+    before = set(left)
+    assert simhash.deduplicated(spark.createDataFrame(rows, DOCS)).count() == 6
+    assert not before and not left
