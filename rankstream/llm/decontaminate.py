@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankstream import schemas
-from rankstream.llm.common import hidden, row_key, settle
+from rankstream.llm.common import hidden, row_key, settle, unsized
 
 Q = 12
 HALF = 10
@@ -460,7 +460,7 @@ def _hits(keyed: DataFrame, benchmark: DataFrame, any_window: bool) -> DataFrame
     )
     asked = passages.select("number", F.explode("hashes").alias("hash")).distinct()
     known = grams.select("hash", "block").distinct()
-    pairs = settle(asked.join(known, "hash").select("number", "block").distinct(), "pairs")
+    pairs = settle(asked.join(unsized(known), "hash").select("number", "block").distinct(), "pairs")
     loads = settle(
         pairs.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / PORTION).alias("portions")), "loads"
     )

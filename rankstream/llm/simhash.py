@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from rankstream import schemas
 from rankstream.llm import similar
-from rankstream.llm.common import checkpoint, hidden, per_value, row_key, settle, working
+from rankstream.llm.common import checkpoint, hidden, per_value, row_key, settle, unsized, working
 from rankstream.llm.components import connected_components
 
 Segments = tuple[tuple[int, int], ...]
@@ -257,7 +257,7 @@ def _meetings(
         F.filter("others", lambda y: (F.col("fp") != y) & (bits(y) <= WIDE)),
         lambda y: F.struct(bits(y).alias("bits"), y.alias("y")),
     )
-    asked = table.unionByName(probes).join(held, ["seg", "key"])
+    asked = table.unionByName(probes).join(unsized(held), ["seg", "key"])
     met = asked.select(F.col("fp").alias("x"), near.alias("met"))
     return met.filter(F.size("met") > 0).select(
         "x", F.array_min("met").alias("near"), F.array_min("met.y").alias("least")
@@ -321,7 +321,7 @@ def _losers(
         members = similar.members(elements, stage)
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        rows = classes.join(wanted, "cls").select(
+        rows = classes.join(unsized(wanted), "cls").select(
             "cls", F.col("best.k1").alias(first), F.col("best.k2").alias(second)
         )
         texts = docs.select(content.alias("text"), k1.alias(first), k2.alias(second))

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankstream import schemas
-from rankstream.llm.common import per_value, shuffles_dropped, working
+from rankstream.llm.common import per_value, shuffles_dropped, unsized, working
 from rankstream.llm.components import connected_components
 
 SHINGLE = 5
@@ -138,7 +138,7 @@ def members(elements: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -
         "met",
     )
     early = F.col("at") < F.col("counted")
-    sets = elements.join(met, "token").groupBy("cls", "n", "counted").agg(
+    sets = elements.join(unsized(met), "token").groupBy("cls", "n", "counted").agg(
         F.array_sort(F.collect_set(F.when(early, F.struct("often", "token")))).alias("early"),
         F.collect_set(F.when(~early, F.struct("at", "token"))).alias("late"),
     )
@@ -215,7 +215,7 @@ def roots(
 
     def named(rows: DataFrame) -> DataFrame:
         others = [F.col(c).alias(f"o_{c}") for c in rows.columns if c != "token"]
-        return rows.select("token", *others)
+        return unsized(rows.select("token", *others))
 
     def pairs_of(met_pairs: DataFrame) -> DataFrame:
         ends = F.least("cls", "o_cls").alias("a"), F.greatest("cls", "o_cls").alias("b")
